@@ -154,7 +154,7 @@ def row_json(*cols, drop_empty: bool = False) -> Column:
     for c in cols:
         col = F.col(c) if isinstance(c, str) else c
         name = c if isinstance(c, str) else None
-        v = F.nullif(col, F.lit("")) if drop_empty else col
+        v = F.when(col.cast("string") == F.lit(""), F.lit(None)).otherwise(col) if drop_empty else col
         parts.append(v.alias(name) if name else v)
     return F.to_json(F.struct(*parts), {"ignoreNullFields": "true" if drop_empty else "false"})
 

@@ -59,14 +59,18 @@ CTE["apply_ok"] = f"""apply_ok AS (
     CASE WHEN {nb('channelcode')} THEN trim(channelcode) WHEN channelsource = 'A' THEN 'lakalaApp' END AS channel
   FROM fx_apply
   WHERE applyamt IS NOT NULL AND ({blank('applyamt')} OR {is_int('applyamt')}))"""
-CTE["apply_d"] = """apply_d AS (
-  SELECT 'daily_apply_count' AS metric, '' AS field, day, 1 AS value FROM apply_ok
-  UNION ALL SELECT 'daily_apply_amount', '', day, amount FROM apply_ok
-  UNION ALL SELECT 'sub_apply_count', bucket, day, 1 FROM apply_ok
-  UNION ALL SELECT 'sub_apply_amount', bucket, day, amount FROM apply_ok
-  UNION ALL SELECT 'province_apply_count', province, day, 1 FROM apply_ok
-  UNION ALL SELECT 'city_apply_count', city, day, 1 FROM apply_ok
-  UNION ALL SELECT 'risk_channel', channel, day, 1 FROM apply_ok WHERE channel IS NOT NULL)"""
+def apply_d(src="apply_ok", name="apply_d"):
+    return f"""{name} AS (
+  SELECT 'daily_apply_count' AS metric, '' AS field, day, 1 AS value, ms FROM {src}
+  UNION ALL SELECT 'daily_apply_amount', '', day, amount, ms FROM {src}
+  UNION ALL SELECT 'sub_apply_count', bucket, day, 1, ms FROM {src}
+  UNION ALL SELECT 'sub_apply_amount', bucket, day, amount, ms FROM {src}
+  UNION ALL SELECT 'province_apply_count', province, day, 1, ms FROM {src}
+  UNION ALL SELECT 'city_apply_count', city, day, 1, ms FROM {src}
+  UNION ALL SELECT 'risk_channel', channel, day, 1, ms FROM {src} WHERE channel IS NOT NULL)"""
+
+
+CTE["apply_d"] = apply_d()
 CTE["fx_loan"] = """fx_loan AS (
   SELECT k, ms + (k % 9) * 86400000 AS ms,
     CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS orderId,
@@ -76,11 +80,15 @@ CTE["loan_ok"] = f"""loan_ok AS (
   SELECT *, {day('ms')} AS day, {bucket('ms')} AS bucket,
     CASE WHEN {blank('capitalAmount')} THEN 0 ELSE TRY_CAST(trim(capitalAmount) AS BIGINT) END AS amount
   FROM fx_loan WHERE capitalAmount IS NOT NULL AND ({blank('capitalAmount')} OR {is_int('capitalAmount')}))"""
-CTE["loan_d"] = """loan_d AS (
-  SELECT 'daily_loan_count' AS metric, '' AS field, day, 1 AS value FROM loan_ok
-  UNION ALL SELECT 'daily_loan_amount', '', day, amount FROM loan_ok
-  UNION ALL SELECT 'sub_loan_count', bucket, day, 1 FROM loan_ok
-  UNION ALL SELECT 'sub_loan_amount', bucket, day, amount FROM loan_ok)"""
+def loan_d(src="loan_ok", name="loan_d"):
+    return f"""{name} AS (
+  SELECT 'daily_loan_count' AS metric, '' AS field, day, 1 AS value, ms FROM {src}
+  UNION ALL SELECT 'daily_loan_amount', '', day, amount, ms FROM {src}
+  UNION ALL SELECT 'sub_loan_count', bucket, day, 1, ms FROM {src}
+  UNION ALL SELECT 'sub_loan_amount', bucket, day, amount, ms FROM {src})"""
+
+
+CTE["loan_d"] = loan_d()
 CTE["fx_risk"] = """fx_risk AS (
   SELECT k, ms + 60000 AS ms,
     CASE WHEN k % 19 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS ORDER_ID,
@@ -121,25 +129,25 @@ CTE["risk_l"] = """risk_l AS (
          WHEN K_FINAL_SCORE >= 50 THEN '50+' END AS kband
   FROM risk_ok)"""
 CTE["risk_d"] = f"""risk_d AS (
-  SELECT 'RISK_REJECT_REASON' AS metric, rule AS field, day, 1 AS value FROM risk_l WHERE rule IS NOT NULL
-  UNION ALL SELECT 'risk_level', lvl_label || '.count', day, 1 FROM risk_l WHERE lvl_label IS NOT NULL
-  UNION ALL SELECT 'risk_level', lvl_label || '.amount', day, amount FROM risk_l WHERE lvl_label IS NOT NULL
-  UNION ALL SELECT 'risk_province_count', replace(parts[1], '省', ''), day, 1 FROM risk_l
+  SELECT 'RISK_REJECT_REASON' AS metric, rule AS field, day, 1 AS value, ms FROM risk_l WHERE rule IS NOT NULL
+  UNION ALL SELECT 'risk_level', lvl_label || '.count', day, 1, ms FROM risk_l WHERE lvl_label IS NOT NULL
+  UNION ALL SELECT 'risk_level', lvl_label || '.amount', day, amount, ms FROM risk_l WHERE lvl_label IS NOT NULL
+  UNION ALL SELECT 'risk_province_count', replace(parts[1], '省', ''), day, 1, ms FROM risk_l
     WHERE lvl IN (1, 2) AND {nb('A_APCR_NAMES')} AND len(parts) = 3
-  UNION ALL SELECT 'risk_city_count', replace(parts[2], '市', ''), day, 1 FROM risk_l
+  UNION ALL SELECT 'risk_city_count', replace(parts[2], '市', ''), day, 1, ms FROM risk_l
     WHERE lvl IN (1, 2) AND {nb('A_APCR_NAMES')} AND len(parts) = 3
-  UNION ALL SELECT 'risk_decision_result', decision || '.count', day, 1 FROM risk_l WHERE decision IS NOT NULL
-  UNION ALL SELECT 'risk_decision_result', decision || '.amount', day, amount FROM risk_l WHERE decision IS NOT NULL
-  UNION ALL SELECT 'risk_credit_score', band || '.count', day, 1 FROM risk_l WHERE band IS NOT NULL
-  UNION ALL SELECT 'risk_credit_score', band || '.amount', day, amount FROM risk_l WHERE band IS NOT NULL
-  UNION ALL SELECT 'RISK_CUSTOMER_DISTRIBUTION', ctype || '.count', day, 1 FROM risk_l
+  UNION ALL SELECT 'risk_decision_result', decision || '.count', day, 1, ms FROM risk_l WHERE decision IS NOT NULL
+  UNION ALL SELECT 'risk_decision_result', decision || '.amount', day, amount, ms FROM risk_l WHERE decision IS NOT NULL
+  UNION ALL SELECT 'risk_credit_score', band || '.count', day, 1, ms FROM risk_l WHERE band IS NOT NULL
+  UNION ALL SELECT 'risk_credit_score', band || '.amount', day, amount, ms FROM risk_l WHERE band IS NOT NULL
+  UNION ALL SELECT 'RISK_CUSTOMER_DISTRIBUTION', ctype || '.count', day, 1, ms FROM risk_l
     WHERE {nb('Z_RESERVED_CHAR5')} AND {nb('ORDER_ID')} AND ctype IS NOT NULL
   UNION ALL SELECT 'risk_customer_type_count',
     CASE WHEN I_IS_TNH_TARUSER = 'Y' OR I_IS_YFQ_TARUSER = 'Y' OR I_IS_POS_TARUSER = 'Y' THEN 'targetCustomer'
-         ELSE 'unTargetCustomer' END, day, 1 FROM risk_l
+         ELSE 'unTargetCustomer' END, day, 1, ms FROM risk_l
   UNION ALL SELECT 'risk_customer_type_count',
-    CASE WHEN coalesce(C_HISAPPLY_VAR011, 0) > 0 THEN 'historyCustomer' ELSE 'newCustomer' END, day, 1 FROM risk_l
-  UNION ALL SELECT 'risk_k_score', kband, day, 1 FROM risk_l WHERE kband IS NOT NULL)"""
+    CASE WHEN coalesce(C_HISAPPLY_VAR011, 0) > 0 THEN 'historyCustomer' ELSE 'newCustomer' END, day, 1, ms FROM risk_l
+  UNION ALL SELECT 'risk_k_score', kband, day, 1, ms FROM risk_l WHERE kband IS NOT NULL)"""
 CTE["fx_audit"] = """fx_audit AS (
   SELECT k, ms,
     CASE k % 3 WHEN 0 THEN 'SA' WHEN 1 THEN 'MA' ELSE '' END AS APPROVE_TYPE,
@@ -152,9 +160,9 @@ CTE["audit_ok"] = f"""audit_ok AS (
   WHERE NOT ({nb('A_REJECT_CODE')} AND rtrim(A_REJECT_CODE, ',') = ''))"""
 CTE["audit_d"] = f"""audit_d AS (
   SELECT CASE APPROVE_TYPE WHEN 'SA' THEN 'risk_system_approve' WHEN 'MA' THEN 'risk_manual_approve' END AS metric,
-         CASE A_RESULT WHEN 'AD' THEN 'refuse.count' WHEN 'AP' THEN 'pass.count' END AS field, day, 1 AS value
+         CASE A_RESULT WHEN 'AD' THEN 'refuse.count' WHEN 'AP' THEN 'pass.count' END AS field, day, 1 AS value, ms
   FROM audit_ok WHERE APPROVE_TYPE IN ('SA', 'MA') AND A_RESULT IN ('AD', 'AP')
-  UNION ALL SELECT 'risk_reject_code', split_part(rtrim(A_REJECT_CODE, ','), ',', 1), day, 1 FROM audit_ok
+  UNION ALL SELECT 'risk_reject_code', split_part(rtrim(A_REJECT_CODE, ','), ',', 1), day, 1, ms FROM audit_ok
   WHERE {nb('A_REJECT_CODE')})"""
 CTE["ev"] = """ev AS (
   SELECT event_id, event_type, epoch_ms(ts) AS ms,
@@ -162,20 +170,20 @@ CTE["ev"] = """ev AS (
     CASE WHEN event_type = 'purchase' THEN '1G2' ELSE '9Z9' END AS busid
   FROM events)"""
 CTE["fund_d"] = f"""fund_d AS (
-  SELECT 'fund_count' AS metric, '' AS field, {day('ms')} AS day, 1 AS value FROM ev
+  SELECT 'fund_count' AS metric, '' AS field, {day('ms')} AS day, 1 AS value, ms FROM ev
     WHERE event_type IN ('purchase', 'signup') AND amount IS NOT NULL AND busid = '1G2'
-  UNION ALL SELECT 'fund_amount', '', {day('ms')}, amount FROM ev
+  UNION ALL SELECT 'fund_amount', '', {day('ms')}, amount, ms FROM ev
     WHERE event_type IN ('purchase', 'signup') AND amount IS NOT NULL AND busid = '1G2'
-  UNION ALL SELECT 'fund_finacing_total_count', '', {day('ms')}, CASE WHEN busid = '1G2' THEN 1 ELSE 0 END FROM ev
+  UNION ALL SELECT 'fund_finacing_total_count', '', {day('ms')}, CASE WHEN busid = '1G2' THEN 1 ELSE 0 END, ms FROM ev
     WHERE event_type IN ('purchase', 'signup') AND amount IS NOT NULL
-  UNION ALL SELECT 'fund_finacing_total_amount', '', {day('ms')}, amount FROM ev
+  UNION ALL SELECT 'fund_finacing_total_amount', '', {day('ms')}, amount, ms FROM ev
     WHERE event_type IN ('purchase', 'signup') AND amount IS NOT NULL AND busid = '1G2')"""
 CTE["wealth_d"] = f"""wealth_d AS (
-  SELECT 'Finacing_count' AS metric, '' AS field, {day('ms')} AS day, 1 AS value FROM ev
+  SELECT 'Finacing_count' AS metric, '' AS field, {day('ms')} AS day, 1 AS value, ms FROM ev
     WHERE event_type = 'view' AND amount IS NOT NULL
-  UNION ALL SELECT 'Finacing_amount', '', {day('ms')}, amount FROM ev WHERE event_type = 'view' AND amount IS NOT NULL
-  UNION ALL SELECT 'fund_finacing_total_count', '', {day('ms')}, 1 FROM ev WHERE event_type = 'view' AND amount IS NOT NULL
-  UNION ALL SELECT 'fund_finacing_total_amount', '', {day('ms')}, amount FROM ev WHERE event_type = 'view' AND amount IS NOT NULL)"""
+  UNION ALL SELECT 'Finacing_amount', '', {day('ms')}, amount, ms FROM ev WHERE event_type = 'view' AND amount IS NOT NULL
+  UNION ALL SELECT 'fund_finacing_total_count', '', {day('ms')}, 1, ms FROM ev WHERE event_type = 'view' AND amount IS NOT NULL
+  UNION ALL SELECT 'fund_finacing_total_amount', '', {day('ms')}, amount, ms FROM ev WHERE event_type = 'view' AND amount IS NOT NULL)"""
 # JN-1 on the envelopes: touches from good risk records, loans from good loan records.
 CTE["te"] = f"""te AS (
   SELECT ORDER_ID AS order_id, ms AS ts, 0 AS r, concat('risk:', CAST(k AS VARCHAR)) AS rec_id, ctype AS type,
@@ -211,7 +219,7 @@ def asof_ctes(src: str) -> dict:
 
 CTE.update(asof_ctes("te"))
 CTE["type_d"] = """type_d AS (
-  SELECT 'RISK_CUSTOMER_DISTRIBUTION' AS metric, last_type || '.amount' AS field, day, amount AS value FROM typed)"""
+  SELECT 'RISK_CUSTOMER_DISTRIBUTION' AS metric, last_type || '.amount' AS field, day, amount AS value, ts AS ms FROM typed)"""
 
 DEPS = {
     "apply_ok": ["b", "fx_apply"], "apply_d": ["apply_ok"], "loan_ok": ["b", "fx_loan"], "loan_d": ["loan_ok"],
@@ -287,4 +295,185 @@ def _oracles() -> dict:
     return o
 
 
+
+def _ms_sql(text: str) -> str:
+    return f"epoch_ms(TIMESTAMP '{text}')"
+
+
+CTE["fx_bad"] = """fx_bad AS (SELECT event_id FROM events WHERE event_type = 'error')"""
+CTE["recs"] = f"""recs AS (
+  SELECT 'apply' AS kind, concat('apply:', CAST(k AS VARCHAR)) AS record_key,
+    CASE WHEN applyamt IS NULL THEN 'apply: missing applyamt'
+         WHEN NOT ({blank('applyamt')} OR {is_int('applyamt')}) THEN 'apply: applyamt is not an integer' END AS reason
+  FROM fx_apply
+  UNION ALL SELECT 'loan', concat('loan:', CAST(k AS VARCHAR)),
+    CASE WHEN capitalAmount IS NULL THEN 'loan: missing capitalAmount'
+         WHEN NOT ({blank('capitalAmount')} OR {is_int('capitalAmount')}) THEN 'loan: capitalAmount is not an integer' END
+  FROM fx_loan
+  UNION ALL SELECT 'risk', concat('risk:', CAST(k AS VARCHAR)),
+    CASE WHEN {nb('Z_RESULT_VAR104')} AND TRY_CAST(Z_RESULT_VAR104 AS FLOAT) IS NULL THEN 'risk: Z_RESULT_VAR104 is not a number'
+         WHEN {nb('Z_RESULT_VAR030')} AND TRY_CAST(Z_RESULT_VAR030 AS DOUBLE) IS NULL THEN 'risk: Z_RESULT_VAR030 is not a number' END
+  FROM fx_risk
+  UNION ALL SELECT 'audit', concat('audit:', CAST(k AS VARCHAR)),
+    CASE WHEN {nb('A_REJECT_CODE')} AND rtrim(A_REJECT_CODE, ',') = '' THEN 'audit: reject code has no part' END
+  FROM fx_audit
+  UNION ALL SELECT 'fund', concat('fund:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'fund: missing amount' END
+  FROM ev WHERE event_type IN ('purchase', 'signup')
+  UNION ALL SELECT 'wealth', concat('wealth:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'wealth: missing amount' END
+  FROM ev WHERE event_type = 'view'
+  UNION ALL SELECT 'unknown', concat('other:', CAST(event_id AS VARCHAR)), NULL FROM ev WHERE event_type = 'click'
+  UNION ALL SELECT 'unknown', concat('bad:', CAST(event_id AS VARCHAR)), 'malformed json' FROM ev WHERE event_type = 'error')"""
+DEPS["recs"] = ["fx_apply", "fx_loan", "fx_risk", "fx_audit", "ev"]
+
+# FX-DETAIL and the backfill rules.
+CTE["dapply"] = f"""dapply AS (
+  SELECT ms, strftime(epoch_ms(ms), '%Y-%m-%d %H:%M:%S') AS ts_text,
+    CASE WHEN {blank('applyamt')} THEN 0 ELSE TRY_CAST(trim(applyamt) AS BIGINT) END AS amount,
+    CASE WHEN {nb('belongProvince')} THEN belongProvince ELSE 'default' END AS province,
+    CASE WHEN {nb('belongCity')} THEN replace(belongCity, '市', '') ELSE 'default' END AS city
+  FROM fx_apply)"""
+CTE["dloan"] = f"""dloan AS (
+  SELECT ms, strftime(epoch_ms(ms), '%Y-%m-%d %H:%M:%S') AS ts_text,
+    CASE WHEN {blank('capitalAmount')} THEN 0 ELSE TRY_CAST(trim(capitalAmount) AS BIGINT) END AS amount
+  FROM fx_loan)"""
+CTE["dev"] = """dev AS (SELECT *, strftime(epoch_ms(ms), '%Y-%m-%d %H:%M:%S') AS ts_text FROM ev)"""
+DEPS.update({"dapply": ["fx_apply"], "dloan": ["fx_loan"], "dev": ["ev"]})
+
+
+def backfill_d(where: str = "TRUE", name: str = "bf_d") -> str:
+    """The sixteen backfill families from detail rows whose text time passes ``where``."""
+    return f"""{name} AS (
+  SELECT 'daily_apply_count' AS metric, '' AS field, substr(ts_text, 1, 10) AS day, 1 AS value FROM dapply
+    WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'daily_apply_amount', '', substr(ts_text, 1, 10), amount FROM dapply WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'sub_apply_count', {bucket('ms')}, substr(ts_text, 1, 10), 1 FROM dapply WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'sub_apply_amount', {bucket('ms')}, substr(ts_text, 1, 10), amount FROM dapply WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'province_apply_count', province, substr(ts_text, 1, 10), 1 FROM dapply WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'city_apply_count', city, substr(ts_text, 1, 10), 1 FROM dapply WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'daily_loan_count', '', substr(ts_text, 1, 10), 1 FROM dloan WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'daily_loan_amount', '', substr(ts_text, 1, 10), amount FROM dloan WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'sub_loan_count', {bucket('ms')}, substr(ts_text, 1, 10), 1 FROM dloan WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT 'sub_loan_amount', {bucket('ms')}, substr(ts_text, 1, 10), amount FROM dloan WHERE amount IS NOT NULL AND {where}
+  UNION ALL SELECT m.metric, '', substr(ts_text, 1, 10), CASE WHEN m.c THEN 1 ELSE amount END
+    FROM dev, (VALUES ('fund_count', TRUE), ('fund_amount', FALSE), ('fund_finacing_total_count', TRUE),
+                      ('fund_finacing_total_amount', FALSE)) m(metric, c)
+    WHERE event_type IN ('purchase', 'signup') AND busid = '1G2' AND {where}
+  UNION ALL SELECT m.metric, '', substr(ts_text, 1, 10), CASE WHEN m.c THEN 1 ELSE amount END
+    FROM dev, (VALUES ('Finacing_count', TRUE), ('Finacing_amount', FALSE), ('fund_finacing_total_count', TRUE),
+                      ('fund_finacing_total_amount', FALSE)) m(metric, c)
+    WHERE event_type = 'view' AND {where})"""
+
+
+def _sum_of(src: str, metrics=None) -> str:
+    where = f"WHERE metric IN {_in(metrics)}" if metrics else ""
+    return f"SELECT metric, field, day, CAST(sum(value) AS BIGINT) AS value FROM {src} {where} GROUP BY metric, field, day"
+
+
+BF_DEPS = ["dapply", "dloan", "dev"]
+
+
+def _bf(metrics, where="TRUE") -> str:
+    return with_ctes(BF_DEPS, _sum_of("bf_d", metrics), {"bf_d": backfill_d(where)})
+
+
+CAT_VALUES = "cat_t(metric, grp, suffix, kind) AS (VALUES " + ", ".join(
+    f"('{m}', '{g}', '{sfx}', '{k}')" for m, g, sfx, k in cat.CATALOGUE) + ")"
+
+
+def _all_totals_cte(name="tot") -> str:
+    union = " UNION ALL ".join(f"SELECT metric, field, day, value, ms FROM {s}" for s in ALL_SOURCES)
+    return f"""{name} AS (SELECT metric, field, day, CAST(sum(value) AS BIGINT) AS value, max(ms) AS last_ms
+  FROM ({union}) d WHERE metric IN {_in(cat.METRICS)} GROUP BY metric, field, day)"""
+
+
+def _graph_two_hop(where: str = "TRUE") -> str:
+    return f"""SELECT 'c:' || c.c_custkey AS a_id, c.c_name AS a_c_name, c.c_mktsegment AS a_c_mktsegment,
+  'o:' || o.o_orderkey AS b_id, o.o_orderstatus AS b_o_orderstatus, 'p:' || p.p_partkey AS c_id, p.p_name AS c_p_name,
+  CAST(l.l_linenumber AS VARCHAR) AS e2_l_linenumber
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN part p ON l.l_partkey = p.p_partkey WHERE {where}"""
+
+
+def _more() -> dict:
+    o = {}
+    o["route_counts"] = with_ctes(["recs"], """SELECT kind, CASE WHEN reason IS NULL THEN 'good' ELSE 'bad' END AS status,
+  count(*) AS records FROM recs GROUP BY 1, 2""")
+    o["good_bad_split"] = with_ctes(["recs"], "SELECT kind, reason, count(*) AS records FROM recs WHERE reason IS NOT NULL GROUP BY 1, 2")
+    o["dead_letters"] = with_ctes(["recs"], """SELECT 'CreditLoanDirectStream' AS task_name, reason AS exception_info,
+  record_key FROM recs WHERE reason IS NOT NULL""")
+    fields = ["lbsProvince", "belongProvince", "lbsCity", "belongCity", "applyamt", "channelcode", "channelsource"]
+    o["blank_fields"] = with_ctes(["fx_apply"], " UNION ALL ".join(
+        f"SELECT '{f}' AS field, CAST(sum(CASE WHEN {blank(f)} THEN 1 ELSE 0 END) AS BIGINT) AS blanks FROM fx_apply" for f in fields))
+    o["payload_fields"] = with_ctes(["fx_audit"], f"""SELECT concat('audit:', CAST(k AS VARCHAR)) AS record_key,
+  'CreditLoan_WorkFlow_AuditResult' AS log_no, ms AS collect_ms, {day('ms')} AS day, APPROVE_TYPE AS approve_type,
+  A_RESULT AS a_result, A_REJECT_CODE AS a_reject_code FROM fx_audit""")
+    te2 = f"""te2 AS (
+  SELECT ORDER_ID AS order_id, ms AS ts, 0 AS r, k * 10 AS rec_id, ctype AS type, NULL::BIGINT AS amount
+  FROM risk_ok2 WHERE {nb('Z_RESERVED_CHAR5')} AND {nb('ORDER_ID')}
+  UNION ALL SELECT ORDER_ID, ms - 60000 + 4 * 86400000, 0, k * 10 + 1, NULL, NULL FROM risk_ok2 WHERE k % 4 = 0 AND k % 19 <> 0
+  UNION ALL SELECT ORDER_ID, ms - 60000 + 3 * 86400000, 0, k * 10 + 2, 'new', NULL FROM risk_ok2 WHERE k % 6 = 0 AND k % 19 <> 0
+  UNION ALL SELECT orderId, ms, 1, k * 10 + 3, NULL, CAST(capitalAmount AS BIGINT) FROM fx_loan
+    WHERE orderId IS NOT NULL AND capitalAmount IS NOT NULL)"""
+    risk2 = """risk_ok2 AS (SELECT *, CASE Z_RESERVED_CHAR5 WHEN 'N' THEN 'new' WHEN 'J1' THEN 'settle.one'
+  WHEN 'J2' THEN 'settle.two' WHEN 'Z1' THEN 'transit.one' WHEN 'Z2' THEN 'transit.two' END AS ctype FROM fx_risk)"""
+    a2 = asof_ctes("te2")
+    o["loan_type_asof"] = with_ctes(["fx_risk", "fx_loan"], """SELECT last_type AS type, count(*) AS loans,
+  CAST(sum(amount) AS BIGINT) AS amount FROM typed GROUP BY 1""", {"risk_ok2": risk2, "te2": te2, **a2})
+    lo, hi = Q.DETAIL_RANGE
+    o["detail_time_range"] = with_ctes(["dapply"], f"""SELECT amount, ts_text, province, city,
+  CASE WHEN amount IS NULL THEN 'backfill: amount is not an integer' END AS err
+  FROM dapply WHERE ts_text >= '{lo}' AND ts_text < '{hi}'""")
+    o["backfill_apply_daily"] = _bf(["daily_apply_count", "daily_apply_amount"])
+    o["backfill_loan_daily"] = _bf(["daily_loan_count", "daily_loan_amount"])
+    o["backfill_two_minute"] = _bf(["sub_apply_count", "sub_apply_amount", "sub_loan_count", "sub_loan_amount"])
+    o["backfill_area"] = _bf(["province_apply_count", "city_apply_count"])
+    o["backfill_fund_daily"] = _bf(["fund_count", "fund_amount"])
+    o["backfill_wealth_daily"] = _bf(["Finacing_count", "Finacing_amount"])
+    o["backfill_total_daily"] = _bf(["fund_finacing_total_count", "fund_finacing_total_amount"])
+    cut = Q.CUTOVER_TEXT
+    live_union = " UNION ALL ".join(
+        f"SELECT metric, field, day, value FROM {s} WHERE ms >= {_ms_sql(cut)}" for s in ["apply_d", "loan_d", "fund_d", "wealth_d"])
+    o["lambda_merge"] = with_ctes(BF_DEPS + ["apply_d", "loan_d", "fund_d", "wealth_d"], f"""SELECT metric, field, day,
+  CAST(sum(value) AS BIGINT) AS value FROM (SELECT metric, field, day, value FROM bf_d UNION ALL {live_union}) u
+  WHERE metric IN {_in(cat.BACKFILL_METRICS)} GROUP BY metric, field, day""", {"bf_d": backfill_d(f"ts_text < '{cut}'")})
+    o["cutover_min"] = with_ctes(["fx_apply", "fx_loan", "fx_risk", "fx_audit", "ev"], """SELECT min(ms) AS cutover_ms,
+  strftime(epoch_ms(min(ms)), '%Y-%m-%d %H:%M:%S') AS cutover_text FROM (SELECT ms FROM fx_apply UNION ALL SELECT ms FROM fx_loan
+  UNION ALL SELECT ms FROM fx_risk UNION ALL SELECT ms FROM fx_audit UNION ALL SELECT ms FROM ev WHERE event_type <> 'error') t""")
+    d = Q.RESTATE_DAY
+    import datetime as _dt
+    d_prev = (_dt.date.fromisoformat(d) - _dt.timedelta(days=1)).isoformat()
+    clean = _in(cat.CLEAN_METRICS)
+    o["restate_days"] = with_ctes(BF_DEPS + ALL_SOURCES, f"""SELECT metric, field, day, value FROM tot
+  WHERE NOT (day IN ('{d}', '{d_prev}') AND metric IN {clean})
+UNION ALL SELECT metric, field, day, CAST(sum(value) AS BIGINT) FROM bf_d
+  WHERE day IN ('{d}', '{d_prev}') AND metric IN {clean} GROUP BY metric, field, day""",
+        {"tot": _all_totals_cte(), "bf_d": backfill_d(f"ts_text >= '{d_prev} 00:00:00'")})
+    fam = {"cat_t": CAT_VALUES, "tot": _all_totals_cte()}
+    o["counters_current"] = with_ctes(ALL_SOURCES, """SELECT grp || '.' || suffix AS family, field, day, value
+  FROM tot JOIN cat_t USING (metric)""", fam)
+    as_of = _dt.datetime.strptime(Q.RETENTION_AS_OF, "%Y-%m-%d %H:%M:%S") - _dt.timedelta(days=32)
+    o["counters_retained"] = with_ctes(ALL_SOURCES, f"""SELECT grp || '.' || suffix AS family, field, day, value
+  FROM (SELECT *, max(last_ms) OVER (PARTITION BY day, metric) AS grp_last FROM tot) t JOIN cat_t USING (metric)
+  WHERE grp_last > {_ms_sql(as_of.strftime('%Y-%m-%d %H:%M:%S'))}""", fam)
+    o["lookup_hash"] = with_ctes(["risk_d"], "SELECT day, field, CAST(sum(value) AS BIGINT) AS value FROM risk_d "
+                                             "WHERE metric = 'risk_level' GROUP BY day, field")
+    o["counter_names"] = with_ctes(ALL_SOURCES, f"""SELECT 'dataPlatform.' || grp || '.' || day || '.' || suffix || '{Q.NAMESPACE_TEST}'
+  AS counter_name, kind, field, value FROM tot JOIN cat_t USING (metric)""", fam)
+    o["graph_pattern"] = """SELECT 'c:' || c.c_custkey AS a_id, c.c_name AS a_c_name, 'o:' || o.o_orderkey AS b_id,
+  o.o_orderstatus AS b_o_orderstatus, o.o_orderpriority AS b_o_orderpriority
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+    o["graph_two_hop"] = _graph_two_hop()
+    o["graph_key_filter"] = _graph_two_hop("c.c_acctbal > 0")
+    o["key_list_scan"] = "SELECT 'c:' || c_custkey AS key FROM customer WHERE c_acctbal > 0"
+    o["entity_projection"] = """SELECT 'o:' || o_orderkey AS b_id, CAST(o_custkey AS VARCHAR) AS b_o_custkey,
+  o_orderstatus AS b_o_orderstatus, o_orderpriority AS b_o_orderpriority FROM orders"""
+    o["csv_round_trip"] = _graph_two_hop()
+    o["export_page"] = (f"SELECT * FROM ({_graph_two_hop()}) t ORDER BY a_id, b_id, c_id, e2_l_linenumber "
+                        f"LIMIT {Q.PAGE_SIZE} OFFSET {Q.PAGE_START}")
+    o["row_to_json"] = """SELECT c_custkey, NULLIF(c_name, '') AS c_name, NULLIF(c_mktsegment, '') AS c_mktsegment, c_nationkey
+FROM customer"""
+    return o
+
+
 ORACLES = _oracles()
+ORACLES.update(_more())
