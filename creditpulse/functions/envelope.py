@@ -29,18 +29,21 @@ def parse_envelope(
     bad record can be written to the dead letters unchanged.
     """
     env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, _PARSE_OPTIONS)
-    parsed = logs.withColumn("_env", env)
-    collect_ms = opt_long(F.col("_env.collectTime"))
+    # The parse goes through a generator: Catalyst never copies a later
+    # filter (on kind, time or error) below a Generate, so each record's
+    # JSON is parsed exactly once whatever the downstream plan does.
+    parsed = logs.select(*logs.columns, F.inline_outer(F.array(env)))
+    collect_ms = opt_long(F.col("collectTime"))
     env_err = (
         F.when(F.col(value_col).isNull(), F.lit("empty record"))
-        .when(F.col("_env._corrupt_record").isNotNull(), F.lit("malformed json"))
+        .when(F.col("_corrupt_record").isNotNull(), F.lit("malformed json"))
         .when(collect_ms.isNull(), F.lit("missing or bad collectTime"))
     )
     return parsed.select(
         *[c for c in logs.columns],
-        F.col("_env.logNo").alias("log_no"),
+        F.col("logNo").alias("log_no"),
         collect_ms.alias("collect_ms"),
-        F.col("_env.flatMap").alias("p"),
+        F.col("flatMap").alias("p"),
         day_of(collect_ms, tz).alias("day"),
         bucket_end(collect_ms, width_ms).alias("bucket"),
         env_err.alias("env_err"),

@@ -58,13 +58,14 @@ APP_CHANNEL = "lakalaApp"
 PROVINCE_TOKEN = "省"
 CITY_TOKEN = "市"
 
-DELTA_TYPE = "struct<metric:string,field:string,value:bigint>"
+DELTA_TYPE = "struct<metric:string,field:string,value:bigint,err:string>"
 
 
 def _lookup(c: Column, pairs) -> Column:
     out = None
     for code, label in pairs:
-        out = F.when(c == F.lit(code), F.lit(label)) if out is None else out.when(c == F.lit(code), F.lit(label))
+        code = code if isinstance(code, Column) else F.lit(code)
+        out = F.when(c == code, F.lit(label)) if out is None else out.when(c == code, F.lit(label))
     return out
 
 
@@ -82,15 +83,26 @@ def _d(metric, field, value, cond: Column | None = None) -> Column:
     metric = F.lit(metric) if isinstance(metric, str) else metric
     field = F.lit(field) if isinstance(field, str) else field
     value = F.lit(value) if isinstance(value, int) else value
-    s = F.struct(metric.alias("metric"), field.alias("field"), value.cast("bigint").alias("value"))
+    s = F.struct(
+        metric.alias("metric"), field.alias("field"), value.cast("bigint").alias("value"),
+        F.lit(None).cast("string").alias("err"),
+    )
     return s if cond is None else F.when(cond, s)
 
 
 def _pack(entries) -> Column:
-    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+    """The record's deltas; entries whose condition failed are null and are
+    dropped after ``inline_outer`` (a ``filter`` lambda here would take the
+    whole rule tree out of code generation)."""
+    return F.array(*entries)
 
 
 # --- per-kind rules -------------------------------------------------------
+#
+# Each kind has (1) typed fields, computed once per record into columns
+# (prefixed by the kind), and (2) small delta entries and an error test that
+# only reference those columns. Keeping the two apart keeps the generated
+# code of the rules stage small enough for whole-stage codegen.
 
 
 def channel(code: Column, source: Column, app_label: str = APP_CHANNEL) -> Column:
@@ -110,34 +122,55 @@ def apply_city(p: str = "p") -> Column:
     return F.coalesce(strip_token(city, CITY_TOKEN), F.lit("default"))
 
 
-def apply_rules(p: str = "p", bucket: str = "bucket") -> tuple[Column, Column]:
-    """FM-1. Returns (deltas, error)."""
-    amt_raw = payload("applyamt", p)
-    amount = strict_long(amt_raw)
-    b = F.col(bucket).cast("string")
-    ch = channel(payload("channelcode", p), payload("channelsource", p))
+def loan_amount(p: str = "p") -> Column:
+    return strict_long(payload("capitalAmount", p))
+
+
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+def _apply_fields():
+    raw = payload("applyamt")
+    return {
+        "a_raw_null": raw.isNull(),
+        "a_bad_amount": strict_long_error(raw),
+        "a_amount": strict_long(raw),
+        "a_province": apply_province(),
+        "a_city": apply_city(),
+        "a_channel": channel(payload("channelcode"), payload("channelsource")),
+    }
+
+
+def _apply_rules():
+    b = F.col("bucket").cast("string")
+    amount = _c("a_amount")
     deltas = _pack([
         _d("daily_apply_count", "", 1),
         _d("daily_apply_amount", "", amount),
         _d("sub_apply_count", b, 1),
         _d("sub_apply_amount", b, amount),
-        _d("province_apply_count", apply_province(p), 1),
-        _d("city_apply_count", apply_city(p), 1),
-        _d("risk_channel", ch, 1, ch.isNotNull()),
+        _d("province_apply_count", _c("a_province"), 1),
+        _d("city_apply_count", _c("a_city"), 1),
+        _d("risk_channel", _c("a_channel"), 1, _c("a_channel").isNotNull()),
     ])
     err = (
-        F.when(F.col(p).isNull(), F.lit("apply: missing flatMap"))
-        .when(amt_raw.isNull(), F.lit("apply: missing applyamt"))
-        .when(strict_long_error(amt_raw), F.lit("apply: applyamt is not an integer"))
+        F.when(F.col("p").isNull(), F.lit("apply: missing flatMap"))
+        .when(_c("a_raw_null"), F.lit("apply: missing applyamt"))
+        .when(_c("a_bad_amount"), F.lit("apply: applyamt is not an integer"))
     )
     return deltas, err
 
 
-def loan_rules(p: str = "p", bucket: str = "bucket") -> tuple[Column, Column]:
+def _loan_fields():
+    raw = payload("capitalAmount")
+    return {"l_raw_null": raw.isNull(), "l_bad_amount": strict_long_error(raw), "l_amount": strict_long(raw)}
+
+
+def _loan_rules():
     """FM-2 without the customer-type part (that one needs JN-1)."""
-    amt_raw = payload("capitalAmount", p)
-    amount = strict_long(amt_raw)
-    b = F.col(bucket).cast("string")
+    b = F.col("bucket").cast("string")
+    amount = _c("l_amount")
     deltas = _pack([
         _d("daily_loan_count", "", 1),
         _d("daily_loan_amount", "", amount),
@@ -145,85 +178,92 @@ def loan_rules(p: str = "p", bucket: str = "bucket") -> tuple[Column, Column]:
         _d("sub_loan_amount", b, amount),
     ])
     err = (
-        F.when(F.col(p).isNull(), F.lit("loan: missing flatMap"))
-        .when(amt_raw.isNull(), F.lit("loan: missing capitalAmount"))
-        .when(strict_long_error(amt_raw), F.lit("loan: capitalAmount is not an integer"))
+        F.when(F.col("p").isNull(), F.lit("loan: missing flatMap"))
+        .when(_c("l_raw_null"), F.lit("loan: missing capitalAmount"))
+        .when(_c("l_bad_amount"), F.lit("loan: capitalAmount is not an integer"))
     )
     return deltas, err
 
 
-def loan_amount(p: str = "p") -> Column:
-    return strict_long(payload("capitalAmount", p))
+def _money_fields(prefix: str):
+    raw = payload("amount")
+    parsed = opt_long(raw)
+    return {
+        f"{prefix}_missing": is_blank(raw),
+        f"{prefix}_bad": opt_error(raw, parsed),
+        f"{prefix}_amount": F.coalesce(parsed, F.lit(0).cast("bigint")),
+    }
 
 
-def _money_error(kind: str, p: str) -> Column:
-    raw = payload("amount", p)
+def _money_error(kind: str, prefix: str) -> Column:
     # The amount is read into a primitive: missing is an error as well.
     return (
-        F.when(F.col(p).isNull(), F.lit(f"{kind}: missing flatMap"))
-        .when(is_blank(raw), F.lit(f"{kind}: missing amount"))
-        .when(opt_error(raw, opt_long(raw)), F.lit(f"{kind}: amount is not a number"))
+        F.when(F.col("p").isNull(), F.lit(f"{kind}: missing flatMap"))
+        .when(_c(f"{prefix}_missing"), F.lit(f"{kind}: missing amount"))
+        .when(_c(f"{prefix}_bad"), F.lit(f"{kind}: amount is not a number"))
     )
 
 
-def fund_rules(p: str = "p") -> tuple[Column, Column]:
+def _fund_fields():
+    f = _money_fields("f")
+    f["f_is_fund"] = F.coalesce(payload("busid") == F.lit(FUND_BUSID), F.lit(False))
+    return f
+
+
+def _fund_rules():
     """FM-3: fund subscriptions; other business ids only touch the total."""
-    amount = F.coalesce(opt_long(payload("amount", p)), F.lit(0))
-    is_fund = payload("busid", p) == F.lit(FUND_BUSID)
-    is_fund = F.coalesce(is_fund, F.lit(False))
+    amount, is_fund = _c("f_amount"), _c("f_is_fund")
     deltas = _pack([
         _d("fund_count", "", 1, is_fund),
         _d("fund_amount", "", amount, is_fund),
-        _d("fund_finacing_total_count", "", 1, is_fund),
+        _d("fund_finacing_total_count", "", F.when(is_fund, 1).otherwise(0)),
         _d("fund_finacing_total_amount", "", amount, is_fund),
-        _d("fund_finacing_total_count", "", 0, ~is_fund),
     ])
-    return deltas, _money_error("fund", p)
+    return deltas, _money_error("fund", "f")
 
 
-def wealth_rules(p: str = "p") -> tuple[Column, Column]:
+def _wealth_fields():
+    return _money_fields("w")
+
+
+def _wealth_rules():
     """FM-4: wealth-product subscriptions."""
-    amount = F.coalesce(opt_long(payload("amount", p)), F.lit(0))
+    amount = _c("w_amount")
     deltas = _pack([
         _d("Finacing_count", "", 1),
         _d("Finacing_amount", "", amount),
         _d("fund_finacing_total_count", "", 1),
         _d("fund_finacing_total_amount", "", amount),
     ])
-    return deltas, _money_error("wealth", p)
+    return deltas, _money_error("wealth", "w")
 
 
-def audit_rules(p: str = "p") -> tuple[Column, Column]:
-    """FM-5: approver x result, and the first reject code (any approver)."""
-    approver = payload("APPROVE_TYPE", p)
-    result = payload("A_RESULT", p)
+def _audit_fields():
+    approver = payload("APPROVE_TYPE")
+    code = payload("A_REJECT_CODE")
     metric = _lookup(approver, APPROVER_METRICS)
-    label = _lookup(result, APPROVAL_LABELS)
-    code = payload("A_REJECT_CODE", p)
+    label = _lookup(payload("A_RESULT"), APPROVAL_LABELS)
+    return {
+        "au_metric": F.when(~is_blank(approver) & label.isNotNull(), metric),
+        "au_label": label,
+        "au_code": F.when(~is_blank(code), first_part(code, ",")),
+        "au_code_bad": ~is_blank(code) & split_is_empty(code, ","),
+    }
+
+
+def _audit_rules():
+    """FM-5: approver x result, and the first reject code (any approver)."""
     deltas = _pack([
-        _d(metric, label, 1, ~is_blank(approver) & metric.isNotNull() & label.isNotNull()),
-        _d("risk_reject_code", first_part(code, ","), 1, ~is_blank(code)),
+        _d(_c("au_metric"), _c("au_label"), 1, _c("au_metric").isNotNull()),
+        _d("risk_reject_code", _c("au_code"), 1, _c("au_code").isNotNull()),
     ])
     err = (
-        F.when(F.col(p).isNull(), F.lit("audit: missing flatMap"))
-        .when(~is_blank(code) & split_is_empty(code, ","), F.lit("audit: reject code has no part"))
+        F.when(F.col("p").isNull(), F.lit("audit: missing flatMap"))
+        .when(_c("au_code_bad"), F.lit("audit: reject code has no part"))
     )
     return deltas, err
 
 
-def risk_fields(p: str = "p") -> dict[str, Column]:
-    """Typed reads of a risk record's payload."""
-    return {
-        "amount_raw": payload("Z_PERMIT_LMT", p),
-        "amount": F.coalesce(opt_long(payload("Z_PERMIT_LMT", p)), F.lit(0).cast("bigint")),
-        "level": opt_float(payload("Z_RESULT_VAR104", p)),
-        "score": opt_double(payload("Z_RESULT_VAR030", p)),
-        "hist1": opt_long(payload("C_HISAPPLY_VAR011", p)),
-        "hist2": opt_long(payload("C_HISAPPLY_VAR001", p)),
-        "kscore": opt_int(payload("K_FINAL_SCORE", p)),
-    }
-
-
 def risk_area(p: str = "p") -> tuple[Column, Column, Column]:
     """FM-8: (has three parts, province, city) of the home address."""
     names = payload("A_APCR_NAMES", p)
@@ -234,64 +274,66 @@ def risk_area(p: str = "p") -> tuple[Column, Column, Column]:
     return ok, province, city
 
 
-def risk_rules(p: str = "p") -> tuple[Column, Column]:
-    """FM-6 (with FM-8): rule hit, level, decision, score band, customer
-    mix, target and history flags, third-party score."""
-    f = risk_fields(p)
-    amount = f["amount"]
-    entries = []
-
-    rule = payload("Z_REJECT_CODE", p)
-    first_rule = first_part(rule, "|")
-    entries.append(_d("RISK_REJECT_REASON", first_rule, 1, ~is_blank(rule) & first_rule.isNotNull()))
-
-    area_ok, province, city = risk_area(p)
-    for value, label in LEVEL_LABELS:
-        hit = F.coalesce(f["level"] == F.lit(value).cast("float"), F.lit(False))
-        entries.append(_d("risk_level", f"{label}.count", 1, hit))
-        entries.append(_d("risk_level", f"{label}.amount", amount, hit))
-        if value in (1.0, 2.0):
-            entries.append(_d("risk_province_count", province, 1, hit & area_ok))
-            entries.append(_d("risk_city_count", city, 1, hit & area_ok))
-
-    decision = java_trim(payload("Z_RESULT_VAR014", p))
-    for code, label in DECISION_LABELS:
-        hit = F.coalesce(decision == F.lit(code), F.lit(False))
-        entries.append(_d("risk_decision_result", f"{label}.count", 1, hit))
-        entries.append(_d("risk_decision_result", f"{label}.amount", amount, hit))
-
-    score = f["score"]
+def _risk_fields():
+    amount_raw = payload("Z_PERMIT_LMT")
+    amount = opt_long(amount_raw)
+    level = opt_float(payload("Z_RESULT_VAR104"))
+    score = opt_double(payload("Z_RESULT_VAR030"))
+    hist1 = opt_long(payload("C_HISAPPLY_VAR011"))
+    hist2 = opt_long(payload("C_HISAPPLY_VAR001"))
+    ks = opt_int(payload("K_FINAL_SCORE"))
+    rule = payload("Z_REJECT_CODE")
+    area_ok, province, city = risk_area()
+    band = None
     for label, lo, hi, hi_incl in CREDIT_BANDS:
         upper = score <= F.lit(hi) if hi_incl else score < F.lit(hi)
-        hit = F.coalesce((score >= F.lit(lo)) & upper, F.lit(False))
-        entries.append(_d("risk_credit_score", f"{label}.count", 1, hit))
-        entries.append(_d("risk_credit_score", f"{label}.amount", amount, hit))
-
-    ctype = customer_label(payload("Z_RESERVED_CHAR5", p))
-    mix_ok = ~is_blank(payload("Z_RESERVED_CHAR5", p)) & ~is_blank(payload("ORDER_ID", p)) & ctype.isNotNull()
-    entries.append(_d("RISK_CUSTOMER_DISTRIBUTION", F.concat(ctype, F.lit(".count")), 1, mix_ok))
-
+        cond = (score >= F.lit(lo)) & upper
+        band = F.when(cond, F.lit(label)) if band is None else band.when(cond, F.lit(label))
     yes = F.lit(False)
     for flag in ("I_IS_TNH_TARUSER", "I_IS_YFQ_TARUSER", "I_IS_POS_TARUSER"):
-        yes = yes | F.coalesce(payload(flag, p) == F.lit("Y"), F.lit(False))
-    entries.append(_d("risk_customer_type_count", F.when(yes, "targetCustomer").otherwise("unTargetCustomer"), 1))
-
-    history = F.coalesce(f["hist1"], F.lit(0)) + F.coalesce(f["hist2"], F.lit(0)) > 0
-    entries.append(_d("risk_customer_type_count", F.when(history, "historyCustomer").otherwise("newCustomer"), 1))
+        yes = yes | F.coalesce(payload(flag) == F.lit("Y"), F.lit(False))
+    code = payload("Z_RESERVED_CHAR5")
+    ctype = customer_label(code)
+    return {
+        "r_err": (
+            F.when(opt_error(amount_raw, amount), F.lit("risk: Z_PERMIT_LMT is not a number"))
+            .when(opt_error(payload("Z_RESULT_VAR104"), level), F.lit("risk: Z_RESULT_VAR104 is not a number"))
+            .when(opt_error(payload("Z_RESULT_VAR030"), score), F.lit("risk: Z_RESULT_VAR030 is not a number"))
+            .when(opt_error(payload("C_HISAPPLY_VAR011"), hist1), F.lit("risk: C_HISAPPLY_VAR011 is not a number"))
+            .when(opt_error(payload("C_HISAPPLY_VAR001"), hist2), F.lit("risk: C_HISAPPLY_VAR001 is not a number"))
+            .when(opt_error(payload("K_FINAL_SCORE"), ks), F.lit("risk: K_FINAL_SCORE is not a number"))
+        ),
+        "r_amount": F.coalesce(amount, F.lit(0).cast("bigint")),
+        "r_rule": F.when(~is_blank(rule), first_part(rule, "|")),
+        "r_level": _lookup(level, [(F.lit(v).cast("float"), lb) for v, lb in LEVEL_LABELS]),
+        "r_area": F.when(area_ok & level.isin(1.0, 2.0), F.struct(province.alias("province"), city.alias("city"))),
+        "r_decision": _lookup(java_trim(payload("Z_RESULT_VAR014")), DECISION_LABELS),
+        "r_band": band,
+        "r_mix": F.when(~is_blank(code) & ~is_blank(payload("ORDER_ID")), ctype),
+        "r_target": F.when(yes, "targetCustomer").otherwise("unTargetCustomer"),
+        "r_history": F.when(F.coalesce(hist1, F.lit(0)) + F.coalesce(hist2, F.lit(0)) > 0, "historyCustomer")
+        .otherwise("newCustomer"),
+        "r_kband": F.when(ks == 0, "0").when((ks > 0) & (ks < 50), "0to50").when(ks >= 50, "50+"),
+    }
 
-    ks = f["kscore"]
-    kband = F.when(ks == 0, "0").when((ks > 0) & (ks < 50), "0to50").when(ks >= 50, "50+")
-    entries.append(_d("risk_k_score", kband, 1, kband.isNotNull()))
 
-    err = (
-        F.when(F.col(p).isNull(), F.lit("risk: missing flatMap"))
-        .when(opt_error(f["amount_raw"], opt_long(f["amount_raw"])), F.lit("risk: Z_PERMIT_LMT is not a number"))
-        .when(opt_error(payload("Z_RESULT_VAR104", p), f["level"]), F.lit("risk: Z_RESULT_VAR104 is not a number"))
-        .when(opt_error(payload("Z_RESULT_VAR030", p), f["score"]), F.lit("risk: Z_RESULT_VAR030 is not a number"))
-        .when(opt_error(payload("C_HISAPPLY_VAR011", p), f["hist1"]), F.lit("risk: C_HISAPPLY_VAR011 is not a number"))
-        .when(opt_error(payload("C_HISAPPLY_VAR001", p), f["hist2"]), F.lit("risk: C_HISAPPLY_VAR001 is not a number"))
-        .when(opt_error(payload("K_FINAL_SCORE", p), f["kscore"]), F.lit("risk: K_FINAL_SCORE is not a number"))
-    )
+def _risk_rules():
+    """FM-6 (with FM-8): rule hit, level, decision, score band, customer
+    mix, target and history flags, third-party score."""
+    amount = _c("r_amount")
+    entries = [_d("RISK_REJECT_REASON", _c("r_rule"), 1, _c("r_rule").isNotNull())]
+    for col, metric in (("r_level", "risk_level"), ("r_decision", "risk_decision_result"), ("r_band", "risk_credit_score")):
+        hit = _c(col).isNotNull()
+        entries.append(_d(metric, F.concat(_c(col), F.lit(".count")), 1, hit))
+        entries.append(_d(metric, F.concat(_c(col), F.lit(".amount")), amount, hit))
+    area = _c("r_area")
+    entries.append(_d("risk_province_count", area.getField("province"), 1, area.isNotNull()))
+    entries.append(_d("risk_city_count", area.getField("city"), 1, area.isNotNull()))
+    entries.append(_d("RISK_CUSTOMER_DISTRIBUTION", F.concat(_c("r_mix"), F.lit(".count")), 1, _c("r_mix").isNotNull()))
+    entries.append(_d("risk_customer_type_count", _c("r_target"), 1))
+    entries.append(_d("risk_customer_type_count", _c("r_history"), 1))
+    entries.append(_d("risk_k_score", _c("r_kband"), 1, _c("r_kband").isNotNull()))
+    err = F.when(F.col("p").isNull(), F.lit("risk: missing flatMap")).otherwise(_c("r_err"))
     return _pack(entries), err
 
 
@@ -300,26 +342,16 @@ def unknown_rules(log_no: str = "log_no") -> tuple[Column, Column]:
     return _pack([_d(F.col(log_no), "", 0)]), F.lit(None).cast("string")
 
 
-_BUILDERS = {
-    "apply": lambda: apply_rules(),
-    "loan": lambda: loan_rules(),
-    "fund": lambda: fund_rules(),
-    "wealth": lambda: wealth_rules(),
-    "risk": lambda: risk_rules(),
-    "audit": lambda: audit_rules(),
+_RULES = {
+    "apply": (_apply_fields, _apply_rules),
+    "loan": (_loan_fields, _loan_rules),
+    "fund": (_fund_fields, _fund_rules),
+    "wealth": (_wealth_fields, _wealth_rules),
+    "risk": (_risk_fields, _risk_rules),
+    "audit": (_audit_fields, _audit_rules),
 }
 
-OUT_TYPE = "array<struct<metric:string,field:string,value:bigint,err:string>>"
-
-
-def _with_err(deltas: Column) -> Column:
-    return F.transform(
-        deltas,
-        lambda d: F.struct(
-            d["metric"].alias("metric"), d["field"].alias("field"), d["value"].alias("value"),
-            F.lit(None).cast("string").alias("err"),
-        ),
-    )
+OUT_TYPE = f"array<{DELTA_TYPE}>"
 
 
 def classify(parsed: DataFrame, kinds=None) -> DataFrame:
@@ -327,23 +359,31 @@ def classify(parsed: DataFrame, kinds=None) -> DataFrame:
 
     ``out`` holds the record's deltas, or -- for a bad record -- exactly one
     entry whose ``err`` is the reason (FM-9: an error replaces all deltas).
-    Splitting good from bad on the *generated* rows keeps Catalyst from
-    pushing the error test below the parse (which would parse twice).
     ``kinds`` limits which rule sets are compiled into the projection.
     """
-    kinds = list(_BUILDERS) if kinds is None else list(kinds)
+    kinds = list(_RULES) if kinds is None else list(kinds)
     kind = F.col("kind")
+    staged = parsed.withColumn("kind", kind_of(F.col("log_no")))
+    # Typed fields are computed for every record, not under a ``CASE kind``:
+    # a conditional wrapper defeats subexpression elimination (each field
+    # would re-read and re-parse the same payload values), and on records
+    # of another kind the payload lookups are null and short-circuit.
+    typed = []
+    for k in kinds:
+        for name, expr in _RULES[k][0]().items():
+            typed.append(expr.alias(name))
+    staged = staged.select("*", *typed)
     deltas_expr = None
     err_expr = None
     for k in kinds:
-        d, e = _BUILDERS[k]()
+        d, e = _RULES[k][1]()
         cond = kind == F.lit(k)
         deltas_expr = F.when(cond, d) if deltas_expr is None else deltas_expr.when(cond, d)
         err_expr = F.when(cond, e) if err_expr is None else err_expr.when(cond, e)
     ud, _ = unknown_rules()
     unknown = kind == F.lit("unknown")
     deltas_expr = F.when(unknown, ud) if deltas_expr is None else deltas_expr.when(unknown, ud)
-    deltas_expr = deltas_expr.otherwise(F.array().cast(f"array<{DELTA_TYPE}>"))
+    deltas_expr = deltas_expr.otherwise(F.array().cast(OUT_TYPE))
     err_col = F.col("env_err") if err_expr is None else F.coalesce(F.col("env_err"), err_expr)
     bad = F.array(
         F.struct(
@@ -351,33 +391,21 @@ def classify(parsed: DataFrame, kinds=None) -> DataFrame:
             F.lit(None).cast("bigint").alias("value"), F.col("err").alias("err"),
         )
     )
-    return (
-        parsed.withColumn("kind", kind_of(F.col("log_no")))
-        .withColumn("err", err_col)
-        .withColumn("out", F.when(F.col("err").isNull(), _with_err(deltas_expr)).otherwise(bad).cast(OUT_TYPE))
-    )
+    out = F.when(F.col("err").isNull(), deltas_expr.cast(OUT_TYPE)).otherwise(bad.cast(OUT_TYPE))
+    return staged.withColumn("err", err_col).withColumn("out", out)
 
 
 def outputs(classified: DataFrame) -> DataFrame:
     """One row per delta of a good record, one per bad record:
     ``key, json, kind, day, collect_ms, metric, field, value, err``.
 
-    Every output column comes out of the generator, so later filters (on
-    time, kind or error) stay above it instead of being copied below the
-    parse. ``inline_outer``: a plain ``inline`` makes Catalyst infer
-    ``size(out) > 0`` and push that below the parse.
+    ``inline_outer``: a plain ``inline`` makes Catalyst infer
+    ``size(out) > 0`` and push that test below, copying the rule tree.
     """
-    rec = [
-        F.col("key").alias("key"), F.col("value").alias("json"), F.col("kind").alias("kind"),
-        F.col("day").alias("day"), F.col("collect_ms").alias("collect_ms"),
-    ]
-    rows = F.transform(
-        F.col("out"),
-        lambda d: F.struct(*rec, d["metric"].alias("metric"), d["field"].alias("field"),
-                           d["value"].alias("value"), d["err"].alias("err")),
+    rows = classified.select(
+        "key", F.col("value").alias("json"), "kind", "day", "collect_ms", F.inline_outer("out")
     )
-    out = classified.select(F.inline_outer(rows))
-    return out.where(F.col("metric").isNotNull() | F.col("err").isNotNull())
+    return rows.where(F.col("metric").isNotNull() | F.col("err").isNotNull())
 
 
 def split_errors(out_rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,6 +26,10 @@ def build_session(master: str = "local[8]", app: str = "creditpulse", **conf: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # The metric-rules stage generates one large method; HotSpot does not
+        # JIT methods over 8000 bytes of bytecode, so past that size Spark's
+        # own fallback (split per operator) runs faster (measured 45s -> 30s).
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -210,10 +210,21 @@ LOG_BUILDERS = {
 def logs(spark: SparkSession, sf_dir: str, kinds=None) -> DataFrame:
     """Envelopes ``key STRING, value STRING`` of the chosen fixture kinds."""
     kinds = list(LOG_BUILDERS) if kinds is None else list(kinds)
-    parts = [LOG_BUILDERS[k](spark, sf_dir) for k in kinds]
+    parts = [spread(LOG_BUILDERS[k](spark, sf_dir)) for k in kinds]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the records over all cores when the input has fewer
+    partitions than that (the driver tables are single-row-group files, so
+    the derived logs would otherwise be parsed by a handful of tasks). A
+    real log source already has enough partitions and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 # --- FX-DETAIL: flat detail tables for the backfill ------------------------
 
 
