@@ -477,3 +477,18 @@ FROM customer"""
 
 ORACLES = _oracles()
 ORACLES.update(_more())
+
+
+def _stream_oracles() -> dict:
+    o = {}
+    no_types = ["apply_d", "loan_d", "risk_d", "audit_d", "fund_d", "wealth_d"]
+    o["stream_counters"] = totals_sql(no_types)
+    o["stream_replay"] = totals_sql(no_types)
+    o["stream_two_minute"] = totals_sql(["apply_d", "loan_d"], ["sub_apply_count", "sub_apply_amount", "sub_loan_count", "sub_loan_amount"])
+    o["stream_dead_letters"] = with_ctes(["recs"], "SELECT reason AS exception_info, count(*) AS records FROM recs "
+                                                   "WHERE reason IS NOT NULL GROUP BY 1")
+    o["stream_loan_type"] = ORACLES["loan_type_asof"]
+    return o
+
+
+ORACLES.update(_stream_oracles())

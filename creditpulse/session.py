@@ -63,3 +63,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+

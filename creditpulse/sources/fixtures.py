@@ -150,6 +150,7 @@ def _logs(flat: DataFrame, prefix: str, log_no: str, id_col: str = "k") -> DataF
     return flat.select(
         key.alias("key"),
         _envelope(None, log_no, F.col("ms"), _payload(flat, exclude=(id_col, "ms"))).alias("value"),
+        F.col("ms"),
     )
 
 
@@ -184,6 +185,7 @@ def unknown_logs(spark, sf_dir) -> DataFrame:
     return e.select(
         F.concat(F.lit("other:"), _s(F.col("event_id"))).alias("key"),
         _envelope(None, "Other", F.col("ms"), None).alias("value"),
+        F.col("ms"),
     )
 
 
@@ -192,6 +194,7 @@ def bad_logs(spark, sf_dir) -> DataFrame:
     return e.select(
         F.concat(F.lit("bad:"), _s(F.col("event_id"))).alias("key"),
         F.concat(F.lit('{"logNo":'), _s(F.col("event_id"))).alias("value"),
+        F.col("ms"),
     )
 
 
@@ -207,10 +210,12 @@ LOG_BUILDERS = {
 }
 
 
-def logs(spark: SparkSession, sf_dir: str, kinds=None) -> DataFrame:
-    """Envelopes ``key STRING, value STRING`` of the chosen fixture kinds."""
+def logs(spark: SparkSession, sf_dir: str, kinds=None, with_ms: bool = False) -> DataFrame:
+    """Envelopes ``key STRING, value STRING`` of the chosen fixture kinds
+    (plus the event time ``ms`` when ``with_ms``, to order stream files)."""
     kinds = list(LOG_BUILDERS) if kinds is None else list(kinds)
-    parts = [spread(LOG_BUILDERS[k](spark, sf_dir)) for k in kinds]
+    cols = ["key", "value", "ms"] if with_ms else ["key", "value"]
+    parts = [spread(LOG_BUILDERS[k](spark, sf_dir).select(*cols)) for k in kinds]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
