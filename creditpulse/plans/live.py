@@ -41,13 +41,12 @@ def output_rows(logs: DataFrame, tz: str = "UTC", kinds=None) -> DataFrame:
 
 def type_events(logs: DataFrame, tz: str = "UTC") -> DataFrame:
     """JN-1 input from good records: risk rows that touch an order's type,
-    and loan rows that read it.
+    and loan rows that read it. Only the fields these rows need survive
+    column pruning (error test, order id, code, amount)."""
+    return _type_rows(classified(logs, tz, kinds=["risk", "loan"]))
 
-    A plain substring test on the raw text (a superset of the two record
-    types) runs before the parse, so only risk and loan records are parsed.
-    """
-    cheap = F.col("value").contains(cat.LOG_RISK) | F.col("value").contains(cat.LOG_LOAN)
-    recs = classified(logs.where(cheap), tz, kinds=["risk", "loan"])
+
+def _type_rows(recs: DataFrame) -> DataFrame:
     good = F.col("err").isNull()
     risk = generate_where(
         recs,
@@ -116,3 +115,35 @@ def dead_letters(logs: DataFrame, tz: str = "UTC", task_name: str = "CreditLoanD
         F.col("err").alias("exception_info"),
         F.col("json"),
     )
+
+
+def run_batch(logs: DataFrame, counters_root: str, dead_letter_path: str, batch_id: int,
+              tz: str = "UTC", namespace: str = "", task_name: str = "CreditLoanDirectStream") -> None:
+    """Job 1 over a bounded set of logs, with both outputs from one parse.
+
+    The classified records feed the counters, the customer-type as-of join
+    and the dead letters; they are persisted (disk, so a lost executor's
+    blocks are recomputed from lineage rather than holding memory) for the
+    three consumers and released afterwards. Counters are added as batch
+    ``batch_id`` (idempotent), dead letters overwrite their batch directory.
+    """
+    from pyspark import StorageLevel
+
+    from creditpulse.sinks.counters import add_deltas
+    from creditpulse.sinks.deadletters import write_dead_letters
+
+    recs = classified(logs, tz).persist(StorageLevel.DISK_ONLY)
+    try:
+        rows = outputs(recs)
+        good, bad = split_errors(rows)
+        deltas = cat.known_only(explode_deltas(good))
+        typed = asof_type(_type_rows(recs)).select(
+            F.lit("RISK_CUSTOMER_DISTRIBUTION").alias("metric"),
+            F.concat(F.col("type"), F.lit(".amount")).alias("field"), "day", F.col("amount").alias("value"))
+        add_deltas(deltas.unionByName(typed), counters_root, batch_id, namespace)
+        dead = bad.select(
+            F.current_timestamp().alias("collect_time"), F.lit(task_name).alias("task_name"),
+            F.col("err").alias("exception_info"), F.col("json"))
+        write_dead_letters(dead, dead_letter_path, batch_id=batch_id)
+    finally:
+        recs.unpersist()

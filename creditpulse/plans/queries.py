@@ -221,7 +221,7 @@ def restate_days(spark, sf_dir):
     """SM-8 + SC-12: live counters with the clean families of a day and the
     day before replaced by their recomputation from detail tables."""
     counters = live.metric_totals(fx.logs(spark, sf_dir), TZ)
-    prev = spark.range(1).select(bf.prev_day_col(F.lit(RESTATE_DAY)).alias("d")).first()["d"]
+    prev = bf._prev(RESTATE_DAY)
     hist = bf.backfill(*_details(spark, sf_dir), start=f"{prev} 00:00:00", end=None, tz=TZ)
     return bf.restate(counters, hist, RESTATE_DAY, cat.CLEAN_METRICS)
 
