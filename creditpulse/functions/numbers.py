@@ -18,7 +18,7 @@ def _c(c) -> Column:
 
 
 def strict_long(c) -> Column:
-    """Java ``Long.parseLong(s.trim)`` with blank -> 0.
+    """SC-4: Java ``Long.parseLong(s.trim)`` with blank -> 0.
 
     Null input stays null (the caller treats a missing field as an error);
     text that is not an integer also gives null: ``'12.5'`` and ``'abc'`` are
@@ -41,7 +41,7 @@ def _via_decimal(c: Column, to: str) -> Column:
 
 
 def opt_long(c) -> Column:
-    """Nullable long: missing or blank -> null; decimals truncate
+    """SC-5: nullable long: missing or blank -> null; decimals truncate
     (``'12.7'`` -> 12); text that is not a number -> null (see ``opt_error``)."""
     c = _c(c)
     return F.when(~is_blank(c), _via_decimal(c, "bigint"))

@@ -29,13 +29,13 @@ def java_trim(c) -> Column:
 
 
 def first_non_blank(*cols, default: str = "default") -> Column:
-    """First argument that is not blank, returned untrimmed; else ``default``."""
+    """SC-6: first argument that is not blank, returned untrimmed; else ``default``."""
     picks = [F.when(~is_blank(c), _c(c)) for c in cols]
     return F.coalesce(*picks, F.lit(default))
 
 
 def strip_token(c, token: str) -> Column:
-    """Remove every occurrence of ``token`` (a plain string, not a pattern)."""
+    """SC-7: remove every occurrence of ``token`` (a plain string, not a pattern)."""
     return F.replace(_c(c), F.lit(token), F.lit(""))
 
 
@@ -48,7 +48,7 @@ def _escape(sep: str) -> str:
 
 
 def first_part(c, sep: str) -> Column:
-    """First element of a Java ``split`` on the literal ``sep``.
+    """SC-8: first element of a Java ``split`` on the literal ``sep``.
 
     Java drops trailing empty strings, so ``'Y66|X69|'`` gives ``Y66``,
     ``'|Y66'`` gives ``''`` and text made only of separators has no element at
@@ -66,5 +66,5 @@ def split_is_empty(c, sep: str) -> Column:
 
 
 def area_parts(c, sep: str = "|") -> Column:
-    """Array of the parts of a Java ``split`` (trailing empties dropped)."""
+    """SC-9: array of the parts of a Java ``split`` (trailing empties dropped)."""
     return F.split(_drop_trailing(_c(c), sep), _escape(sep))

@@ -45,12 +45,12 @@ def local_ntz(ms, tz: str = "UTC") -> Column:
 
 
 def day_of(ms, tz: str = "UTC") -> Column:
-    """Epoch millis -> ``yyyy-MM-dd`` in the business zone."""
+    """SC-10: epoch millis -> ``yyyy-MM-dd`` in the business zone."""
     return local_ntz(ms, tz).cast("date").cast("string")
 
 
 def bucket_end(ms, width_ms: int = TWO_MINUTES_MS) -> Column:
-    """End of the ``width_ms`` bucket holding ``ms``, in epoch millis.
+    """SC-11: end of the ``width_ms`` bucket holding ``ms``, in epoch millis.
 
     The live job's curve labels a bucket by its end. Integer arithmetic on
     UTC millis equals flooring the local wall clock for every zone whose
@@ -67,7 +67,7 @@ def prev_day(d) -> Column:
 
 
 def text_to_ms(text, tz: str = "UTC") -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` in the business zone -> epoch millis."""
+    """SC-13: ``yyyy-MM-dd HH:mm:ss`` in the business zone -> epoch millis."""
     ntz = F.to_timestamp_ntz(_c(text), F.lit("yyyy-MM-dd HH:mm:ss"))
     if tz != "UTC":
         ntz = F.convert_timezone(F.lit(tz), F.lit("UTC"), ntz)
@@ -75,16 +75,16 @@ def text_to_ms(text, tz: str = "UTC") -> Column:
 
 
 def ms_to_text(ms, tz: str = "UTC") -> Column:
-    """Epoch millis -> ``yyyy-MM-dd HH:mm:ss`` in the business zone."""
+    """SC-13: epoch millis -> ``yyyy-MM-dd HH:mm:ss`` in the business zone."""
     whole_seconds = F.floor(_c(ms) / 1000).cast("bigint") * 1000
     return local_ntz(whole_seconds, tz).cast("string")
 
 
 def date_prefix(c) -> Column:
-    """First ten characters (the day of a ``yyyy-MM-dd ...`` text)."""
+    """SC-14: first ten characters (the day of a ``yyyy-MM-dd ...`` text)."""
     return F.substring(_c(c), 1, 10)
 
 
 def drop_fraction(c) -> Column:
-    """Drop a trailing ``.0`` style fraction that JDBC adds to DATETIME text."""
+    """SC-14: drop a trailing ``.0`` style fraction that JDBC adds to DATETIME text."""
     return F.regexp_replace(_c(c), r"\.\d+$", "")

@@ -206,7 +206,8 @@ def _money_error(kind: str, prefix: str) -> Column:
 
 def _fund_fields():
     f = _money_fields("f")
-    f["f_is_fund"] = F.coalesce(payload("busid") == F.lit(FUND_BUSID), F.lit(False))
+    f["f_is_fund"] = F.coalesce(  # FL-4: fund subscription only
+        payload("busid") == F.lit(FUND_BUSID), F.lit(False))
     return f
 
 
@@ -284,12 +285,12 @@ def _risk_fields():
     ks = opt_int(payload("K_FINAL_SCORE"))
     rule = payload("Z_REJECT_CODE")
     area_ok, province, city = risk_area()
-    band = None
+    band = None  # SC-16 credit score band (level and third-party score bands below)
     for label, lo, hi, hi_incl in CREDIT_BANDS:
         upper = score <= F.lit(hi) if hi_incl else score < F.lit(hi)
         cond = (score >= F.lit(lo)) & upper
         band = F.when(cond, F.lit(label)) if band is None else band.when(cond, F.lit(label))
-    yes = F.lit(False)
+    yes = F.lit(False)  # SC-17 any of three flags is Y
     for flag in ("I_IS_TNH_TARUSER", "I_IS_YFQ_TARUSER", "I_IS_POS_TARUSER"):
         yes = yes | F.coalesce(payload(flag) == F.lit("Y"), F.lit(False))
     code = payload("Z_RESERVED_CHAR5")
@@ -311,6 +312,7 @@ def _risk_fields():
         "r_band": band,
         "r_mix": F.when(~is_blank(code) & ~is_blank(payload("ORDER_ID")), ctype),
         "r_target": F.when(yes, "targetCustomer").otherwise("unTargetCustomer"),
+        # SC-18: either history count above zero
         "r_history": F.when(F.coalesce(hist1, F.lit(0)) + F.coalesce(hist2, F.lit(0)) > 0, "historyCustomer")
         .otherwise("newCustomer"),
         "r_kband": F.when(ks == 0, "0").when((ks > 0) & (ks < 50), "0to50").when(ks >= 50, "50+"),

@@ -16,7 +16,8 @@ from creditpulse.sources.fixtures import table
 
 
 def graph_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """FX-GRAPH: customers, orders and parts as vertices; ``placed``
+    """SRC-7 / FX-GRAPH: the graph scan as Parquet reads. Customers, orders
+    and parts as vertices; ``placed``
     (customer -> order) and ``contains`` (order -> part) as edges."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
