@@ -5,12 +5,18 @@ written_at`` (``field`` is empty for scalar counters). Every write puts the
 *full totals* of the keys it changed into its own ``batch_id=N`` directory
 and overwrites that directory, so a retried batch leaves the same result:
 the current value of a key is the value from its highest batch id.
-Compaction (rewriting the current values as one batch) is a plain read and
-write of :func:`read_counters`.
+
+:func:`compact` folds every batch up to a committed id into one snapshot
+(``_snapshots/through=S``; the leading underscore keeps it out of partition
+discovery) and removes the folded batch directories, so reads and file
+listing stay bounded by the batches since the last compaction instead of
+growing with every micro-batch of the stream.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -24,14 +30,40 @@ SCHEMA = (
 )
 
 
+SNAPSHOTS = "_snapshots"
+SNAPSHOT_SCHEMA = SCHEMA.rsplit(", batch_id bigint", 1)[0]
+
+
+def _ids(spark: SparkSession, path: str, schema: str, part: str) -> list[int]:
+    """Ids in the ``part=N`` directory names below ``path`` (a file listing,
+    no job)."""
+    try:
+        files = spark.read.schema(schema).parquet(path).inputFiles()
+    except AnalysisException:  # nothing written yet
+        return []
+    return sorted({int(m.group(1)) for f in files for m in [re.search(rf"/{part}=(\d+)/", f)] if m})
+
+
+def snapshot_ids(spark: SparkSession, root: str) -> list[int]:
+    """Batch ids through which the store has been compacted."""
+    return _ids(spark, f"{root}/{SNAPSHOTS}", SNAPSHOT_SCHEMA, "through")
+
+
 def read_counters(spark: SparkSession, root: str, before_batch: int | None = None) -> DataFrame:
-    """Current value of every counter (``max_by(value, batch_id)`` per key)."""
+    """Current value of every counter (``max_by(value, batch_id)`` per key):
+    the latest usable snapshot plus the batches written after it."""
     try:
         all_rows = spark.read.schema(SCHEMA).parquet(root)
     except AnalysisException:  # nothing written yet
         return spark.createDataFrame([], SCHEMA).drop("batch_id")
     if before_batch is not None:
         all_rows = all_rows.where(F.col("batch_id") < F.lit(before_batch))
+    snaps = [s for s in snapshot_ids(spark, root) if before_batch is None or s < before_batch]
+    if snaps:
+        base = snaps[-1]
+        snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{root}/{SNAPSHOTS}/through={base}")
+        all_rows = all_rows.where(F.col("batch_id") > F.lit(base)).unionByName(
+            snap.withColumn("batch_id", F.lit(base).cast("bigint")))
     return all_rows.groupBy(*KEY).agg(
         F.max_by("family", "batch_id").alias("family"),
         F.max_by("value", "batch_id").alias("value"),
@@ -39,6 +71,35 @@ def read_counters(spark: SparkSession, root: str, before_batch: int | None = Non
     )
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def compact(spark: SparkSession, root: str, through_batch: int, drop_folded: bool = True) -> None:
+    """Fold all batches up to ``through_batch`` (which must be committed,
+    e.g. the last batch a streaming query finished) into one snapshot.
+
+    The snapshot is written completely before any folded directory is
+    removed; a failed run leaves the store readable as before and can simply
+    be repeated. Batches at or below a compaction point cannot be re-run
+    afterwards (:func:`add_deltas` refuses them).
+    """
+    done = snapshot_ids(spark, root)
+    if not done or through_batch > done[-1]:
+        current = read_counters(spark, root, before_batch=through_batch + 1)
+        current.write.mode("overwrite").parquet(f"{root}/{SNAPSHOTS}/through={through_batch}")
+    if drop_folded:
+        latest = max(done + [through_batch])
+        for b in _ids(spark, root, SCHEMA, "batch_id"):
+            if b <= latest:
+                _delete(spark, f"{root}/batch_id={b}")
+        for s in done:
+            if s < latest:
+                _delete(spark, f"{root}/{SNAPSHOTS}/through={s}")
+
+
 def _finish(totals: DataFrame, namespace: str, batch_id: int, written_at) -> DataFrame:
     w = F.current_timestamp().cast("timestamp_ntz") if written_at is None else written_at
     return totals.select(
@@ -69,6 +130,9 @@ def add_deltas(deltas: DataFrame, root: str, batch_id: int, namespace: str = "",
     gives the same totals (idempotent, unlike a blind increment).
     """
     spark = deltas.sparkSession
+    snaps = snapshot_ids(spark, root)
+    if snaps and batch_id <= snaps[-1]:
+        raise ValueError(f"batch {batch_id} is already folded into the snapshot through {snaps[-1]}")
     current = read_counters(spark, root, before_batch=batch_id).where(F.col("namespace") == F.lit(namespace))
     cur = current.select("metric", "field", "day", F.col("value").alias("_cur"))
     summed = deltas.groupBy("metric", "field", "day").agg(F.sum("value").alias("_delta"))

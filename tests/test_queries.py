@@ -55,6 +55,8 @@ def test_stream_equals_batch_and_replay(spark, duck, sf_small):
     assert digest([tuple(r) for r in stream.collect()], stream.columns) == want
     replay = S.stream_replay(spark, sf_small)
     assert digest([tuple(r) for r in replay.collect()], replay.columns) == want
+    folded = S.stream_counters(spark, sf_small, compact_every=2)  # store compacted while running
+    assert digest([tuple(r) for r in folded.collect()], folded.columns) == want
 
 
 def test_stream_order_type(spark, duck, sf_small):

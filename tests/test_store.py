@@ -41,3 +41,32 @@ def test_lookup_map(spark):
                                 ("bamdata.system", "d", "pass.count", 9)], "family string, day string, field string, value bigint")
     m = store.lookup_map(df, "bamdata.RiskLevel").first()
     assert m.day == "d" and dict(m.fields) == {"max.count": 2, "min.count": 1}
+
+
+def test_compaction_keeps_values_and_bounds_the_store(spark):
+    import os
+
+    import pytest
+
+    root = scratch_path(spark, "test-compact")
+    b = [deltas(spark, [("risk_level", "max.count", "2017-06-14", 2)]),
+         deltas(spark, [("risk_level", "max.count", "2017-06-14", 3), ("daily_apply_count", "", "2017-06-15", 1)]),
+         deltas(spark, [("daily_apply_count", "", "2017-06-15", 4)])]
+    cur = lambda: {(r.metric, r.day): r.value for r in store.read_counters(spark, root).collect()}
+    store.add_deltas(b[0], root, 0)
+    store.add_deltas(b[1], root, 1)
+    store.compact(spark, root, 1)
+    store.compact(spark, root, 1)  # a repeated compaction changes nothing
+    assert cur() == {("risk_level", "2017-06-14"): 5, ("daily_apply_count", "2017-06-15"): 1}
+    store.add_deltas(b[2], root, 2)
+    want = {("risk_level", "2017-06-14"): 5, ("daily_apply_count", "2017-06-15"): 5}
+    assert cur() == want
+    with pytest.raises(ValueError):
+        store.add_deltas(b[2], root, 1)
+    store.compact(spark, root, 2)
+    assert cur() == want
+    local = root.removeprefix("file:")
+    assert not [d for d in os.listdir(local) if d.startswith("batch_id=")]
+    assert os.listdir(os.path.join(local, store.SNAPSHOTS)) == ["through=2"]
+    assert {r.family for r in store.read_counters(spark, root).collect()} == {
+        "bamdata.RiskLevel", "generalApply_CreditLoan.totalOneDay"}
