@@ -5,11 +5,15 @@ from __future__ import annotations
 
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from creditpulse.llm.common import table
+from creditpulse.llm.mixing import Mixture
 from creditpulse.llm.quality_rules import quality
+from creditpulse.llm.secret_scans import scan_documents
 from creditpulse.llm.simhash_dedup import near_duplicates
 from creditpulse.llm.token_counts import count_tokens
+from creditpulse.llm.url_filters import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -19,6 +23,15 @@ def op1_token_counts(spark, sf_dir):
                         public_tokenizers.PATTERN)
 
 
+def op5_url_filters(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_mixing(spark, sf_dir):
+    return Mixture(table(spark, sf_dir, "documents")).documents.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op8_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -28,5 +41,11 @@ def op9_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op8_simhash, op9_quality_rules)}
+def op10_secret_scans(spark, sf_dir):
+    return scan_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op5_url_filters, op6_mixing, op8_simhash, op9_quality_rules,
+                                   op10_secret_scans)}
 ORACLES: dict[str, str] = {}
