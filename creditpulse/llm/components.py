@@ -5,10 +5,12 @@ to its larger ones, then to its smaller ones, until each component is a star
 around its smallest node. A node's minimum is found by partial aggregation and
 joined back, so a hub with any number of links is split like any skewed join.
 Edges are cut to a table each round; only a change count reaches the driver.
+``union`` does the same inside one task, on arrays.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = now.groupBy("hi").agg(F.min("lo").alias("root")).select(F.col("hi").alias("node"), "root")
     return stars.union(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+
+
+def flatten(parent: np.ndarray) -> np.ndarray:
+    while True:
+        up = parent[parent]
+        if np.array_equal(up, parent):
+            return parent
+        parent = up
+
+
+def union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Join the sets of ``a[i]`` and ``b[i]``; ``parent`` is flat before and after."""
+    while True:
+        ra, rb = parent[a], parent[b]
+        apart = ra != rb
+        if not apart.any():
+            return parent
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
+        parent = flatten(parent)

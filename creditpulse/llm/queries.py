@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from creditpulse.llm.common import table
+from creditpulse.llm.embedding_dedup import near_vectors
+from creditpulse.llm.lm_scoring import score_documents
 from creditpulse.llm.mixing import Mixture
 from creditpulse.llm.quality_rules import quality
 from creditpulse.llm.secret_scans import scan_documents
@@ -23,6 +25,10 @@ def op1_token_counts(spark, sf_dir):
                         public_tokenizers.PATTERN)
 
 
+def op4_lm_scoring(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -32,6 +38,10 @@ def op6_mixing(spark, sf_dir):
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -46,6 +56,6 @@ def op10_secret_scans(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op5_url_filters, op6_mixing, op8_simhash, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
                                    op10_secret_scans)}
 ORACLES: dict[str, str] = {}

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditpulse.llm.common import byte_rows, cut, small_batches, with_row_id
-from creditpulse.llm.components import components
+from creditpulse.llm.components import components, union
 
 SEED = 42
 BITS = 64
@@ -96,26 +96,6 @@ def near_lanes(planes: np.ndarray, shift: int, active: np.ndarray, radius: int)
     return left[distance <= radius]
 
 
-def flatten(parent: np.ndarray) -> np.ndarray:
-    while True:
-        up = parent[parent]
-        if np.array_equal(up, parent):
-            return parent
-        parent = up
-
-
-def union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Join the sets of ``a[i]`` and ``b[i]``; ``parent`` is flat before and after."""
-    while True:
-        ra, rb = parent[a], parent[b]
-        apart = ra != rb
-        if not apart.any():
-            return parent
-        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
-        parent = flatten(parent)
-
-
 def link_groups(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links among near fingerprints of equal ``group`` (rows sorted by group)."""
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
