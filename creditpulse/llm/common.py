@@ -62,9 +62,10 @@ def chunks(sizes: list[int], limit: int = CHUNK_BYTES) -> Iterator[range]:
         yield range(start, len(sizes))
 
 
-def with_row_id(docs: DataFrame, name: str = "__row") -> DataFrame:
+def with_row_id(docs: DataFrame, name: str) -> DataFrame:
     """Add the row's file and place in it: the same on every read, however the
-    files are split. A frame that is no plain file scan is written first."""
+    files are split. A frame that is no plain file scan is written first. A
+    column that already has that name is replaced."""
     for frame in (docs, None):
         frame = cut(docs, "rows") if frame is None else frame
         try:
@@ -73,3 +74,8 @@ def with_row_id(docs: DataFrame, name: str = "__row") -> DataFrame:
         except AnalysisException:
             continue
     raise ValueError("no row number for this frame")
+
+
+def numbered(docs: DataFrame, row_col: str | None) -> DataFrame:
+    """``docs`` with a column ``__row``: the caller's own row numbers, or the places in files."""
+    return docs.withColumn("__row", F.col(row_col)) if row_col else with_row_id(docs, "__row")

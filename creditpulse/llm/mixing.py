@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditpulse.llm.common import WORD, cut, with_row_id
+from creditpulse.llm.common import WORD, cut, numbered
 
 ROUNDS = 24  # swap-or-not rounds
 
@@ -61,9 +61,9 @@ def running_start(df: DataFrame, key: str, bucket: Column, order: list, value: s
 def source_targets(sizes: DataFrame, weights: tuple, ratio: float, cap: float) -> DataFrame:
     """``source, source_size`` -> with number ``s``, ``weight`` and ``target``; one row per source."""
     everything = Window.partitionBy()  # one row per source
-    numbered = sizes.withColumn("s", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    ranked = sizes.withColumn("s", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("s") % len(weights) + 1).cast("int"))
-    capped = numbered.withColumn("weight", weight).withColumn("most", F.col("source_size") * cap)
+    capped = ranked.withColumn("weight", weight).withColumn("most", F.col("source_size") * cap)
     by_ratio = Window.orderBy(F.col("most") / F.col("weight"), "s")
     level = ((F.sum(F.col("source_size")).over(everything) * ratio
               - F.coalesce(F.sum("most").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
@@ -94,10 +94,10 @@ class Mixture:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  weights: tuple = (3, 1, 2), ratio: float = 1.5, cap: float = 2.0, block_words: int = 128,
-                 shard_slots: int = 1024, seed: int = 7):
+                 shard_slots: int = 1024, seed: int = 7, row_col: str | None = None):
         self.block_words, self.shard_slots, self.seed = block_words, shard_slots, F.lit(seed)
-        sized = with_row_id(docs, "row_id").select(
-            "row_id", F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        sized = numbered(docs, row_col).select(
+            F.col("__row").alias("row_id"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"))
         rows = cut(sized.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
         sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpulse.llm.common import byte_rows, cut, small_batches, with_row_id
+from creditpulse.llm.common import byte_rows, cut, numbered, small_batches
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -75,11 +75,11 @@ def measure(text: bytes) -> tuple[list[int], list[int], list[int]]:
     return base, list(per_line), list(per_line.values())
 
 
-def measured(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> DataFrame:
+def measured(docs: DataFrame, id_col: str, host_col: str, text_col: str, row_col: str | None) -> DataFrame:
     """``row_id, id, host``, the base measures, text hash and lines of every row."""
     small_batches(docs.sparkSession)
-    rows = with_row_id(docs, "row_id").select("row_id", F.col(id_col).alias("id"), F.col(host_col).alias("host"),
-                                              F.col(text_col).cast("string").alias("text"))
+    rows = numbered(docs, row_col).select(F.col("__row").alias("row_id"), F.col(id_col).alias("id"),
+                                          F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([f"row_id {kind['row_id']}, id {kind['id']}, host {kind['host']}", *(f"{m} long" for m in MEASURES),
                         "text_hash binary, line_hash array<long>, line_words array<int>"])
@@ -100,14 +100,14 @@ def measured(docs: DataFrame, id_col: str, host_col: str, text_col: str) -> Data
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
             min_words: int = 10, max_repeat_pct: int = 20, share: float = 0.05, min_docs: int = 20,
-            min_left_words: int = 10, min_left_pct: int = 20) -> DataFrame:
+            min_left_words: int = 10, min_left_pct: int = 20, row_col: str | None = None) -> DataFrame:
     """``row_id``, id, base measures, ``base_failed``, ``n_removed_words``, ``kept`` of every row.
 
     A line is frequent on a host if more than ``max(min_docs, share * documents)``
     of the host's documents hold it. A document is depleted if fewer than
     ``min_left_words`` or ``min_left_pct`` per cent of its words are left.
     """
-    rows = cut(measured(docs, id_col, host_col, text_col), "quality-rows")
+    rows = cut(measured(docs, id_col, host_col, text_col, row_col), "quality-rows")
     # Equal texts of a host are one document; its first row by id stands for it.
     first = rows.groupBy("host", "text_hash").agg(F.min(F.struct("id", "row_id")).alias("first"))
     sizes = first.groupBy("host").agg((F.count("*") * F.lit(share)).alias("limit"))

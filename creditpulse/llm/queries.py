@@ -13,11 +13,14 @@ from creditpulse.llm.lm_scoring import score_documents
 from creditpulse.llm.mixing import Mixture
 from creditpulse.llm.quality_rules import quality
 from creditpulse.llm.secret_scans import scan_documents
+from creditpulse.llm.sentencepiece_codec import encode
 from creditpulse.llm.simhash_dedup import near_duplicates
 from creditpulse.llm.token_counts import count_tokens
+from creditpulse.llm.toxicity import score, train
 from creditpulse.llm.url_filters import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_token_counts(spark, sf_dir):
@@ -25,6 +28,15 @@ def op1_token_counts(spark, sf_dir):
                         public_tokenizers.PATTERN)
 
 
+def op2_sentencepiece(spark, sf_dir):
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_lm_scoring(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +68,6 @@ def op10_secret_scans(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_toxicity, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
                                    op10_secret_scans)}
 ORACLES: dict[str, str] = {}

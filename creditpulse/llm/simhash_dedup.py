@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpulse.llm.common import byte_rows, cut, small_batches, with_row_id
+from creditpulse.llm.common import byte_rows, cut, numbered, small_batches
 from creditpulse.llm.components import components, union
 
 SEED = 42
@@ -162,10 +162,10 @@ def bucket_links(fps: DataFrame, radius: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, row_col: str | None) -> DataFrame:
     """``row_id, id, fp`` of every row."""
     small_batches(docs.sparkSession)
-    rows = with_row_id(docs, "row_id").select("row_id", F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = numbered(docs, row_col).select(F.col("__row").alias("row_id"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def run(batches):
@@ -178,13 +178,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    radius: int = 2) -> DataFrame:
+                    radius: int = 2, row_col: str | None = None) -> DataFrame:
     """``row_id``, id, ``fingerprint``, ``component_id`` and ``kept`` of every row.
 
     ``kept`` is true for one row of each component: the smallest id's, and the
-    first such row if it repeats. ``row_id`` is ``with_row_id``'s.
+    first such row if it repeats. ``row_id`` is ``row_col``'s value, or
+    the row's place in its file.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+    rows = cut(fingerprints(docs, id_col, text_col, shingle, row_col), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row_id")
     distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("id"), F.min(order).alias("first")), "simhash-distinct")
     roots = components(bucket_links(distinct.select("fp"), radius))
