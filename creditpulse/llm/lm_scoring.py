@@ -309,12 +309,13 @@ class Scorer:
         info = [self.known[w] for w in vocab]
         key = np.array([x[0] for x in info], np.uint64)
         c, s, hot = (np.array([x[i] for x in info], np.float64) for i in (1, 2, 3))
+        c = np.minimum(c, self.m.n)  # a false positive may read more
         ids = [np.fromiter(map(vocab.__getitem__, q), np.int64, len(q)) for q in seqs]
         length = np.array([len(i) for i in ids])
         flat = np.concatenate(ids)
         first = np.cumsum(length) - length
         total = self.m.n + self.floor
-        base = np.where(hot >= 0, np.log10((hot + 0.5) / total), 0.0)[flat]
+        base = np.where(hot >= 0, np.log10((np.maximum(hot, 0) + 0.5) / total), 0.0)[flat]
         known = (hot > 0)[flat]
         before = np.r_[0, flat[:-1]]
         pair, where = np.unique(before * np.int64(len(key)) + flat, return_inverse=True)

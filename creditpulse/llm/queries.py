@@ -11,6 +11,7 @@ from creditpulse.llm.common import table
 from creditpulse.llm.embedding_dedup import near_vectors
 from creditpulse.llm.lm_scoring import score_documents
 from creditpulse.llm.mixing import Mixture
+from creditpulse.llm.oracle import ORACLES  # noqa: F401  registered with the queries
 from creditpulse.llm.quality_rules import quality
 from creditpulse.llm.secret_scans import scan_documents
 from creditpulse.llm.sentencepiece_codec import encode
@@ -70,4 +71,3 @@ def op10_secret_scans(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_toxicity, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
                                    op10_secret_scans)}
-ORACLES: dict[str, str] = {}

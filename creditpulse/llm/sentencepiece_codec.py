@@ -131,7 +131,9 @@ def backend(m: PieceModel, threads: int):
 
     unknown = m.types.index(UNKNOWN)
     if m.kind == UNIGRAM:
-        return Tokenizer(models.Unigram(list(zip(m.pieces, m.scores)), unknown, m.byte_fallback))
+        # Text that spells a control piece is no control piece: noncharacters hide these.
+        names = [p + "\uffff\ufffe" if t in (CONTROL, UNKNOWN) else p for p, t in zip(m.pieces, m.types)]
+        return Tokenizer(models.Unigram(list(zip(names, m.scores)), unknown, m.byte_fallback))
     return Tokenizer(models.BPE({p: i for i, p in enumerate(m.pieces)}, merges_of(m), unk_token=m.pieces[unknown],
                                 fuse_unk=True, byte_fallback=m.byte_fallback))
 
@@ -221,11 +223,25 @@ class Codec:
             self.learn(list(new))
         get = self.ids.__getitem__
         parity = [not self.odd or self.odd.isdisjoint(s) for s in cut]
-        return [b"".join(map(get, s)) for s in cut], parity
+        ids = [b"".join(map(get, s)) for s in cut]
+        for i, text in enumerate(texts):
+            if self.m.squeeze and MARK in text:  # its marks look like spaces to be squeezed: verified whole
+                theirs = np.array(self.judge.encode(text), "<i4").tobytes()
+                ids[i], parity[i] = theirs, theirs == ids[i]
+        return ids, parity
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if self.m.dummy_prefix and text[:1] == " " else text
+        parts = list(map(self.table.__getitem__, ids))
+        if self.m.dummy_prefix or self.m.squeeze:
+            # The first marker is no space; without extra spaces, none is before any text.
+            for i, part in enumerate(parts):
+                if part[:1] == b" " and self.m.types[ids[i]] == NORMAL:
+                    parts[i] = part = part[1:]
+                    if not self.m.squeeze:
+                        break
+                if part:
+                    break
+        return b"".join(parts).decode("utf-8", "replace")
 
     def expected(self, text: str) -> str:
         """What decoding must give back: the text, normalised."""
