@@ -109,7 +109,8 @@ class Mixture:
         of = self.sources.withColumnRenamed("source", "of_source")
         self.rows = rows.join(of, rows["source"].eqNullSafe(of["of_source"])).drop("of_source")
         self.pieces = self._pieces(math.isqrt(rows.count()))
-        self.counts = self._counts(self.sources.agg(F.sum("n_slots")).first()[0] or 0)
+        self.total = self.sources.agg(F.sum("n_slots")).first()[0] or 0
+        self.counts = self._counts(self.total)
         self.slots = self._slots()
         self.documents = self._documents()
 
@@ -165,7 +166,9 @@ class Mixture:
         return running_start(settled, "s", group, ["shard"], "n", "first_k")
 
     def _slots(self) -> DataFrame:
-        each = (self.counts.join(self.sources.select("s", "blocks"), "s")
+        # A row becomes up to shard_slots slots: dealt out first, as sizes at run time do not show that.
+        tasks = max(int(self.sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), self.total >> 19)
+        each = (self.counts.join(self.sources.select("s", "blocks"), "s").repartition(tasks, "s", "shard")
                 .withColumn("k", F.explode(F.expr("sequence(first_k, first_k + n - 1)")))
                 .withColumn("round", F.expr("k div blocks")))
         return each.select("shard", "s", "k", permuted(F.expr("k % blocks"), F.col("blocks"), self.seed, F.col("s"), F.col("round")).alias("block"))
