@@ -23,9 +23,9 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from creditpulse.session import build_session
-    from creditpulse.plans.queries import QUERIES
+    from creditpulse.plans.registry import QUERIES
 
-    spark = build_session(master=f"local[{cpus}]", spark__sql__shuffle__partitions=str(cpus))
+    spark = build_session(master=f"local[{cpus}]", driver_memory="16g", spark__sql__shuffle__partitions=str(cpus))
     # Warm the JVM and the file listing cache once, outside the timings.
     spark.read.parquet(f"{sf_dir}/orders.parquet").write.format("noop").mode("overwrite").save()
 

@@ -1,8 +1,10 @@
 """Log envelope parsing (SC-2, SC-3) and the per-record error column.
 
 A record is bad when its text is not a JSON object, when its ``flatMap`` is
-not an object, or when ``collectTime`` is missing or not a number. The error
-is a short reason text; rules later add their own reasons (FM-9).
+not an object, or when ``collectTime`` is missing, not a number or no time that
+can be expressed (say, nanoseconds). The error is a short reason text; rules
+later add their own reasons (FM-9). Of equal keys in one object the parser
+keeps the first.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditpulse.functions.numbers import opt_long
-from creditpulse.functions.timefn import TWO_MINUTES_MS, bucket_end, day_of
+from creditpulse.functions.timefn import TWO_MINUTES_MS, bucket_end, day_of, in_range
 
 ENVELOPE_SCHEMA = "logNo STRING, collectTime STRING, flatMap MAP<STRING,STRING>, _corrupt_record STRING"
 _PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
@@ -30,14 +32,17 @@ def parse_envelope(
     """
     env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, _PARSE_OPTIONS)
     # The parse goes through a generator: Catalyst never copies a later
-    # filter (on kind, time or error) below a Generate, so each record's
-    # JSON is parsed exactly once whatever the downstream plan does.
+    # filter (on kind, time or error) below a Generate, so one use of the
+    # result parses each record once.
     parsed = logs.select(*logs.columns, F.inline_outer(F.array(env)))
-    collect_ms = opt_long(F.col("collectTime"))
+    given_ms = opt_long(F.col("collectTime"))
+    # Only a time in range reaches a time function: none of them may raise.
+    collect_ms = F.when(in_range(given_ms), given_ms)
     env_err = (
         F.when(F.col(value_col).isNull(), F.lit("empty record"))
         .when(F.col("_corrupt_record").isNotNull(), F.lit("malformed json"))
-        .when(collect_ms.isNull(), F.lit("missing or bad collectTime"))
+        .when(given_ms.isNull(), F.lit("missing or bad collectTime"))
+        .when(collect_ms.isNull(), F.lit("collectTime out of range"))
     )
     return parsed.select(
         *[c for c in logs.columns],

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CTRL = r"[\x00-\x20]"
+#: What Java ``trim`` removes.
+_CTRL = "".join(map(chr, range(0x21)))
 
 
 def _c(c) -> Column:
@@ -20,12 +21,12 @@ def _c(c) -> Column:
 def is_blank(c) -> Column:
     """Null, or empty after Java ``trim``. Never null itself."""
     c = _c(c)
-    return c.isNull() | c.rlike(rf"^{_CTRL}*$")
+    return c.isNull() | (java_trim(c) == "")
 
 
 def java_trim(c) -> Column:
     """Java ``String.trim``: drop characters <= U+0020 at both ends."""
-    return F.regexp_replace(_c(c), rf"^{_CTRL}+|{_CTRL}+$", "")
+    return F.btrim(_c(c), F.lit(_CTRL))
 
 
 def first_non_blank(*cols, default: str = "default") -> Column:
@@ -40,7 +41,11 @@ def strip_token(c, token: str) -> Column:
 
 
 def _drop_trailing(c: Column, sep: str) -> Column:
-    return F.regexp_replace(c, "(" + _escape(sep) + ")+$", "")
+    """Without the separators at the very end of the text (a line end after
+    them is text like any other)."""
+    if len(sep) == 1:
+        return F.rtrim(c, F.lit(sep))
+    return F.regexp_replace(c, "(?:" + _escape(sep) + ")+\\z", "")
 
 
 def _escape(sep: str) -> str:

@@ -37,6 +37,16 @@ def ms_of_ntz(ts) -> Column:
     return days * 86_400_000 + F.hour(ts) * 3_600_000 + F.minute(ts) * 60_000 + millis_of_second
 
 
+#: Epoch millis that every time function takes: the years 0001 to 9999, less
+#: two days at each end for zones and buckets.
+FIRST_MS, LAST_MS = -62_135_424_000_000, 253_402_128_000_000
+
+
+def in_range(ms) -> Column:
+    """Whether ``ms`` is a time that the functions here can express."""
+    return _c(ms).between(FIRST_MS, LAST_MS)
+
+
 def local_ntz(ms, tz: str = "UTC") -> Column:
     ntz = ms_to_ntz(ms)
     if tz == "UTC":
@@ -58,7 +68,7 @@ def bucket_end(ms, width_ms: int = TWO_MINUTES_MS) -> Column:
     """
     ms = _c(ms)
     w = F.lit(width_ms).cast("bigint")
-    return F.floor(ms / w).cast("bigint") * w + w
+    return ms - F.pmod(ms, w) + w
 
 
 def prev_day(d) -> Column:
@@ -87,4 +97,4 @@ def date_prefix(c) -> Column:
 
 def drop_fraction(c) -> Column:
     """SC-14: drop a trailing ``.0`` style fraction that JDBC adds to DATETIME text."""
-    return F.regexp_replace(_c(c), r"\.\d+$", "")
+    return F.regexp_replace(_c(c), r"\.\d+\z", "")

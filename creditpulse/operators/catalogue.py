@@ -17,6 +17,9 @@ LOG_WEALTH = "Finacing_Transaction_Subscribe"
 LOG_RISK = "RiskControl_SP_Result"
 LOG_AUDIT = "CreditLoan_WorkFlow_AuditResult"
 
+# Fixed value: the live job's name in dead letters.
+TASK_NAME = "CreditLoanDirectStream"
+
 # Counter name prefix and the infix of fund/wealth/risk families.
 COUNTER_PREFIX = "dataPlatform"
 INFIX_BAM = "bamdata"
@@ -90,6 +93,11 @@ def family_of(metric: Column) -> Column:
     return F.create_map(*pairs)[metric]
 
 
+def metrics_of(family: str) -> list[str]:
+    """The metric flags that are counted in a family."""
+    return [m for m, g, s, _ in CATALOGUE if f"{g}.{s}" == family]
+
+
 def counter_name(family_group: Column, day: Column, suffix: Column, namespace: str = "") -> Column:
     """``dataPlatform.<group>.<day>.<suffix><namespace>`` (SC-22, SM-10)."""
     return F.concat(F.lit(COUNTER_PREFIX + "."), family_group, F.lit("."), day, F.lit("."), suffix, F.lit(namespace))

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from creditpulse.functions.text import is_blank
 
-BROADCAST_KEY_ROWS = 2_000_000
 
 
 def vertices_of(df: DataFrame, label: str, id_col: str, prefix: str) -> DataFrame:
@@ -76,16 +75,13 @@ def match(vertices: DataFrame, edges: DataFrame, pattern: str, start: DataFrame
     return out
 
 
-def filter_by_keys(df: DataFrame, keys: DataFrame, on: str, key_col: str = "key",
-                   max_broadcast_rows: int = BROADCAST_KEY_ROWS) -> DataFrame:
+def filter_by_keys(df: DataFrame, keys: DataFrame, on: str, key_col: str = "key") -> DataFrame:
     """JN-2: keep rows whose ``on`` value is in the key list (semi join).
 
-    The key list is broadcast only after a bounded count proves it small;
-    beyond that it is an ordinary shuffled semi join.
+    There is no hint: adaptive execution broadcasts the list if its size at
+    run time is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     k = keys.select(F.col(key_col).alias("_k")).where(~is_blank(F.col("_k")))
-    small = k.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    k = F.broadcast(k) if small else k
     return df.join(k, F.col(on) == F.col("_k"), "left_semi")
 
 

@@ -54,7 +54,7 @@ LEVEL_LABELS = [(1.0, "max"), (2.0, "high"), (3.0, "mid"), (4.0, "low"), (5.0, "
 # (label, lower bound inclusive, upper bound, upper bound inclusive)
 CREDIT_BANDS = [("0to300", 0, 300, False), ("300to500", 300, 500, False), ("500to600", 500, 600, False), ("600to750", 600, 750, True)]
 FUND_BUSID = "1G2"
-APP_CHANNEL = "lakalaApp"
+APP_CHANNEL = "app"
 PROVINCE_TOKEN = "省"
 CITY_TOKEN = "市"
 
@@ -130,7 +130,7 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
-def _apply_fields():
+def _apply_fields(app_label: str = APP_CHANNEL):
     raw = payload("applyamt")
     return {
         "a_raw_null": raw.isNull(),
@@ -138,7 +138,7 @@ def _apply_fields():
         "a_amount": strict_long(raw),
         "a_province": apply_province(),
         "a_city": apply_city(),
-        "a_channel": channel(payload("channelcode"), payload("channelsource")),
+        "a_channel": channel(payload("channelcode"), payload("channelsource"), app_label),
     }
 
 
@@ -283,6 +283,7 @@ def _risk_fields():
     hist1 = opt_long(payload("C_HISAPPLY_VAR011"))
     hist2 = opt_long(payload("C_HISAPPLY_VAR001"))
     ks = opt_int(payload("K_FINAL_SCORE"))
+    history = F.try_add(F.coalesce(hist1, F.lit(0)), F.coalesce(hist2, F.lit(0)))
     rule = payload("Z_REJECT_CODE")
     area_ok, province, city = risk_area()
     band = None  # SC-16 credit score band (level and third-party score bands below)
@@ -302,6 +303,7 @@ def _risk_fields():
             .when(opt_error(payload("Z_RESULT_VAR030"), score), F.lit("risk: Z_RESULT_VAR030 is not a number"))
             .when(opt_error(payload("C_HISAPPLY_VAR011"), hist1), F.lit("risk: C_HISAPPLY_VAR011 is not a number"))
             .when(opt_error(payload("C_HISAPPLY_VAR001"), hist2), F.lit("risk: C_HISAPPLY_VAR001 is not a number"))
+            .when(history.isNull(), F.lit("risk: history counts out of range"))
             .when(opt_error(payload("K_FINAL_SCORE"), ks), F.lit("risk: K_FINAL_SCORE is not a number"))
         ),
         "r_amount": F.coalesce(amount, F.lit(0).cast("bigint")),
@@ -313,7 +315,7 @@ def _risk_fields():
         "r_mix": F.when(~is_blank(code) & ~is_blank(payload("ORDER_ID")), ctype),
         "r_target": F.when(yes, "targetCustomer").otherwise("unTargetCustomer"),
         # SC-18: either history count above zero
-        "r_history": F.when(F.coalesce(hist1, F.lit(0)) + F.coalesce(hist2, F.lit(0)) > 0, "historyCustomer")
+        "r_history": F.when(history > 0, "historyCustomer")
         .otherwise("newCustomer"),
         "r_kband": F.when(ks == 0, "0").when((ks > 0) & (ks < 50), "0to50").when(ks >= 50, "50+"),
     }
@@ -356,12 +358,13 @@ _RULES = {
 OUT_TYPE = f"array<{DELTA_TYPE}>"
 
 
-def classify(parsed: DataFrame, kinds=None) -> DataFrame:
+def classify(parsed: DataFrame, kinds=None, app_label: str = APP_CHANNEL) -> DataFrame:
     """Add ``kind``, ``err`` (FM-9 reason or null) and ``out``.
 
     ``out`` holds the record's deltas, or -- for a bad record -- exactly one
     entry whose ``err`` is the reason (FM-9: an error replaces all deltas).
-    ``kinds`` limits which rule sets are compiled into the projection.
+    ``kinds`` limits which rule sets are compiled into the projection;
+    ``app_label`` is the channel name of applications from the own app (SC-19).
     """
     kinds = list(_RULES) if kinds is None else list(kinds)
     kind = F.col("kind")
@@ -372,7 +375,7 @@ def classify(parsed: DataFrame, kinds=None) -> DataFrame:
     # of another kind the payload lookups are null and short-circuit.
     typed = []
     for k in kinds:
-        for name, expr in _RULES[k][0]().items():
+        for name, expr in (_RULES[k][0](app_label) if k == "apply" else _RULES[k][0]()).items():
             typed.append(expr.alias(name))
     staged = staged.select("*", *typed)
     deltas_expr = None

@@ -9,6 +9,8 @@ cut-over is compared in milliseconds.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,17 +165,17 @@ def min_cutover(points: DataFrame) -> DataFrame:
 def restate(counters: DataFrame, recomputed: DataFrame, day: str, families) -> DataFrame:
     """SM-8: drop ``families`` for ``day`` and the day before, then add the
     recomputed rows of those days and families."""
-    days = F.col("day").isin(day, _prev(day))
+    days = (F.col("day") == F.lit(day)) | (F.col("day") == prev_day(F.lit(day)))
     fam = F.col("metric").isin(list(families))
     kept = counters.where(~(days & fam))
     fresh = recomputed.where(days & fam)
     return kept.unionByName(fresh.select(*counters.columns))
 
 
-def _prev(day: str) -> str:
-    import datetime as _dt
-
-    return (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
+def _shift(day: str, days: int) -> str:
+    return (dt.date.fromisoformat(day) + dt.timedelta(days=days)).isoformat()
 
 
-prev_day_col = prev_day
+def restate_range(day: str) -> tuple[str, str]:
+    """Half-open time range of the two days that a restatement recomputes."""
+    return f"{_shift(day, -1)} 00:00:00", f"{_shift(day, 1)} 00:00:00"

@@ -46,6 +46,7 @@ CTE["fx_apply"] = """fx_apply AS (
     CASE WHEN k % 4 = 0 THEN '' ELSE concat('C', CAST(ck % 50 AS VARCHAR), '市') END AS lbsCity,
     CASE WHEN k % 8 = 0 THEN NULL ELSE concat('B', CAST(ck % 20 AS VARCHAR), '市') END AS belongCity,
     CASE WHEN k % 101 = 0 THEN NULL WHEN k % 97 = 0 THEN 'abc' WHEN k % 89 = 0 THEN ' '
+         WHEN k % 83 = 0 THEN concat(' ', chr(133)) WHEN k % 79 = 0 THEN chr(10)
          ELSE CAST(CAST(floor(price) AS BIGINT) AS VARCHAR) END AS applyamt,
     CASE WHEN k % 3 = 0 THEN concat(' ', seg, ' ') END AS channelcode,
     CASE WHEN k % 3 = 1 THEN 'A' ELSE 'B' END AS channelsource
@@ -56,7 +57,7 @@ CTE["apply_ok"] = f"""apply_ok AS (
     CASE WHEN {nb('lbsProvince')} THEN lbsProvince WHEN {nb('belongProvince')} THEN belongProvince ELSE 'default' END AS province,
     CASE WHEN {nb('lbsCity')} THEN replace(lbsCity, '市', '') WHEN {nb('belongCity')} THEN replace(belongCity, '市', '')
          ELSE 'default' END AS city,
-    CASE WHEN {nb('channelcode')} THEN trim(channelcode) WHEN channelsource = 'A' THEN 'lakalaApp' END AS channel
+    CASE WHEN {nb('channelcode')} THEN trim(channelcode) WHEN channelsource = 'A' THEN 'app' END AS channel
   FROM fx_apply
   WHERE applyamt IS NOT NULL AND ({blank('applyamt')} OR {is_int('applyamt')}))"""
 def apply_d(src="apply_ok", name="apply_d"):
@@ -75,7 +76,7 @@ CTE["fx_loan"] = """fx_loan AS (
   SELECT k, ms + (k % 9) * 86400000 AS ms,
     CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(k AS VARCHAR) END AS orderId,
     CASE WHEN k % 103 = 0 THEN NULL ELSE CAST(CAST(floor(price) AS BIGINT) AS VARCHAR) END AS capitalAmount
-  FROM b WHERE k % 2 = 0)"""
+  FROM b)"""
 CTE["loan_ok"] = f"""loan_ok AS (
   SELECT *, {day('ms')} AS day, {bucket('ms')} AS bucket,
     CASE WHEN {blank('capitalAmount')} THEN 0 ELSE TRY_CAST(trim(capitalAmount) AS BIGINT) END AS amount
@@ -95,13 +96,13 @@ CTE["fx_risk"] = """fx_risk AS (
     CASE WHEN k % 13 = 0 THEN '' WHEN pr = '1' THEN 'N' WHEN pr = '2' THEN 'J1' WHEN pr = '3' THEN 'J2'
          WHEN pr = '4' THEN 'Z1' ELSE 'Z2' END AS Z_RESERVED_CHAR5,
     CASE WHEN k % 7 = 0 THEN NULL ELSE CAST(floor(price) AS BIGINT) END AS Z_PERMIT_LMT,
-    CASE k % 5 WHEN 0 THEN 'Y66|X69|' WHEN 1 THEN '|Y7' WHEN 2 THEN '||' WHEN 3 THEN NULL
-         ELSE concat('R', CAST(k % 11 AS VARCHAR)) END AS Z_REJECT_CODE,
+    CASE WHEN k % 5 = 0 THEN 'Y66|X69|' WHEN k % 5 = 1 THEN '|Y7' WHEN k % 10 = 7 THEN concat('||', chr(10)) WHEN k % 5 = 2 THEN '||'
+         WHEN k % 5 = 3 THEN NULL ELSE concat('R', CAST(k % 11 AS VARCHAR)) END AS Z_REJECT_CODE,
     CASE WHEN k % 107 = 0 THEN 'bad' WHEN k % 23 = 0 THEN NULL ELSE concat(CAST(k % 7 AS VARCHAR), '.0') END AS Z_RESULT_VAR104,
     CASE st WHEN 'F' THEN 'AD' WHEN 'O' THEN ' AP ' ELSE 'RR' END AS Z_RESULT_VAR014,
     CAST(k % 801 AS VARCHAR) AS Z_RESULT_VAR030,
     CASE k % 3 WHEN 0 THEN concat(nn, '省|C', CAST(ck % 50 AS VARCHAR), '市|D') WHEN 1 THEN concat(nn, '省|C1市|')
-         ELSE concat(nn, '省|C2市|D|') END AS A_APCR_NAMES,
+         ELSE concat(nn, '省|C2市|D|', CASE WHEN k % 6 = 5 THEN chr(8232) ELSE '' END) END AS A_APCR_NAMES,
     k % 3 AS C_HISAPPLY_VAR011,
     k % 120 - 10 AS K_FINAL_SCORE,
     CASE WHEN k % 4 = 0 THEN 'Y' ELSE 'N' END AS I_IS_TNH_TARUSER,
@@ -165,7 +166,7 @@ CTE["audit_d"] = f"""audit_d AS (
   UNION ALL SELECT 'risk_reject_code', split_part(rtrim(A_REJECT_CODE, ','), ',', 1), day, 1, ms FROM audit_ok
   WHERE {nb('A_REJECT_CODE')})"""
 CTE["ev"] = """ev AS (
-  SELECT event_id, event_type, epoch_ms(ts) AS ms,
+  SELECT event_id, event_type, epoch_us(ts) // 1000 AS ms,
     CASE WHEN event_id % 53 = 0 THEN NULL ELSE CAST(floor(value * 100) AS BIGINT) END AS amount,
     CASE WHEN event_type = 'purchase' THEN '1G2' ELSE '9Z9' END AS busid
   FROM events)"""
@@ -221,7 +222,13 @@ CTE.update(asof_ctes("te"))
 CTE["type_d"] = """type_d AS (
   SELECT 'RISK_CUSTOMER_DISTRIBUTION' AS metric, last_type || '.amount' AS field, day, amount AS value, ts AS ms FROM typed)"""
 
+CTE["late_d"] = f"""late_d AS (
+  SELECT 'RISK_CUSTOMER_DISTRIBUTION' AS metric, t.type || '.amount' AS field, l.day, l.amount AS value, l.ts AS ms
+  FROM te l JOIN te t ON t.order_id = l.order_id AND t.r = 0 AND l.r = 1
+  WHERE t.type IS NOT NULL AND l.ts - t.ts < {TTL})"""
+
 DEPS = {
+    "late_d": ["te"],
     "apply_ok": ["b", "fx_apply"], "apply_d": ["apply_ok"], "loan_ok": ["b", "fx_loan"], "loan_d": ["loan_ok"],
     "risk_ok": ["b", "fx_risk"], "risk_l": ["risk_ok"], "risk_d": ["risk_l"], "audit_ok": ["b", "fx_audit"],
     "audit_d": ["audit_ok"], "fund_d": ["ev"], "wealth_d": ["ev"], "te": ["risk_ok", "loan_ok"], "s1": ["te"],
@@ -304,25 +311,34 @@ CTE["fx_bad"] = """fx_bad AS (SELECT event_id FROM events WHERE event_type = 'er
 CTE["recs"] = f"""recs AS (
   SELECT 'apply' AS kind, concat('apply:', CAST(k AS VARCHAR)) AS record_key,
     CASE WHEN applyamt IS NULL THEN 'apply: missing applyamt'
-         WHEN NOT ({blank('applyamt')} OR {is_int('applyamt')}) THEN 'apply: applyamt is not an integer' END AS reason
+         WHEN NOT ({blank('applyamt')} OR {is_int('applyamt')}) THEN 'apply: applyamt is not an integer' END AS reason,
+    'generalApply_CreditLoan' AS log_no, CAST(ms AS VARCHAR) AS time_text
   FROM fx_apply
   UNION ALL SELECT 'loan', concat('loan:', CAST(k AS VARCHAR)),
     CASE WHEN capitalAmount IS NULL THEN 'loan: missing capitalAmount'
-         WHEN NOT ({blank('capitalAmount')} OR {is_int('capitalAmount')}) THEN 'loan: capitalAmount is not an integer' END
+         WHEN NOT ({blank('capitalAmount')} OR {is_int('capitalAmount')}) THEN 'loan: capitalAmount is not an integer' END,
+    'CreditLoan_WorkFlow_LoanAmount', CAST(ms AS VARCHAR)
   FROM fx_loan
   UNION ALL SELECT 'risk', concat('risk:', CAST(k AS VARCHAR)),
     CASE WHEN {nb('Z_RESULT_VAR104')} AND TRY_CAST(Z_RESULT_VAR104 AS FLOAT) IS NULL THEN 'risk: Z_RESULT_VAR104 is not a number'
-         WHEN {nb('Z_RESULT_VAR030')} AND TRY_CAST(Z_RESULT_VAR030 AS DOUBLE) IS NULL THEN 'risk: Z_RESULT_VAR030 is not a number' END
+         WHEN {nb('Z_RESULT_VAR030')} AND TRY_CAST(Z_RESULT_VAR030 AS DOUBLE) IS NULL THEN 'risk: Z_RESULT_VAR030 is not a number' END,
+    'RiskControl_SP_Result', CAST(ms AS VARCHAR)
   FROM fx_risk
   UNION ALL SELECT 'audit', concat('audit:', CAST(k AS VARCHAR)),
-    CASE WHEN {nb('A_REJECT_CODE')} AND rtrim(A_REJECT_CODE, ',') = '' THEN 'audit: reject code has no part' END
+    CASE WHEN {nb('A_REJECT_CODE')} AND rtrim(A_REJECT_CODE, ',') = '' THEN 'audit: reject code has no part' END,
+    'CreditLoan_WorkFlow_AuditResult', CAST(ms AS VARCHAR)
   FROM fx_audit
-  UNION ALL SELECT 'fund', concat('fund:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'fund: missing amount' END
+  UNION ALL SELECT 'fund', concat('fund:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'fund: missing amount' END,
+    'Fund_Market_Subscribe', CAST(ms AS VARCHAR)
   FROM ev WHERE event_type IN ('purchase', 'signup')
-  UNION ALL SELECT 'wealth', concat('wealth:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'wealth: missing amount' END
+  UNION ALL SELECT 'wealth', concat('wealth:', CAST(event_id AS VARCHAR)), CASE WHEN amount IS NULL THEN 'wealth: missing amount' END,
+    'Finacing_Transaction_Subscribe', CAST(ms AS VARCHAR)
   FROM ev WHERE event_type = 'view'
-  UNION ALL SELECT 'unknown', concat('other:', CAST(event_id AS VARCHAR)), NULL FROM ev WHERE event_type = 'click'
-  UNION ALL SELECT 'unknown', concat('bad:', CAST(event_id AS VARCHAR)), 'malformed json' FROM ev WHERE event_type = 'error')"""
+  UNION ALL SELECT 'unknown', concat('other:', CAST(event_id AS VARCHAR)), NULL, 'Other', CAST(ms AS VARCHAR) FROM ev WHERE event_type = 'click'
+  UNION ALL SELECT CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'risk' END, concat('bad:', CAST(event_id AS VARCHAR)),
+    CASE event_id % 4 WHEN 0 THEN 'malformed json' WHEN 3 THEN 'risk: history counts out of range'
+    ELSE 'collectTime out of range' END, CASE WHEN event_id % 4 <> 0 THEN 'RiskControl_SP_Result' END,
+    CASE event_id % 4 WHEN 1 THEN CAST(ms * 1000000 AS VARCHAR) WHEN 2 THEN '9223372036854775807' WHEN 3 THEN CAST(ms AS VARCHAR) END FROM ev WHERE event_type = 'error')"""
 DEPS["recs"] = ["fx_apply", "fx_loan", "fx_risk", "fx_audit", "ev"]
 
 # FX-DETAIL and the backfill rules.
@@ -400,7 +416,7 @@ def _more() -> dict:
   count(*) AS records FROM recs GROUP BY 1, 2""")
     o["good_bad_split"] = with_ctes(["recs"], "SELECT kind, reason, count(*) AS records FROM recs WHERE reason IS NOT NULL GROUP BY 1, 2")
     o["dead_letters"] = with_ctes(["recs"], """SELECT 'CreditLoanDirectStream' AS task_name, reason AS exception_info,
-  record_key FROM recs WHERE reason IS NOT NULL""")
+  record_key, log_no, time_text FROM recs WHERE reason IS NOT NULL""")
     fields = ["lbsProvince", "belongProvince", "lbsCity", "belongCity", "applyamt", "channelcode", "channelsource"]
     o["blank_fields"] = with_ctes(["fx_apply"], " UNION ALL ".join(
         f"SELECT '{f}' AS field, CAST(sum(CASE WHEN {blank(f)} THEN 1 ELSE 0 END) AS BIGINT) AS blanks FROM fx_apply" for f in fields))
@@ -481,12 +497,11 @@ ORACLES.update(_more())
 
 def _stream_oracles() -> dict:
     o = {}
-    no_types = ["apply_d", "loan_d", "risk_d", "audit_d", "fund_d", "wealth_d"]
-    o["stream_counters"] = totals_sql(no_types)
-    o["stream_replay"] = totals_sql(no_types)
+    o["stream_counters"] = o["stream_replay"] = totals_sql(ALL_SOURCES)
+    # Loans after everything else: an order's only touch, if the loan is less than the TTL after it.
+    o["stream_late_loans"] = totals_sql(["apply_d", "loan_d", "risk_d", "audit_d", "fund_d", "wealth_d", "late_d"])
     o["stream_two_minute"] = totals_sql(["apply_d", "loan_d"], ["sub_apply_count", "sub_apply_amount", "sub_loan_count", "sub_loan_amount"])
-    o["stream_dead_letters"] = with_ctes(["recs"], "SELECT reason AS exception_info, count(*) AS records FROM recs "
-                                                   "WHERE reason IS NOT NULL GROUP BY 1")
+    o["stream_dead_letters"] = ORACLES["dead_letters"]
     o["stream_loan_type"] = ORACLES["loan_type_asof"]
     return o
 

@@ -25,6 +25,7 @@ from creditpulse.plans import export as ex
 from creditpulse.plans import live
 from creditpulse.sinks import counters as store
 from creditpulse.sinks.csvout import write_csv
+from creditpulse.sinks.deadletters import write_dead_letters
 from creditpulse.session import scratch_path
 from creditpulse.sources import fixtures as fx
 from creditpulse.sources.keys import read_keys
@@ -88,10 +89,20 @@ def good_bad_split(spark, sf_dir):
 
 
 def dead_letters(spark, sf_dir):
-    """SNK-3 rows (without the write time): task, reason, record key."""
-    _, bad = split_errors(live.output_rows(fx.logs(spark, sf_dir), TZ))
-    return bad.select(F.lit("CreditLoanDirectStream").alias("task_name"),
-                      F.col("err").alias("exception_info"), F.col("key").alias("record_key"))
+    """SNK-3: bad records written as dead letters and read back (without the
+    write time): task, reason, record key, and fields of the stored raw text."""
+    path = scratch_path(spark, "dead-letters")
+    recs = live.slim(live.classified(fx.logs(spark, sf_dir), TZ))
+    write_dead_letters(live.dead_rows(recs), path, batch_id=0)
+    return letter_fields(spark.read.parquet(path))
+
+
+def letter_fields(letters: DataFrame) -> DataFrame:
+    """Stored dead letters with two fields of their raw text, null if it is no JSON."""
+    raw = F.from_json("json", "logNo STRING, collectTime STRING, _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return letters.withColumn("raw", raw).withColumn("sound", F.col("raw._corrupt_record").isNull()).select(
+        "task_name", "exception_info", "record_key", F.when(F.col("sound"), F.col("raw.logNo")).alias("log_no"),
+        F.when(F.col("sound"), F.col("raw.collectTime")).alias("time_text"))
 
 
 APPLY_FIELDS = ["lbsProvince", "belongProvince", "lbsCity", "belongCity", "applyamt", "channelcode", "channelsource"]
@@ -221,8 +232,8 @@ def restate_days(spark, sf_dir):
     """SM-8 + SC-12: live counters with the clean families of a day and the
     day before replaced by their recomputation from detail tables."""
     counters = live.metric_totals(fx.logs(spark, sf_dir), TZ)
-    prev = bf._prev(RESTATE_DAY)
-    hist = bf.backfill(*_details(spark, sf_dir), start=f"{prev} 00:00:00", end=None, tz=TZ)
+    start, end = bf.restate_range(RESTATE_DAY)
+    hist = bf.backfill(*_details(spark, sf_dir), start=start, end=end, tz=TZ)
     return bf.restate(counters, hist, RESTATE_DAY, cat.CLEAN_METRICS)
 
 
@@ -234,24 +245,9 @@ def _stored(spark, sf_dir, namespace: str = "") -> DataFrame:
     cut-over), then read back. ``written_at`` is the event time of the
     newest record of the key (the store's clock in a replay)."""
     root = scratch_path(spark, "counters")
-    good, _ = split_errors(live.output_rows(fx.logs(spark, sf_dir), TZ))
-    deltas = good.where(F.col("metric").isin(cat.METRICS)).select("metric", "field", "day", "value", "collect_ms")
-    types = live.type_events(fx.logs(spark, sf_dir, ["loan", "risk"]), TZ)
-    typed = asof_type(types).select(
-        F.lit("RISK_CUSTOMER_DISTRIBUTION").alias("metric"), F.concat("type", F.lit(".amount")).alias("field"),
-        "day", F.col("amount").alias("value"), F.col("ts").alias("collect_ms"))
-    deltas = deltas.unionByName(typed)
-    from creditpulse.functions.timefn import ms_to_ntz
+    deltas = live.all_deltas(fx.logs(spark, sf_dir), TZ)
     for batch_id, cond in enumerate([F.col("collect_ms") < CUTOVER_MS, F.col("collect_ms") >= CUTOVER_MS]):
-        part = deltas.where(cond)
-        summed = part.groupBy("metric", "field", "day").agg(
-            F.sum("value").alias("value"), F.max("collect_ms").alias("last_ms"))
-        cur = store.read_counters(spark, root, before_batch=batch_id).where(F.col("namespace") == namespace)
-        totals = summed.join(cur.select("metric", "field", "day", F.col("value").alias("_cur")),
-                             ["metric", "field", "day"], "left").select(
-            "metric", "field", "day", (F.coalesce("_cur", F.lit(0)) + F.col("value")).alias("value"),
-            ms_to_ntz(F.col("last_ms")).alias("_w"))
-        store.write_totals(totals, root, batch_id, namespace, written_at=F.col("_w"))
+        store.add_deltas(deltas.where(cond), root, batch_id, namespace, clock_ms="collect_ms")
     return store.read_counters(spark, root)
 
 
@@ -416,13 +412,7 @@ def _registry():
         "export_page": export_page,
         "row_to_json": row_to_json,
     }
-    try:
-        from creditpulse.plans import stream_queries
-
-        q.update(stream_queries.QUERIES)
-    except ImportError:
-        pass
     return q
 
 
-QUERIES = _registry()
+QUERIES = _registry()  # the batch queries; registry.py has all

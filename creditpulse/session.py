@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", app: str = "creditpulse", **conf: str) -> SparkSession:
+def build_session(master: str | None = None, app: str = "creditpulse", **conf: str) -> SparkSession:
     """A session with the settings the jobs expect.
 
-    The business time zone is an explicit argument of every time function,
-    so the session zone only matters for ``TIMESTAMP`` display; it is pinned
-    to UTC so that ``TIMESTAMP_NTZ`` values read from Parquet compare equal
-    to DuckDB's naive timestamps.
+    Master, memory and shuffle partitions are the deployment's: they are set
+    only where given here (``spark__sql__shuffle__partitions="8"``). The
+    business time zone is an explicit argument of every time function, so the
+    session zone only matters for ``TIMESTAMP`` display; it is pinned to UTC so
+    that ``TIMESTAMP_NTZ`` values read from Parquet compare equal to DuckDB's
+    naive timestamps.
     """
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", conf.pop("driver_memory", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
         # The metric-rules stage generates one large method; HotSpot does not
         # JIT methods over 8000 bytes of bytecode, so past that size Spark's
         # own fallback (split per operator) runs faster (measured 45s -> 30s).
@@ -35,6 +33,10 @@ def build_session(master: str = "local[8]", app: str = "creditpulse", **conf: st
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     )
+    if master:
+        builder = builder.master(master)
+    if "driver_memory" in conf:
+        builder = builder.config("spark.driver.memory", conf.pop("driver_memory"))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
@@ -46,13 +48,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach; it is
-    read, never overridden. Only when it is unset (local runs and tests) a
-    folder is created here and registered on the session.
+    read, never overridden, and a job without it is refused. Only a local
+    session (tests) gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="creditpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -64,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def materialised(df, name: str):
+    """``df`` written once below the shared folder and read back: consumers
+    share one computation, which a lost executor does not take along."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,20 +8,21 @@ the current value of a key is the value from its highest batch id.
 
 :func:`compact` folds every batch up to a committed id into one snapshot
 (``_snapshots/through=S``; the leading underscore keeps it out of partition
-discovery) and removes the folded batch directories, so reads and file
-listing stay bounded by the batches since the last compaction instead of
-growing with every micro-batch of the stream.
+discovery), without the counters past their retention. Only directories with
+Spark's ``_SUCCESS`` mark count as written: a snapshot or batch that was cut
+short is not read, and a repeated write replaces it. Folded batches and older
+snapshots stay until the next compaction, for readers that still list them.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from creditpulse.operators.catalogue import family_of
+from creditpulse.functions.timefn import ms_to_ntz
+from creditpulse.operators.catalogue import family_of, metrics_of
 
 KEY = ["namespace", "metric", "field", "day"]
 SCHEMA = (
@@ -31,73 +32,82 @@ SCHEMA = (
 
 
 SNAPSHOTS = "_snapshots"
-SNAPSHOT_SCHEMA = SCHEMA.rsplit(", batch_id bigint", 1)[0]
+ROW_SCHEMA = SCHEMA.rsplit(", batch_id bigint", 1)[0]
+RETENTION_DAYS = 32
 
 
-def _ids(spark: SparkSession, path: str, schema: str, part: str) -> list[int]:
-    """Ids in the ``part=N`` directory names below ``path`` (a file listing,
-    no job)."""
-    try:
-        files = spark.read.schema(schema).parquet(path).inputFiles()
-    except AnalysisException:  # nothing written yet
-        return []
-    return sorted({int(m.group(1)) for f in files for m in [re.search(rf"/{part}=(\d+)/", f)] if m})
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def written(spark: SparkSession, path: str, part: str) -> dict[int, bool]:
+    """``id -> complete`` of the ``part=N`` directories below ``path`` (a
+    listing of names; nothing if ``path`` is not there)."""
+    p, fs = _path(spark, path)
+    out = {}
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        m = re.fullmatch(rf"{part}=(\d+)", status.getPath().getName())
+        if m:
+            out[int(m.group(1))] = fs.exists(_path(spark, f"{path}/{m.group(0)}/_SUCCESS")[0])
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
 
 
 def snapshot_ids(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids through which the store has been compacted."""
-    return _ids(spark, f"{root}/{SNAPSHOTS}", SNAPSHOT_SCHEMA, "through")
+    """Batch ids through which the store has been compacted (complete snapshots only)."""
+    return sorted(i for i, done in written(spark, f"{root}/{SNAPSHOTS}", "through").items() if done)
 
 
 def read_counters(spark: SparkSession, root: str, before_batch: int | None = None) -> DataFrame:
     """Current value of every counter (``max_by(value, batch_id)`` per key):
-    the latest usable snapshot plus the batches written after it."""
-    try:
-        all_rows = spark.read.schema(SCHEMA).parquet(root)
-    except AnalysisException:  # nothing written yet
-        return spark.createDataFrame([], SCHEMA).drop("batch_id")
-    if before_batch is not None:
-        all_rows = all_rows.where(F.col("batch_id") < F.lit(before_batch))
-    snaps = [s for s in snapshot_ids(spark, root) if before_batch is None or s < before_batch]
-    if snaps:
-        base = snaps[-1]
-        snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{root}/{SNAPSHOTS}/through={base}")
-        all_rows = all_rows.where(F.col("batch_id") > F.lit(base)).unionByName(
-            snap.withColumn("batch_id", F.lit(base).cast("bigint")))
-    return all_rows.groupBy(*KEY).agg(
+    the latest complete snapshot plus the complete batches written after it."""
+    last = before_batch if before_batch is not None else float("inf")
+    base = max((s for s in snapshot_ids(spark, root) if s < last), default=-1)
+    parts = [spark.createDataFrame([], SCHEMA)]
+    if base >= 0:
+        snap = spark.read.schema(ROW_SCHEMA).parquet(f"{root}/{SNAPSHOTS}/through={base}")
+        parts.append(snap.withColumn("batch_id", F.lit(base).cast("bigint")))
+    batches = [f"{root}/batch_id={b}" for b, done in sorted(written(spark, root, "batch_id").items()) if done and base < b < last]
+    if batches:
+        parts.append(spark.read.schema(SCHEMA).option("basePath", root).parquet(*batches))
+    rows = parts[-1] if len(parts) < 3 else parts[1].unionByName(parts[2])
+    return rows.groupBy(*KEY).agg(
         F.max_by("family", "batch_id").alias("family"),
         F.max_by("value", "batch_id").alias("value"),
         F.max_by("written_at", "batch_id").alias("written_at"),
     )
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def compact(spark: SparkSession, root: str, through_batch: int, drop_folded: bool = True) -> None:
+def compact(spark: SparkSession, root: str, through_batch: int, drop_folded: bool = True,
+            as_of=None, days: int = RETENTION_DAYS) -> None:
     """Fold all batches up to ``through_batch`` (which must be committed,
     e.g. the last batch a streaming query finished) into one snapshot.
 
-    The snapshot is written completely before any folded directory is
-    removed; a failed run leaves the store readable as before and can simply
-    be repeated. Batches at or below a compaction point cannot be re-run
-    afterwards (:func:`add_deltas` refuses them).
+    With ``as_of`` the counters past their retention are left out (SNK-5).
+    What earlier compactions folded is removed; a failed run leaves the store
+    readable as before and can simply be repeated. Batches at or below a
+    compaction point cannot be re-run afterwards (:func:`add_deltas` refuses
+    them).
     """
     done = snapshot_ids(spark, root)
     if not done or through_batch > done[-1]:
         current = read_counters(spark, root, before_batch=through_batch + 1)
+        if as_of is not None:
+            current = expire(current, as_of, days)
         current.write.mode("overwrite").parquet(f"{root}/{SNAPSHOTS}/through={through_batch}")
-    if drop_folded:
-        latest = max(done + [through_batch])
-        for b in _ids(spark, root, SCHEMA, "batch_id"):
-            if b <= latest:
-                _delete(spark, f"{root}/batch_id={b}")
-        for s in done:
-            if s < latest:
-                _delete(spark, f"{root}/{SNAPSHOTS}/through={s}")
+    if drop_folded and done:
+        folded = done[-1] if through_batch > done[-1] else max(done[:-1], default=-1)
+        for b in written(spark, root, "batch_id"):
+            if b <= folded:
+                delete(spark, f"{root}/batch_id={b}")
+        for s in written(spark, f"{root}/{SNAPSHOTS}", "through"):
+            if s < folded:
+                delete(spark, f"{root}/{SNAPSHOTS}/through={s}")
 
 
 def _finish(totals: DataFrame, namespace: str, batch_id: int, written_at) -> DataFrame:
@@ -123,11 +133,14 @@ def write_totals(totals: DataFrame, root: str, batch_id: int, namespace: str = "
     out.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
 
-def add_deltas(deltas: DataFrame, root: str, batch_id: int, namespace: str = "", written_at=None) -> None:
+def add_deltas(deltas: DataFrame, root: str, batch_id: int, namespace: str = "", written_at=None,
+               clock_ms: str | None = None) -> None:
     """SNK-1/SNK-2: add summed deltas to the stored counters as batch ``batch_id``.
 
     Reads only batches before ``batch_id``, so re-running the same batch
-    gives the same totals (idempotent, unlike a blind increment).
+    gives the same totals (idempotent, unlike a blind increment). The write
+    time is ``written_at``, or the newest ``clock_ms`` (epoch millis) of the
+    key's deltas, or now.
     """
     spark = deltas.sparkSession
     snaps = snapshot_ids(spark, root)
@@ -135,10 +148,13 @@ def add_deltas(deltas: DataFrame, root: str, batch_id: int, namespace: str = "",
         raise ValueError(f"batch {batch_id} is already folded into the snapshot through {snaps[-1]}")
     current = read_counters(spark, root, before_batch=batch_id).where(F.col("namespace") == F.lit(namespace))
     cur = current.select("metric", "field", "day", F.col("value").alias("_cur"))
-    summed = deltas.groupBy("metric", "field", "day").agg(F.sum("value").alias("_delta"))
+    clock = [F.max(ms_to_ntz(F.col(clock_ms))).alias("_at")] if clock_ms else []
+    summed = deltas.groupBy("metric", "field", "day").agg(F.sum("value").alias("_delta"), *clock)
     totals = summed.join(cur, ["metric", "field", "day"], "left").select(
-        "metric", "field", "day", (F.coalesce(F.col("_cur"), F.lit(0)) + F.col("_delta")).alias("value")
+        "metric", "field", "day", (F.coalesce(F.col("_cur"), F.lit(0)) + F.col("_delta")).alias("value"),
+        *(["_at"] if clock_ms else []),
     )
+    written_at = F.col("_at") if clock_ms else written_at
     write_totals(totals, root, batch_id, namespace, written_at)
 
 
@@ -150,15 +166,17 @@ def expire(counters: DataFrame, as_of, days: int = 32) -> DataFrame:
     ``yyyy-MM-dd HH:mm:ss`` text (wall clock, same clock as ``written_at``).
     """
     as_of_col = F.to_timestamp_ntz(F.lit(as_of)) if isinstance(as_of, str) else as_of
-    w = Window.partitionBy("namespace", "day", "family")
-    last = F.max("written_at").over(w)
+    key = ["namespace", "day", "family"]
     limit = F.timestamp_add("DAY", F.lit(-days), as_of_col)
-    return counters.withColumn("_last", last).where(F.col("_last") > limit).drop("_last")
+    alive = counters.groupBy(*key).agg(F.max("written_at").alias("_last")).where(F.col("_last") > limit).drop("_last")
+    return counters.join(alive, key, "left_semi")
 
 
 def lookup(counters: DataFrame, family: str, day: str | None = None) -> DataFrame:
     """SNK-6: the fields of one counter family (optionally of one day)."""
-    out = counters.where(F.col("family") == F.lit(family))
+    # By metric, which is a key of the store: the filter reaches the scan.
+    out = counters.where(F.col("metric").isin(metrics_of(family))) if "metric" in counters.columns else counters
+    out = out.where(F.col("family") == F.lit(family))
     if day is not None:
         out = out.where(F.col("day") == F.lit(day))
     return out.select("day", "field", "value")

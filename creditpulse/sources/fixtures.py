@@ -3,7 +3,7 @@
 The driver tables are TPC-H style; the business logs this engine consumes
 are JSON envelopes. Each builder here is a deterministic projection of a
 driver table, so the work grows with the tables: every order yields an
-apply, a risk and an audit record, every other order a loan, and the
+apply, a loan, a risk and an audit record, and the
 ``events`` table yields fund, wealth, unknown and broken records.
 """
 
@@ -30,7 +30,10 @@ def _s(c: Column) -> Column:
 
 def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders ⋈ customer ⋈ nation`` with the short names of FIXTURES.md."""
+    # The driver's tables are single-row-group files: the narrow rows, not the
+    # JSON made of them, are dealt out by key, alike on every cluster.
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = o.repartition("o_orderkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     b = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -68,6 +71,7 @@ def apply_flat(b: DataFrame) -> DataFrame:
         F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("C"), _s(ck % 50), F.lit("市"))).alias("lbsCity"),
         F.when(k % 8 == 0, None).otherwise(F.concat(F.lit("B"), _s(ck % 20), F.lit("市"))).alias("belongCity"),
         F.when(k % 101 == 0, None).when(k % 97 == 0, "abc").when(k % 89 == 0, " ")
+        .when(k % 83 == 0, " \u0085").when(k % 79 == 0, "\n")
         .otherwise(_s(_floor_price())).alias("applyamt"),
         F.when(k % 3 == 0, F.concat(F.lit(" "), F.col("seg"), F.lit(" "))).alias("channelcode"),
         F.when(k % 3 == 1, "A").otherwise("B").alias("channelsource"),
@@ -75,9 +79,9 @@ def apply_flat(b: DataFrame) -> DataFrame:
 
 
 def loan_flat(b: DataFrame) -> DataFrame:
-    """FX-LOAN: even orders, ``k % 9`` days after the order."""
+    """FX-LOAN: a loan per order, ``k % 9`` days after it."""
     k = F.col("k")
-    return b.where(k % 2 == 0).select(
+    return b.select(
         "k",
         (F.col("ms") + (k % 9) * DAY_MS).alias("ms"),
         F.when(k % 17 == 0, None).otherwise(_s(k)).alias("orderId"),
@@ -89,12 +93,13 @@ def risk_flat(b: DataFrame) -> DataFrame:
     """FX-RISK: one risk decision per order, a minute after it."""
     k, ck, nn, pr = F.col("k"), F.col("ck"), F.col("nn"), F.col("pr")
     reject = (
-        F.when(k % 5 == 0, "Y66|X69|").when(k % 5 == 1, "|Y7").when(k % 5 == 2, "||").when(k % 5 == 3, None)
+        F.when(k % 5 == 0, "Y66|X69|").when(k % 5 == 1, "|Y7").when(k % 10 == 7, "||\n").when(k % 5 == 2, "||").when(k % 5 == 3, None)
         .otherwise(F.concat(F.lit("R"), _s(k % 11)))
     )
     area = (
         F.when(k % 3 == 0, F.concat(nn, F.lit("省|C"), _s(ck % 50), F.lit("市|D")))
         .when(k % 3 == 1, F.concat(nn, F.lit("省|C1市|")))
+        .when(k % 6 == 5, F.concat(nn, F.lit("省|C2市|D|\u2028")))
         .otherwise(F.concat(nn, F.lit("省|C2市|D|")))
     )
     return b.select(
@@ -190,12 +195,18 @@ def unknown_logs(spark, sf_dir) -> DataFrame:
 
 
 def bad_logs(spark, sf_dir) -> DataFrame:
+    """FX-BAD: cut JSON; times in nanoseconds or at the end of the range;
+    history counts whose sum is out of range."""
     e = events_flat(spark, sf_dir).where(F.col("event_type") == "error")
-    return e.select(
-        F.concat(F.lit("bad:"), _s(F.col("event_id"))).alias("key"),
-        F.concat(F.lit('{"logNo":'), _s(F.col("event_id"))).alias("value"),
-        F.col("ms"),
-    )
+    case = F.col("event_id") % 4
+    longest = F.lit(2**63 - 1)
+    history = F.struct(longest.alias("C_HISAPPLY_VAR011"), F.lit(1).cast("bigint").alias("C_HISAPPLY_VAR001"))
+    none = F.lit(None).cast(history_type := "struct<C_HISAPPLY_VAR011:bigint,C_HISAPPLY_VAR001:bigint>")
+    value = F.when(case == 0, F.concat(F.lit('{"logNo":'), _s(F.col("event_id")))).otherwise(F.to_json(F.struct(
+        F.lit(cat.LOG_RISK).alias("logNo"),
+        F.when(case == 1, F.col("ms") * 1_000_000).when(case == 2, longest).otherwise(F.col("ms")).alias("collectTime"),
+        F.when(case == 3, history.cast(history_type)).otherwise(none).alias("flatMap"))))
+    return e.select(F.concat(F.lit("bad:"), _s(F.col("event_id"))).alias("key"), value.alias("value"), F.col("ms"))
 
 
 LOG_BUILDERS = {
@@ -215,21 +226,10 @@ def logs(spark: SparkSession, sf_dir: str, kinds=None, with_ms: bool = False) ->
     (plus the event time ``ms`` when ``with_ms``, to order stream files)."""
     kinds = list(LOG_BUILDERS) if kinds is None else list(kinds)
     cols = ["key", "value", "ms"] if with_ms else ["key", "value"]
-    parts = [spread(LOG_BUILDERS[k](spark, sf_dir).select(*cols)) for k in kinds]
+    parts = [LOG_BUILDERS[k](spark, sf_dir).select(*cols) for k in kinds]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the records over all cores when the input has fewer
-    partitions than that (the driver tables are single-row-group files, so
-    the derived logs would otherwise be parsed by a handful of tasks). A
-    real log source already has enough partitions and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 # --- FX-DETAIL: flat detail tables for the backfill ------------------------
 
 

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from creditpulse.session import build_session
 
-    s = build_session(master="local[4]", spark__sql__shuffle__partitions="8")
+    s = build_session(master="local[4]", driver_memory="16g", spark__sql__shuffle__partitions="8")
     yield s
     s.stop()
 

@@ -36,7 +36,7 @@ def test_match_filter_project(spark):
 def test_key_filter_without_broadcast(spark):
     v, _ = small_graph(spark)
     keys = spark.createDataFrame([("c:2",)], "key string")
-    assert [r.id for r in G.filter_by_keys(v, keys, "id", max_broadcast_rows=0).collect()] == ["c:2"]
+    assert [r.id for r in G.filter_by_keys(v, keys, "id").collect()] == ["c:2"]
 
 
 def test_page_and_json(spark):

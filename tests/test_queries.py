@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from creditpulse.plans.oracle import ORACLES
-from creditpulse.plans.queries import QUERIES
+from creditpulse.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 FAST = [

@@ -51,7 +51,7 @@ def test_apply_rules(spark):
     assert k0[("province_apply_count", "Zhejiang")] == 1 and k0[("city_apply_count", "Hangzhou")] == 1
     assert k0[("risk_channel", "web")] == 1
     k3 = {(m, f): v for k, m, f, v in good if k == "k3"}
-    assert k3[("daily_apply_amount", "")] == 0 and k3[("risk_channel", "lakalaApp")] == 1
+    assert k3[("daily_apply_amount", "")] == 0 and k3[("risk_channel", "app")] == 1
     assert k3[("province_apply_count", "default")] == 1 and k3[("city_apply_count", "default")] == 1
 
 

@@ -66,7 +66,42 @@ def test_compaction_keeps_values_and_bounds_the_store(spark):
     store.compact(spark, root, 2)
     assert cur() == want
     local = root.removeprefix("file:")
-    assert not [d for d in os.listdir(local) if d.startswith("batch_id=")]
-    assert os.listdir(os.path.join(local, store.SNAPSHOTS)) == ["through=2"]
+    # What the last compaction folded stays for open readers until the next one.
+    assert [d for d in os.listdir(local) if d.startswith("batch_id=")] == ["batch_id=2"]
+    assert sorted(os.listdir(os.path.join(local, store.SNAPSHOTS))) == ["through=1", "through=2"]
     assert {r.family for r in store.read_counters(spark, root).collect()} == {
         "bamdata.RiskLevel", "generalApply_CreditLoan.totalOneDay"}
+
+
+def test_interrupted_writes_are_not_read(spark):
+    import os
+
+    root = scratch_path(spark, "test-cut-short")
+    store.add_deltas(deltas(spark, [("risk_level", "max.count", "2017-06-14", 2), ("daily_apply_count", "", "2017-06-14", 7)]), root, 0)
+    want = {("risk_level", 2), ("daily_apply_count", 7)}
+    cur = lambda: {(r.metric, r.value) for r in store.read_counters(spark, root).collect()}
+    store.read_counters(spark, root).where("metric = 'risk_level'").write.parquet(f"{root}/{store.SNAPSHOTS}/through=0")
+    os.remove(f"{root.removeprefix('file:')}/{store.SNAPSHOTS}/through=0/_SUCCESS")
+    assert cur() == want  # an unfinished snapshot
+    store.compact(spark, root, 0)
+    assert cur() == want and store.snapshot_ids(spark, root) == [0]
+    store.add_deltas(deltas(spark, [("risk_level", "max.count", "2017-06-14", 5)]), root, 1)
+    os.remove(f"{root.removeprefix('file:')}/batch_id=1/_SUCCESS")
+    assert cur() == want  # an unfinished batch
+
+
+def test_expiry_in_compaction_and_clock(spark):
+    root = scratch_path(spark, "test-expiry")
+    rows = spark.createDataFrame([("daily_apply_count", "", "2017-01-01", 1, 1483228800000), ("daily_apply_count", "", "2017-06-14", 2, 1497398400000)],
+                                 "metric string, field string, day string, value bigint, at bigint")
+    store.add_deltas(rows, root, 0, clock_ms="at")
+    store.compact(spark, root, 0, as_of="2017-06-20 00:00:00")
+    assert [r.day for r in store.read_counters(spark, root).collect()] == ["2017-06-14"]
+
+
+def test_lookup_filter_reaches_the_scan(spark):
+    root = scratch_path(spark, "test-lookup")
+    store.add_deltas(deltas(spark, [("risk_level", "max.count", "d", 2), ("risk_k_score", "0", "d", 1)]), root, 0)
+    found = store.lookup(store.read_counters(spark, root), "bamdata.RiskLevel")
+    assert "PushedFilters: [IsNotNull(metric), EqualTo(metric,risk_level)" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("d", "max.count", 2)]
