@@ -107,36 +107,82 @@ def field_groups(fields):
     return groups
 
 
+def _parsed(df: DataFrame, alias: str, props: list[str]) -> DataFrame:
+    """``df`` with the named fields of its JSON column ``<alias>_props`` in its
+    place, and ``_<alias>_bad`` for what is no JSON object. One parse a row:
+    it goes through a generator, below which no test on it is copied."""
+    schema = ", ".join(f"`{p}` STRING" for p in props) + ", `_corrupt` STRING"
+    entity = F.from_json(F.col(f"{alias}_props"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rest = [c for c in df.columns if c != f"{alias}_props"]
+    rows = df.select(*rest, F.inline_outer(F.array(F.struct(entity.alias("_e")))))
+    return rows.select(
+        *rest, *[F.col("_e").getField(p).alias(f"{alias}_{p}") for p in props],
+        (F.col("_e").isNull() | F.col("_e._corrupt").isNotNull()).alias(f"_{alias}_bad"))
+
+
+def _split_bad(df: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
+    """Columns in configured order; rows with an entity that did not parse apart."""
+    cols, bad = [], F.lit(False)
+    for alias, props in field_groups(fields):
+        if props is None:
+            cols.append(alias.replace(".", "_"))
+        else:
+            bad = bad | F.col(f"_{alias}_bad")
+            cols += [f"{alias}_{p}" for p in props]
+    return df.where(~bad).select(*cols), df.where(bad).select(*cols)
+
+
 def project_entities(df: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
     """SC-20: named fields out of JSON entities, in configured order.
 
     ``fields`` is a list of ``(name, kind)``: kind ``vertex`` passes a
     column through; kind ``edge`` names ``alias.prop`` inside the JSON
-    column ``alias_props``. Each JSON column is parsed once. Returns
-    ``(rows, rejects)``: a row whose entity is not a JSON object is
-    rejected (and kept apart) instead of failing the export.
+    column ``alias_props``. Returns ``(rows, rejects)``: a row whose entity
+    is not a JSON object is rejected (and kept apart) instead of failing the
+    export.
     """
-    groups = field_groups(fields)
-    cols = []
-    bad = F.lit(False)
-    parsed = {}
-    for alias, props in groups:
-        if props is None:
+    for alias, props in field_groups(fields):
+        if props is not None:
+            df = _parsed(df, alias, props)
+    return _split_bad(df, fields)
+
+
+def match_fields(vertices: DataFrame, edges: DataFrame, pattern: str, fields, keys: DataFrame | None = None,
+                 on: str | None = None, key_col: str = "key") -> tuple[DataFrame, DataFrame]:
+    """JN-3 + SC-20 + JN-2 in one plan: :func:`match`, with each entity's JSON
+    parsed before its join, so an entity is parsed once and only the named
+    fields travel. ``keys`` keeps the paths whose ``on`` is in the list:
+    ``<alias>_id`` (default: the first vertex) or a field ``alias.prop``; the
+    filter acts on that vertex or edge set before the joins.
+    """
+    steps = parse_pattern(pattern)
+    wanted = {alias: props for alias, props in field_groups(fields) if props is not None}
+    on = on or f"{steps[0][0]}_id"
+    if keys is not None and "." in on:
+        alias, prop = on.split(".", 1)
+        wanted.setdefault(alias, [])
+        if prop not in wanted[alias]:
+            wanted[alias] = [*wanted[alias], prop]
+    on = on.replace(".", "_")
+
+    def entity(df: DataFrame, alias: str, label: str, *ids) -> DataFrame:
+        rows = df.where(F.col("label") == label).select(*ids, F.col("props").alias(f"{alias}_props"))
+        rows = _parsed(rows, alias, wanted[alias]) if alias in wanted else rows.drop(f"{alias}_props")
+        return filter_by_keys(rows, keys, on, key_col) if keys is not None and on in rows.columns else rows
+
+    out = prev = None
+    for i in range(0, len(steps), 2):
+        va, vl = steps[i]
+        v = entity(vertices, va, vl, F.col("id").alias(f"{va}_id"))
+        if out is None:
+            out, prev = v, va
             continue
-        schema = ", ".join(f"`{p}` STRING" for p in props) + ", `_corrupt` STRING"
-        parsed[alias] = F.from_json(
-            F.col(f"{alias}_props"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-        )
-    stage = df.select("*", *[p.alias(f"_{a}_parsed") for a, p in parsed.items()])
-    for alias, props in groups:
-        if props is None:
-            cols.append(F.col(alias.replace(".", "_")).alias(alias.replace(".", "_")))
-        else:
-            bad = bad | F.col(f"_{alias}_parsed._corrupt").isNotNull() | F.col(f"_{alias}_parsed").isNull()
-            cols += [F.col(f"_{alias}_parsed").getField(p).alias(f"{alias}_{p}") for p in props]
-    # Through a generator, so the reject test is not copied below the parse.
-    rows = stage.select(F.inline_outer(F.array(F.struct(*cols, bad.alias("_bad")))))
-    return rows.where(~F.col("_bad")).drop("_bad"), rows.where(F.col("_bad")).drop("_bad")
+        ea, el = steps[i - 1]
+        e = entity(edges, ea, el, F.col("src").alias(f"_{ea}_src"), F.col("dst").alias(f"_{ea}_dst"))
+        out = out.join(e, F.col(f"{prev}_id") == F.col(f"_{ea}_src"))
+        out = out.join(v, F.col(f"_{ea}_dst") == F.col(f"{va}_id")).drop(f"_{ea}_src", f"_{ea}_dst")
+        prev = va
+    return _split_bad(out, fields)
 
 
 def page(df: DataFrame, order_cols, start: int, size: int) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpulse.operators.graph import edges_of, filter_by_keys, match, project_entities, vertices_of
+from creditpulse.operators.graph import edges_of, export_filter, match_fields, vertices_of
 from creditpulse.sinks.csvout import write_csv
 from creditpulse.sources.fixtures import table
 
@@ -54,16 +54,13 @@ TWO_HOP_FIELDS = [
 
 def export(vertices: DataFrame, edges: DataFrame, pattern: str, fields, keys: DataFrame | None = None,
            where: str | None = None, path: str | None = None, max_records: int | None = None,
-           file_mb: int = 500) -> tuple[DataFrame, DataFrame]:
-    """Match, filter by a key list on the first vertex, project; write CSV
-    when ``path`` is given. Returns ``(rows, rejects)``."""
-    start = None
-    if keys is not None:
-        start = filter_by_keys(vertices, keys, "id")
-    paths = match(vertices, edges, pattern, start=start)
-    if where:
-        paths = paths.where(F.expr(where))
-    rows, rejects = project_entities(paths, fields)
+           file_mb: int = 500, on: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Match, keep the paths whose ``on`` (an ``<alias>_id`` or ``alias.prop``;
+    default: the first vertex) is in the key list and that pass the predicate
+    ``where`` over the output columns; write CSV when ``path`` is given.
+    Returns ``(rows, rejects)``."""
+    rows, rejects = match_fields(vertices, edges, pattern, fields, keys, on)
+    rows = export_filter(rows, where)
     if path is not None:
         write_csv(rows, path, max_records=max_records, file_mb=file_mb)
     return rows, rejects

@@ -39,6 +39,21 @@ def test_key_filter_without_broadcast(spark):
     assert [r.id for r in G.filter_by_keys(v, keys, "id").collect()] == ["c:2"]
 
 
+def test_fields_and_keys_on_any_alias(spark):
+    v, e = small_graph(spark)
+    pattern, fields = "a:customer-e1:placed->b:orders-e2:contains->c:part", [("a_id", "vertex"), ("a.name", "edge"), ("b.st", "edge"), ("e2.ln", "edge")]
+    rows, rejects = G.match_fields(v, e, pattern, fields)
+    assert [tuple(r) for r in rows.collect()] == [("c:1", "ann", "F", "1")] and [r.a_id for r in rejects.collect()] == ["c:2"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    joins = [i for i, x in enumerate(plan.split("\n")) if "Join" in x]
+    parses = [i for i, x in enumerate(plan.split("\n")) if "from_json" in x]
+    assert len(parses) == 3 and min(parses) > min(joins)  # below the joins
+    keys = spark.createDataFrame([("bob",), ("c:2",), ("2",), ("p:1",), (" ",)], "key string")
+    found = lambda on: sorted(r.a_id for r in G.match_fields(v, e, "a:customer-e1:placed->b:orders-e2:contains->c:part", [("a_id", "vertex")], keys, on)[0].collect())
+    assert found("a.name") == found("a_id") == found(None) == found("e2.ln") == ["c:2"]
+    assert found("c_id") == ["c:1", "c:2"] and found("b_id") == []
+
+
 def test_page_and_json(spark):
     df = spark.range(10).select(F.col("id").alias("k"), F.lit("").alias("s"))
     assert [r.k for r in G.page(df, ["k"], 3, 4).collect()] == [3, 4, 5, 6]
