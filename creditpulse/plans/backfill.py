@@ -24,7 +24,7 @@ from creditpulse.functions.timefn import (
     text_to_ms,
 )
 from creditpulse.operators.rollup import sum_deltas, union_all
-from creditpulse.sources.detail import in_range, read_daily_totals
+from creditpulse.sources.detail import read_daily_totals, read_detail
 
 CITY_TOKEN = "市"
 
@@ -35,7 +35,7 @@ def _amount(raw: Column) -> Column:
 
 def apply_rows(detail: DataFrame, start=None, end=None) -> DataFrame:
     """Apply detail -> ``amount, ts_text, province, city, err``."""
-    d = in_range(detail, "collecttimefmt", start, end)
+    d = read_detail(detail, "collecttimefmt", start, end)
     amount = _amount(F.col("applyamt"))
     return d.select(
         amount.alias("amount"),
@@ -50,7 +50,7 @@ def apply_rows(detail: DataFrame, start=None, end=None) -> DataFrame:
 
 def loan_rows(detail: DataFrame, start=None, end=None) -> DataFrame:
     """Loan detail -> ``amount, ts_text, err``."""
-    d = in_range(detail, "collecttime", start, end)
+    d = read_detail(detail, "collecttime", start, end)
     amount = _amount(F.col("capitalamount"))
     return d.select(
         amount.alias("amount"),
@@ -105,13 +105,13 @@ def area_totals(rows: DataFrame) -> DataFrame:
 
 def fund_totals(fund_detail: DataFrame, start=None, end=None) -> DataFrame:
     """AG-5 fund: ``busid = '1G2'``, count and amount by date prefix."""
-    d = in_range(fund_detail, "collecttime", start, end)
+    d = read_detail(fund_detail, "collecttime", start, end)
     agg = read_daily_totals(d, "collecttime", "amount", where=F.col("busid") == F.lit("1G2"))
     return _metrics(agg, F.col("day"), [("fund_count", F.lit(""), F.col("count")), ("fund_amount", F.lit(""), F.col("amount"))])
 
 
 def wealth_totals(wealth_detail: DataFrame, start=None, end=None) -> DataFrame:
-    d = in_range(wealth_detail, "collecttime", start, end)
+    d = read_detail(wealth_detail, "collecttime", start, end)
     agg = read_daily_totals(d, "collecttime", "amount")
     return _metrics(agg, F.col("day"), [("Finacing_count", F.lit(""), F.col("count")), ("Finacing_amount", F.lit(""), F.col("amount"))])
 
@@ -125,22 +125,48 @@ def combined_totals(fund: DataFrame, wealth: DataFrame) -> DataFrame:
     return sum_deltas(both)
 
 
+def _fan_out(rows: DataFrame, items) -> DataFrame:
+    """Every row's own deltas; one read of the rows serves all families."""
+    return _metrics(rows, F.col("_day"), items)
+
+
+def apply_deltas(rows: DataFrame, tz: str = "UTC") -> DataFrame:
+    """The six apply families of each good detail row (AG-2, AG-3, AG-4)."""
+    good = rows.where(F.col("err").isNull()).withColumn("_day", date_prefix(F.col("ts_text")))
+    none, one, bucket = F.lit(""), F.lit(1), bucket_end(text_to_ms(F.col("ts_text"), tz)).cast("string")
+    return _fan_out(good, [
+        ("daily_apply_count", none, one), ("daily_apply_amount", none, F.col("amount")),
+        ("sub_apply_count", bucket, one), ("sub_apply_amount", bucket, F.col("amount")),
+        ("province_apply_count", F.col("province"), one), ("city_apply_count", F.col("city"), one)])
+
+
+def loan_deltas(rows: DataFrame, tz: str = "UTC") -> DataFrame:
+    good = rows.where(F.col("err").isNull()).withColumn("_day", date_prefix(F.col("ts_text")))
+    none, one, bucket = F.lit(""), F.lit(1), bucket_end(text_to_ms(F.col("ts_text"), tz)).cast("string")
+    return _fan_out(good, [
+        ("daily_loan_count", none, one), ("daily_loan_amount", none, F.col("amount")),
+        ("sub_loan_count", bucket, one), ("sub_loan_amount", bucket, F.col("amount"))])
+
+
+def money_deltas(detail: DataFrame, count_metric: str, amount_metric: str) -> DataFrame:
+    """AG-5 + ST-2: a subscription's own families and the combined ones."""
+    none, one, amount = F.lit(""), F.lit(1), F.col("amount").cast("bigint")
+    return _fan_out(detail.withColumn("_day", date_prefix(F.col("collecttime"))), [
+        (count_metric, none, one), (amount_metric, none, amount),
+        ("fund_finacing_total_count", none, one), ("fund_finacing_total_amount", none, amount)])
+
+
 def backfill(apply_detail, loan_detail, fund_detail, wealth_detail, start=None, end=None, tz: str = "UTC") -> DataFrame:
-    """All sixteen backfill families for ``[start, end)``."""
-    a = apply_rows(apply_detail, start, end)
-    ln = loan_rows(loan_detail, start, end)
-    fund = fund_totals(fund_detail, start, end)
-    wealth = wealth_totals(wealth_detail, start, end)
-    return union_all([
-        daily_totals(a, "daily_apply_count", "daily_apply_amount"),
-        daily_totals(ln, "daily_loan_count", "daily_loan_amount"),
-        bucket_totals(a, "sub_apply_count", "sub_apply_amount", tz),
-        bucket_totals(ln, "sub_loan_count", "sub_loan_amount", tz),
-        area_totals(a),
-        fund,
-        wealth,
-        combined_totals(fund, wealth),
-    ])
+    """All sixteen backfill families for ``[start, end)``: every detail table is
+    read once, its rows fan out into deltas, and one aggregation sums them."""
+    fund = read_detail(fund_detail, "collecttime", start, end).where(F.col("busid") == F.lit("1G2"))
+    wealth = read_detail(wealth_detail, "collecttime", start, end)
+    return sum_deltas(union_all([
+        apply_deltas(apply_rows(apply_detail, start, end), tz),
+        loan_deltas(loan_rows(loan_detail, start, end), tz),
+        money_deltas(fund, "fund_count", "fund_amount"),
+        money_deltas(wealth, "Finacing_count", "Finacing_amount"),
+    ]))
 
 
 def merge_live(backfilled: DataFrame, live_deltas: DataFrame) -> DataFrame:
@@ -164,7 +190,8 @@ def min_cutover(points: DataFrame) -> DataFrame:
 
 def restate(counters: DataFrame, recomputed: DataFrame, day: str, families) -> DataFrame:
     """SM-8: drop ``families`` for ``day`` and the day before, then add the
-    recomputed rows of those days and families."""
+    recomputed rows of those days and families. ``counters.restate_store``
+    does the same in the counter store."""
     days = (F.col("day") == F.lit(day)) | (F.col("day") == prev_day(F.lit(day)))
     fam = F.col("metric").isin(list(families))
     kept = counters.where(~(days & fam))

@@ -215,26 +215,27 @@ def lambda_merge(spark, sf_dir):
 
 
 def cutover_min(spark, sf_dir):
-    """SM-7 + ST-3 + AG-6: each source's first record time is a pointer;
-    the set of pointers gives the cut-over."""
-    kinds = ["apply", "loan", "risk", "audit", "fund", "wealth", "unknown"]
-    points = None
-    for k in kinds:
-        parsed = parse_envelope(fx.logs(spark, sf_dir, [k]), tz=TZ)
-        p = parsed.agg(F.min("collect_ms").alias("cutover_ms"))
-        points = p if points is None else bf.add_points(points, p)
-    m = bf.min_cutover(points)
+    """SM-7 + ST-3 + AG-6: each source's first record time is stored as its
+    pointer; the earliest pointer is the cut-over."""
+    root = scratch_path(spark, "pointers")
+    parsed = parse_envelope(fx.logs(spark, sf_dir), tz=TZ)
+    firsts = parsed.where(F.col("collect_ms").isNotNull()).groupBy("log_no").agg(F.min("collect_ms").alias("first_ms"))
+    for row in firsts.collect():  # one row per record type
+        store.put_pointer(spark, root, row.log_no, row.first_ms)
+    m = bf.min_cutover(store.read_pointers(spark, root))
     from creditpulse.functions.timefn import ms_to_text
     return m.select("cutover_ms", ms_to_text(F.col("cutover_ms"), TZ).alias("cutover_text"))
 
 
 def restate_days(spark, sf_dir):
-    """SM-8 + SC-12: live counters with the clean families of a day and the
+    """SM-8 + SC-12: in the counter store, the clean families of a day and the
     day before replaced by their recomputation from detail tables."""
-    counters = live.metric_totals(fx.logs(spark, sf_dir), TZ)
+    root = scratch_path(spark, "restated")
+    store.add_deltas(live.all_deltas(fx.logs(spark, sf_dir), TZ), root, 0)
     start, end = bf.restate_range(RESTATE_DAY)
     hist = bf.backfill(*_details(spark, sf_dir), start=start, end=end, tz=TZ)
-    return bf.restate(counters, hist, RESTATE_DAY, cat.CLEAN_METRICS)
+    store.restate_store(hist, root, 1, [start[:10], RESTATE_DAY], cat.CLEAN_METRICS)
+    return store.read_counters(spark, root).select("metric", "field", "day", "value")
 
 
 # --- counter store -------------------------------------------------------------

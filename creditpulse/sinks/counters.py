@@ -76,11 +76,12 @@ def read_counters(spark: SparkSession, root: str, before_batch: int | None = Non
     if batches:
         parts.append(spark.read.schema(SCHEMA).option("basePath", root).parquet(*batches))
     rows = parts[-1] if len(parts) < 3 else parts[1].unionByName(parts[2])
+    # A null value marks a counter that a restatement removed.
     return rows.groupBy(*KEY).agg(
         F.max_by("family", "batch_id").alias("family"),
         F.max_by("value", "batch_id").alias("value"),
         F.max_by("written_at", "batch_id").alias("written_at"),
-    )
+    ).where(F.col("value").isNotNull())
 
 
 def compact(spark: SparkSession, root: str, through_batch: int, drop_folded: bool = True,
@@ -158,6 +159,31 @@ def add_deltas(deltas: DataFrame, root: str, batch_id: int, namespace: str = "",
     write_totals(totals, root, batch_id, namespace, written_at)
 
 
+def restate_store(recomputed: DataFrame, root: str, batch_id: int, days, metrics, namespace: str = "", written_at=None) -> None:
+    """SM-8: as batch ``batch_id``, replace the counters of ``metrics`` on
+    ``days`` by the totals in ``recomputed``; what is not there is removed.
+    Reads only earlier batches, so it can be run again."""
+    chosen = F.col("day").isin(list(days)) & F.col("metric").isin(list(metrics))
+    key = ["metric", "field", "day"]
+    before = read_counters(recomputed.sparkSession, root, before_batch=batch_id).where(chosen & (F.col("namespace") == F.lit(namespace)))
+    totals = before.select(*key).join(recomputed.where(chosen).select(*key, "value"), key, "full")
+    write_totals(totals, root, batch_id, namespace, written_at)
+
+
+def put_pointer(spark: SparkSession, root: str, source: str, cutover_ms: int) -> None:
+    """SM-7: remember the time from which ``source`` is counted live (once: a
+    pointer that is there stays)."""
+    done, fs = _path(spark, f"{root}/source={source}/_SUCCESS")
+    if not fs.exists(done):
+        rows = spark.range(1).select(F.lit(cutover_ms).cast("bigint").alias("cutover_ms"))
+        rows.write.mode("overwrite").parquet(f"{root}/source={source}")
+
+
+def read_pointers(spark: SparkSession, root: str) -> DataFrame:
+    """``cutover_ms, source`` of all pointers."""
+    return spark.read.schema("cutover_ms bigint, source string").parquet(root)
+
+
 def expire(counters: DataFrame, as_of, days: int = 32) -> DataFrame:
     """SNK-5: keep counters whose key was written within ``days`` of ``as_of``.
 

@@ -62,3 +62,12 @@ def test_run_batch_one_parse_two_outputs(spark, sf_small):
     assert got == want
     _, bad = split_errors(live.output_rows(logs))
     assert spark.read.parquet(dead).count() == bad.count() > 0
+
+
+def test_backfill_reads_each_table_once(spark, sf_small):
+    path = scratch_path(spark, "details")
+    details = {"apply": fx.detail_apply, "loan": fx.detail_loan, "fund": fx.detail_fund, "wealth": fx.detail_wealth}
+    for name, make in details.items():
+        make(spark, sf_small).write.parquet(f"{path}/{name}")
+    total = bf.backfill(*(spark.read.parquet(f"{path}/{n}") for n in details), start="1995-01-01 00:00:00", end="1996-01-01 00:00:00")
+    assert executed(total).count("FileScan parquet") == 4

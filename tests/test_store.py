@@ -105,3 +105,22 @@ def test_lookup_filter_reaches_the_scan(spark):
     found = store.lookup(store.read_counters(spark, root), "bamdata.RiskLevel")
     assert "PushedFilters: [IsNotNull(metric), EqualTo(metric,risk_level)" in found._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [("d", "max.count", 2)]
+
+
+def test_restatement_and_pointers(spark):
+    root = scratch_path(spark, "test-restate")
+    rows = [("daily_apply_count", "", d, 5) for d in ("2017-06-13", "2017-06-14", "2017-06-15")] + [("city_apply_count", "x", "2017-06-14", 2)]
+    store.add_deltas(deltas(spark, rows), root, 0)
+    new = deltas(spark, [("daily_apply_count", "", "2017-06-14", 9), ("daily_apply_count", "", "2017-06-15", 1)])
+    for _ in range(2):
+        store.restate_store(new, root, 1, ["2017-06-13", "2017-06-14"], ["daily_apply_count", "city_apply_count"])
+    want = {("daily_apply_count", "2017-06-14"): 9, ("daily_apply_count", "2017-06-15"): 5}
+    cur = lambda: {(r.metric, r.day): r.value for r in store.read_counters(spark, root).collect()}
+    assert cur() == want
+    store.compact(spark, root, 1)
+    assert cur() == want
+    at = scratch_path(spark, "test-pointers")
+    store.put_pointer(spark, at, "a", 5)
+    store.put_pointer(spark, at, "a", 3)  # kept
+    store.put_pointer(spark, at, "b", 7)
+    assert {(r.source, r.cutover_ms) for r in store.read_pointers(spark, at).collect()} == {("a", 5), ("b", 7)}
