@@ -104,7 +104,7 @@ def feature_names(rows: DataFrame, max_features: int, min_docs: int, min_z: floa
     """The features that tell the classes apart best, and the identity terms that occur."""
 
     def run(batches):
-        toxic, every, n = Counter(), Counter(), [0, 0]
+        toxic, every = Counter(), Counter()
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1))):
                 found = set()
@@ -113,20 +113,18 @@ def feature_names(rows: DataFrame, max_features: int, min_docs: int, min_z: floa
                 every.update(found)
                 if y:
                     toxic.update(found)
-                n[0] += 1
-                n[1] += bool(y)
-        every[""], toxic[""] = n  # the classes' sizes
         yield pa.record_batch([pa.array(list(every), pa.string()), pa.array(list(every.values()), pa.int64()),
                                pa.array([toxic[f] for f in every], pa.int64())], names=["feature", "docs", "toxic"])
 
     counts = (rows.mapInArrow(run, "feature string, docs long, toxic long").groupBy("feature")
               .agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"))
-              .where((F.col("docs") >= min_docs) | (F.col("feature") == "") | F.col("feature").isin(list(SWAPS))))
-    size = counts.where("feature = ''").select(F.col("docs").alias("all_docs"), F.col("toxic").alias("all_toxic"))
+              .where((F.col("docs") >= min_docs) | F.col("feature").isin(list(SWAPS))))
+    sizes = {bool(r.y): r["count"] for r in rows.groupBy(F.col("y") != 0).count().toDF("y", "count").collect()}
+    all_toxic, all_clean = sizes.get(True, 0), sizes.get(False, 0)
     t, c = F.col("toxic") + 0.5, F.col("docs") - F.col("toxic") + 0.5
-    rest_t, rest_c = F.col("all_toxic") - F.col("toxic") + 0.5, F.col("all_docs") - F.col("all_toxic") - c + 1
+    rest_t, rest_c = all_toxic + 1 - t, all_clean + 1 - c
     odds = F.log(t / rest_t) - F.log(c / rest_c)
-    ranked = (counts.where("feature <> ''").join(F.broadcast(size)).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
+    ranked = (counts.withColumn("z", odds / F.sqrt(1 / t + 1 / c))
               .withColumn("term", F.col("feature").isin(list(SWAPS)))
               .where(F.col("term") | (F.abs("z") >= min_z)))
     top = ranked.orderBy(F.desc("term"), F.desc(F.abs("z")), "feature").limit(max_features).select("feature")
