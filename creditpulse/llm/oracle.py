@@ -63,8 +63,11 @@ WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS.format("
 lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM docs),
 full_lines AS (SELECT *, {WORDS.format("line")} AS lw FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY 1),
-starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5),
-windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i : i + 4]) AS n FROM starts),
+tok AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs),
+grams AS (SELECT doc_id, i, lead(w, 4) OVER o AS fifth,
+  concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS gram
+  FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams WHERE fifth IS NOT NULL),
 repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(5) r(k) WHERE n > 1 GROUP BY 1),
 normal AS (SELECT doc_id, source, text, len(lw) AS n,
   regexp_replace({LOWER.format("array_to_string(lw, ' ')")}, '[0-9]+', '0', 'g') AS line FROM full_lines),
