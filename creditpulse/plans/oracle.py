@@ -415,7 +415,7 @@ def _more() -> dict:
     o["route_counts"] = with_ctes(["recs"], """SELECT kind, CASE WHEN reason IS NULL THEN 'good' ELSE 'bad' END AS status,
   count(*) AS records FROM recs GROUP BY 1, 2""")
     o["good_bad_split"] = with_ctes(["recs"], "SELECT kind, reason, count(*) AS records FROM recs WHERE reason IS NOT NULL GROUP BY 1, 2")
-    o["dead_letters"] = with_ctes(["recs"], """SELECT 'CreditLoanDirectStream' AS task_name, reason AS exception_info,
+    o["dead_letters"] = with_ctes(["recs"], f"""SELECT '{cat.TASK_NAME}' AS task_name, reason AS exception_info,
   record_key, log_no, time_text FROM recs WHERE reason IS NOT NULL""")
     fields = ["lbsProvince", "belongProvince", "lbsCity", "belongCity", "applyamt", "channelcode", "channelsource"]
     o["blank_fields"] = with_ctes(["fx_apply"], " UNION ALL ".join(
