@@ -17,8 +17,8 @@ is taken with which the bigrams (at least ``min_bigram``) and unigrams leave
 ``bits_per_key`` bits for each key; the same rule holds at every size.
 
 Exact base columns need exact counts of every word. Those of the ``hot_words``
-most frequent words (at most ``HOT_CHARS`` bytes each) are broadcast; all other
-words travel, summed per document, to a join with the full count table.
+most frequent words at most (up to a level of counts; at most ``HOT_CHARS``
+bytes each) are broadcast; all other words travel, summed per document, to a join with the full count table.
 
 Defined results: null text counts as empty, which is one end token; null or
 repeated ids and repeated rows are kept row by row (a null id is held out of
@@ -29,6 +29,7 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,6 +46,7 @@ HOT_CHARS = 64
 KEY_BITS = 48  # of an n-gram's hash; far more than the filter's own false positives need
 SLICES = 1 << 12
 COUNT_TOKENS = 4 << 20  # tokens that are counted together before they are sent on
+KNOWN_WORDS = 250_000  # words that a worker remembers besides the frequent ones
 MASK = np.uint64((1 << KEY_BITS) - 1)
 LEVEL_FLOORS = np.unique(np.concatenate([np.arange(1, 9), np.round(8 * 1.25 ** np.arange(1, 160))])).astype(np.float64)
 #: What a level stands for: the middle of its range, in logs.
@@ -93,19 +95,25 @@ class LogFrequencyFilter:
         return (keys >> np.uint64(KEY_BITS - 12)).astype(np.int64)
 
     @staticmethod
-    def places(keys: np.ndarray, level: np.ndarray | int, bits: int, hashes: int) -> np.ndarray:
-        """Bit places in the key's slice, ``hashes`` columns (double hashing)."""
+    def walk(keys: np.ndarray, level: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Start and step of a key's places (double hashing)."""
         a = mix(keys * np.uint64(0xD6E8FEB86659FD93) + np.asarray(level, np.uint64) * np.uint64(0xA0761D6478BD642F))
-        step = (a >> np.uint64(32)) | np.uint64(1)
-        return ((a & np.uint64(0xFFFFFFFF))[:, None] + step[:, None] * np.arange(hashes, dtype=np.uint64)) % np.uint64(bits)
+        return a & np.uint64(0xFFFFFFFF), (a >> np.uint64(32)) | np.uint64(1)
+
+    @staticmethod
+    def places(keys: np.ndarray, level: np.ndarray | int, bits: int, hashes: int) -> np.ndarray:
+        """Bit places in the key's slice, ``hashes`` columns."""
+        start, step = LogFrequencyFilter.walk(keys, level)
+        return (start[:, None] + step[:, None] * np.arange(hashes, dtype=np.uint64)) % np.uint64(bits)
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
-        at = self.places(keys, level, self.slices.shape[1] * 8, self.hashes)
-        row, found = self.slice_of(keys), np.arange(len(keys))
-        for j in range(self.hashes):
-            place = at[found, j]
-            bit = self.slices[row[found], (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)
-            found = found[(bit & 1).astype(bool)]
+        width = self.slices.shape[1]
+        flat, place = self.slices.reshape(-1), self.walk(keys, level)
+        found, (start, step), base = np.arange(len(keys)), place, self.slice_of(keys) * width
+        for _ in range(self.hashes):  # most keys that are missing fail at the first places
+            at = (start % np.uint64(width * 8)).astype(np.int64)
+            hit = np.flatnonzero((flat[base + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1)
+            found, start, step, base = found[hit], start[hit] + step[hit], step[hit], base[hit]
         yes = np.zeros(len(keys), bool)
         yes[found] = True
         return yes
@@ -148,8 +156,10 @@ def filled(spark, entries: DataFrame, filter_bytes: int, hashes: int) -> LogFreq
 
     dealt = entries.repartition(F.shiftright("key", KEY_BITS - 12))
     slices = np.zeros((SLICES, width), np.uint8)
-    for row in dealt.mapInArrow(run, "slice long, bits binary").toLocalIterator():
-        slices[row.slice] |= np.frombuffer(row.bits, np.uint8)
+    # filter_bytes in all, whatever the corpus: the filter is what gets broadcast.
+    for row in dealt.mapInArrow(run, "slice long, bits binary").toArrow().to_batches():
+        for number, bits in zip(row.column(0).to_pylist(), row.column(1).to_pylist()):
+            slices[number] |= np.frombuffer(bits, np.uint8)
     return LogFrequencyFilter(slices, hashes)
 
 
@@ -217,7 +227,8 @@ def level_column(c):
 @dataclass
 class Model:
     filter: LogFrequencyFilter
-    hot: dict[bytes, int]
+    hot: list[bytes]
+    hot_counts: np.ndarray
     n: int
     v: int
     mu: float
@@ -232,18 +243,26 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     texts = training(docs, id_col).select(F.col(text_col).cast("string").alias("text"))
     words = cut(word_counts(texts), "lm-words")
     n, v = words.agg(F.sum("c"), F.count("*")).first()
-    top = words.where(F.octet_length("word") <= HOT_CHARS).orderBy(F.desc("c"), "word").limit(hot_words)
-    arrow = top.toArrow()
-    hot = dict(zip(arrow.column(0).to_pylist(), arrow.column(1).to_pylist()))
+    level = level_column(F.col("c"))
+
+    def histogram_of(table: DataFrame) -> np.ndarray:
+        out = np.zeros(len(LEVEL_FLOORS) + 1)
+        for lv, k in table.groupBy(level.alias("lv")).count().collect():
+            out[lv] = k
+        return out
+
     bigrams = cut(bigram_counts(texts).where(F.col("c") >= min_bigram), "lm-bigrams")
+    histogram = np.stack([histogram_of(words), histogram_of(bigrams)])
+
+    # The frequent words: those from the first level on with which they are no more than hot_words.
+    above = np.cumsum(histogram[0][::-1])[::-1]  # words of each level or more
+    least = int(np.flatnonzero(np.r_[above, 0] <= hot_words)[0])
+    frequent = words.where(F.octet_length("word") <= HOT_CHARS).where(F.col("c") >= (float(LEVEL_FLOORS[max(least, 1) - 1]) if least <= len(LEVEL_FLOORS) else float("inf")))
+    arrow = frequent.toArrow()
+    hot, hot_counts = arrow.column(0).to_pylist(), np.array(arrow.column(1).to_pylist(), np.int64)
 
-    # Keys that each cut-off would store, from the histograms of levels; cut-offs are level floors.
+    # Keys that each cut-off would store; cut-offs are level floors.
     room = filter_bytes * 8 // bits_per_key
-    level = level_column(F.col("c"))
-    histogram = np.zeros((2, len(LEVEL_FLOORS) + 1))
-    for i, table in enumerate((words, bigrams)):
-        for lv, k in table.groupBy(level.alias("lv")).count().collect():
-            histogram[i, lv] = k
     stored = lambda h, lv: (h[lv:] * np.arange(lv, len(h))).sum()
     own = int(levels_of(np.array([min_bigram]))[0])
     contexts = lambda lv: 3 * min(histogram[0].sum(), histogram[1, lv:].sum())  # noqa: E731  a context holds few levels
@@ -256,7 +275,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     kept = bigrams.where(F.col("c") >= gram_floor)
     entries = entries.union(kept.select("key", "c")).union(keyed_contexts(kept.groupBy("left").agg(F.sum("c").alias("c"))))
     found = filled(spark, entries.select("key", level.alias("level")), filter_bytes, hashes)
-    return Model(found, hot, int(n or 0), int(v or 0), mu, int(gram_floor)), words
+    return Model(found, hot, hot_counts, int(n or 0), int(v or 0), mu, int(gram_floor)), words
 
 
 def keyed_words(words: DataFrame) -> DataFrame:
@@ -277,65 +296,75 @@ def keyed_contexts(contexts: DataFrame) -> DataFrame:
 
 
 class Scorer:
-    """Scores batches of texts under a model."""
+    """Scores batches of texts under a model, remembering the words it has met:
+    a number for each, and arrays of their key, count and stored mass (read from
+    the filter) by that number."""
 
     def __init__(self, model: Model):
         self.m = model
         self.floor = 0.5 * (model.v + 1)
-        self.known: dict[bytes, tuple] = {}
-
-    def words(self, new: list[bytes]) -> None:
-        """Remember key, count and stored mass (from the filter) and hot count of words."""
+        self.forget()
+
+    def forget(self) -> None:
+        """Keep the frequent words only; their numbers come first."""
+        if not hasattr(self, "frequent"):
+            self.number: dict[bytes, int] = {}
+            self.key = np.empty(0, np.uint64)
+            self.c = self.s = np.empty(0)
+            self.learn(self.m.hot)
+            self.frequent = len(self.m.hot)
+            self.hot = self.m.hot_counts.astype(np.float64)
+        n = self.frequent
+        self.number = dict(zip(self.m.hot, range(n)))
+        self.key, self.c, self.s = self.key[:n], self.c[:n], self.s[:n]
+
+    def learn(self, new: list[bytes]) -> None:
+        first = len(self.number)
+        self.number.update(zip(new, range(first, first + len(new))))
         keys = unigram_keys(new)
-        c, s = self.m.filter.counts(keys), self.m.filter.counts(context_keys(keys))
-        hot = [self.m.hot.get(w, -1) for w in new]
-        self.known.update(zip(new, zip(keys.tolist(), c.tolist(), s.tolist(), hot)))
+        count = np.minimum(self.m.filter.counts(keys), self.m.n)  # a false positive may read more
+        self.key, self.c = np.r_[self.key, keys], np.r_[self.c, count]
+        self.s = np.r_[self.s, self.m.filter.counts(context_keys(keys))]
 
     def score(self, texts: list[bytes]):
         """Per text: tokens, known hot tokens, summed base log10 of hot tokens, model's
-        log10 probability, and the other words with their counts."""
-        if len(self.known) > 400_000:
-            self.known = {}
+        log10 probability. And the other words: text's place, word, times."""
         seqs = [tokens(t) for t in texts]
-        vocab: dict[bytes, int] = {}
-        for s in seqs:
-            for w in s:
-                vocab.setdefault(w, len(vocab))
-        if END not in vocab:
-            vocab[END] = len(vocab)
-        new = [w for w in vocab if w not in self.known]
+        distinct = set().union(*seqs)
+        new = distinct.difference(self.number)
+        if len(self.number) + len(new) > self.frequent + KNOWN_WORDS:
+            self.forget()
+            new = distinct.difference(self.number)
         if new:
-            self.words(new)
-        info = [self.known[w] for w in vocab]
-        key = np.array([x[0] for x in info], np.uint64)
-        c, s, hot = (np.array([x[i] for x in info], np.float64) for i in (1, 2, 3))
-        c = np.minimum(c, self.m.n)  # a false positive may read more
-        ids = [np.fromiter(map(vocab.__getitem__, q), np.int64, len(q)) for q in seqs]
-        length = np.array([len(i) for i in ids])
-        flat = np.concatenate(ids)
+            self.learn(list(new))
+        get = self.number.__getitem__
+        length = np.fromiter(map(len, seqs), np.int64, len(seqs))
+        flat = np.fromiter(map(get, itertools.chain.from_iterable(seqs)), np.int64, int(length.sum()))
         first = np.cumsum(length) - length
         total = self.m.n + self.floor
-        base = np.where(hot >= 0, np.log10((np.maximum(hot, 0) + 0.5) / total), 0.0)[flat]
-        known = (hot > 0)[flat]
-        before = np.r_[0, flat[:-1]]
-        pair, where = np.unique(before * np.int64(len(key)) + flat, return_inverse=True)
-        left, right = pair // len(key), pair % len(key)
+        hot = flat < self.frequent
+        base = np.zeros(len(flat))
+        base[hot] = np.log10((self.hot + 0.5) / total)[flat[hot]]
+        pair, where = np.unique((np.r_[0, flat[:-1]] << 32) | flat, return_inverse=True)
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        c, key = self.c, self.key
         joint = self.m.filter.counts(bigram_keys(key[left], key[right]))
         joint = np.minimum(joint, np.minimum(c[left], c[right]))  # no pair is more frequent than its words
-        single = (c + 0.5) / total
-        rest = np.maximum(c - np.minimum(s, c), 0) + self.m.mu
-        p = (joint + rest[left] * single[right]) / (np.maximum(c[left], joint) + self.m.mu)
-        logs = np.log10(np.minimum(p, 1.0))[where]
-        logs[first] = np.log10(single)[flat[first]]  # a text's first token has no context
+        single = (c[right] + 0.5) / total
+        rest = np.maximum(c - np.minimum(self.s, c), 0)[left] + self.m.mu
+        logs = np.log10(np.minimum((joint + rest * single) / (np.maximum(c[left], joint) + self.m.mu), 1.0))[where]
+        logs[first] = np.log10((c[flat[first]] + 0.5) / total)  # a text's first token has no context
         add = np.add.reduceat
-        tails = []
-        rare = np.flatnonzero((hot < 0)[flat])
-        names = list(vocab)
+        rare = np.flatnonzero(~hot)
         row = np.repeat(np.arange(len(texts)), length)[rare]
-        if len(rare):
-            at, n = np.unique(row * np.int64(len(key)) + flat[rare], return_counts=True)
-            tails = [(int(a // len(key)), names[a % len(key)], int(k)) for a, k in zip(at, n)]
-        return length, add(known.astype(np.int64), first), add(base, first), add(logs, first), tails
+        at, times = np.unique((row << 32) | flat[rare], return_counts=True)
+        # Spell the rare words out: each from the first place where it stands.
+        numbers, place = np.unique(flat[rare], return_index=True)
+        place = rare[place]
+        text = np.searchsorted(np.cumsum(length), place, side="right")
+        spelled = {n: seqs[t][i] for n, t, i in zip(numbers.tolist(), text.tolist(), (place - first[text]).tolist())}
+        words = list(map(spelled.__getitem__, (at & 0xFFFFFFFF).tolist()))
+        return length, add(hot.astype(np.int64), first), add(base, first), add(logs, first), (at >> 32, words, times)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -358,18 +387,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             texts = [t or b"" for t in byte_rows(batch.column(2))]
             for r in chunks([len(t) for t in texts]):
                 length, known, base, logs, tails = scorer.score([texts[i] for i in r])
-                n, k = len(length), len(tails)
+                n, k = len(length), len(tails[1])
                 at_rows = part + at + np.arange(n)
                 at += n
                 cols = batch.slice(r.start, n)
                 yield pa.record_batch([
-                    pa.concat_arrays([pa.array(at_rows), pa.array(at_rows[[t[0] for t in tails]] if k else [], pa.int64())]),
+                    pa.concat_arrays([pa.array(at_rows), pa.array(at_rows[tails[0]], pa.int64())]),
                     pa.concat_arrays([cols.column(0), pa.nulls(k, cols.column(0).type)]),
                     pa.concat_arrays([cols.column(1), pa.nulls(k, pa.bool_())]),
-                    pa.array([None] * n + [t[1] for t in tails], pa.binary()),
-                    pa.array(length.tolist() + [t[2] for t in tails], pa.int64()),
-                    pa.array(known.tolist() + [0] * k, pa.int64()), pa.array(base.tolist() + [0.0] * k, pa.float64()),
-                    pa.array(logs.tolist() + [0.0] * k, pa.float64())],
+                    pa.array([None] * n + tails[1], pa.binary()),
+                    pa.array(np.r_[length, tails[2]]),
+                    pa.array(np.r_[known, np.zeros(k, np.int64)]), pa.array(np.r_[base, np.zeros(k)]),
+                    pa.array(np.r_[logs, np.zeros(k)])],
                     names=["row", "id", "held_out", "word", "n", "known", "base", "logs"])
 
     # One kind of row per document and one per document and rare word, in one pass.
