@@ -7,8 +7,12 @@ document that holds it, and a document that keeps too little of its words is
 rejected. Texts that are equal count as one document, so copies alone never
 make a line frequent.
 
+``quality`` judges every row; ``cleaned`` returns the kept rows with the frequent
+lines taken out of their texts.
+
 One pass over the texts measures the base columns and the line hashes; all
-counting then runs on the hashes alone. A hot line is counted by partial
+counting then runs on the hashes alone, and the frequent lines of each document
+are joined back to its text by row. A hot line is counted by partial
 aggregation. The limit is ``max(min_docs, share * documents of the host)``, so
 a host has at most ``lines per document / share`` frequent lines.
 
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpulse.llm.common import byte_rows, cut, numbered, small_batches
+from creditpulse.llm.common import byte_rows, cut, numbered, small_batches, with_row_id
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -63,7 +67,7 @@ def measure(text: bytes) -> tuple[list[int], list[int], list[int]]:
     lines = [x for x in text.split(b"\n") if x.strip(SPACE)]
     per_line: dict[int, int] = {}
     for line in lines:
-        h = xxhash.xxh64_intdigest(normal_line(line)) - (1 << 63)
+        h = line_hash(line)
         per_line[h] = per_line.get(h, 0) + len(line.split())
     base = [
         len(words),
@@ -98,10 +102,19 @@ def measured(docs: DataFrame, id_col: str, host_col: str, text_col: str, row_col
     return rows.mapInArrow(run, schema)
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+def line_hash(line: bytes) -> int:
+    return xxhash.xxh64_intdigest(normal_line(line)) - (1 << 63)
+
+
+def without_lines(text: bytes, gone: set[int]) -> bytes:
+    """``text`` without the lines whose hashes are in ``gone``; other lines, blank ones too, stay as they are."""
+    return b"\n".join(x for x in text.split(b"\n") if not x.strip(SPACE) or line_hash(x) not in gone)
+
+
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
             min_words: int = 10, max_repeat_pct: int = 20, share: float = 0.05, min_docs: int = 20,
             min_left_words: int = 10, min_left_pct: int = 20, row_col: str | None = None) -> DataFrame:
-    """``row_id``, id, base measures, ``base_failed``, ``n_removed_words``, ``kept`` of every row.
+    """``quality`` with ``removed_lines``, the hashes of each row's frequent lines (null if it has none).
 
     A line is frequent on a host if more than ``max(min_docs, share * documents)``
     of the host's documents hold it. A document is depleted if fewer than
@@ -123,11 +136,38 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     removed = (each.alias("e").join(frequent.alias("f"), (F.col("e.line") == F.col("f.line"))
                                     & F.col("e.host").eqNullSafe(F.col("f.host")))
                .where(F.col("e.row_id") != F.col("first.row_id"))
-               .groupBy("row_id").agg(F.sum("words").alias("gone")))
+               .groupBy("row_id").agg(F.sum("words").alias("gone"), F.collect_list("e.line").alias("removed_lines")))
     base_failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words")
     depleted = (F.col("n_removed_words") > 0) & ((left < min_left_words) | (100 * left < min_left_pct * F.col("n_words")))
     return (rows.join(removed, "row_id", "left")
             .select("row_id", F.col("id").alias(id_col), *MEASURES, base_failed.alias("base_failed"),
-                    F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed_words"))
+                    F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed_words"), "removed_lines")
             .withColumn("kept", ~F.col("base_failed") & ~depleted))
+
+
+def quality(docs: DataFrame, *args, **options) -> DataFrame:
+    """``row_id``, id, base measures, ``base_failed``, ``n_removed_words``, ``kept`` of every row; options of ``judged``."""
+    return judged(docs, *args, **options).drop("removed_lines")
+
+
+def cleaned(docs: DataFrame, columns: list[str], text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
+    """``columns`` of the kept rows without their frequent lines, the length of changed texts set anew."""
+    docs = with_row_id(docs, "row_id")
+    kept = judged(docs, text_col=text_col, row_col="row_id", **options).where("kept").select("row_id", F.col("removed_lines").alias("__gone"))
+    rows = docs.select("row_id", *columns).join(kept, "row_id").select(*columns, "__gone")
+    schema = docs.select(*columns).schema
+    at, length = columns.index(text_col), columns.index(length_col) if length_col else -1
+
+    def run(batches):
+        for batch in batches:
+            gone = batch.column(len(columns)).to_pylist()
+            cols = [batch.column(i) for i in range(len(columns))]
+            if any(gone):
+                texts = [without_lines(t, set(g)).decode() if g else t and t.decode() for t, g in zip(byte_rows(cols[at]), gone)]
+                cols[at] = pa.array(texts, cols[at].type)
+                if length_col:
+                    cols[length] = pa.array([len(t) if g else n for t, g, n in zip(texts, gone, cols[length].to_pylist())], cols[length].type)
+            yield pa.record_batch(cols, names=columns)
+
+    return rows.mapInArrow(run, schema)

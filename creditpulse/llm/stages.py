@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creditpulse.llm.common import with_row_id
 from creditpulse.llm.mixing import Mixture, copies
-from creditpulse.llm.quality_rules import quality
+from creditpulse.llm.quality_rules import cleaned
 from creditpulse.llm.secret_scans import redacted
 from creditpulse.llm.sentencepiece_codec import encode
 from creditpulse.llm.simhash_dedup import near_duplicates
@@ -21,10 +21,8 @@ PIECES = "piece_bpe_32k.model"
 
 
 def quality_stage(spark, docs, sf_dir):
-    """The documents that the quality rules keep, unchanged."""
-    docs = with_row_id(docs, "row_id")
-    kept = quality(docs, row_col="row_id").where("kept").select("row_id")
-    return docs.join(kept, "row_id", "left_semi").select(*COLUMNS)
+    """The documents that the quality rules keep, without frequent lines and ``n_chars`` of changed texts set anew."""
+    return cleaned(docs, COLUMNS)
 
 
 def simhash_stage(spark, docs, sf_dir):

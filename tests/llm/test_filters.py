@@ -9,7 +9,8 @@ import pytest
 
 from creditpulse.llm import secret_scans as X
 from creditpulse.llm import url_filters as U
-from creditpulse.llm.quality_rules import quality
+from creditpulse.llm.quality_rules import cleaned, quality
+from creditpulse.llm.stages import quality_stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -90,6 +91,56 @@ def test_copies_do_not_make_lines_frequent(frame):
     assert all(r.kept for r in rows)
 
 
+def plain_cleaned(rows, share, min_docs):
+    """``rows``: (id, text, host) in table order -> the kept ones without frequent lines."""
+    def normal(line):
+        return re.sub("[0-9]+", "0", " ".join(WORD.findall(line.translate({c: c + 32 for c in range(65, 91)}))))
+
+    holders, sizes = defaultdict(dict), defaultdict(set)
+    for at, (i, text, host) in enumerate(rows):
+        sizes[host].add(text)
+        for line in filter(WORD.search, text.split("\n")):
+            first = holders[host, normal(line)].get(text, (i, at))
+            holders[host, normal(line)][text] = min(first, (i, at))
+
+    def stays(at, i, line, host):
+        h = holders[host, normal(line)]
+        return not WORD.search(line) or len(h) <= max(min_docs, share * len(sizes[host])) or min(h.values()) == (i, at)
+
+    kept = [r[3] for r in plain_quality(rows, share, min_docs)]
+    return [(i, "\n".join(x for x in text.split("\n") if stays(at, i, x, host)), host)
+            for at, (i, text, host) in enumerate(rows) if kept[at]]
+
+
+def test_cleaned_texts_equal_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"Word{i}" for i in range(500)] + ["é", "世界"]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    common = ["Copyright 2010 all rights reserved by us", "COPYRIGHT  1999 all rights reserved by us", "menu home about contact"]
+    rows = []
+    for i in range(200):
+        parts = [line(rng.randint(2, 12)) for _ in range(rng.randint(0, 4))] + rng.choices(common, k=rng.randint(0, 3)) + ["", " \t"]
+        rng.shuffle(parts)
+        rows.append((i, "\n".join(parts), rng.choice(["h1", "h1", "h2", None])))
+    rows += [(i + 1000, *rows[i][1:]) for i in range(40)]
+    df = (spark.createDataFrame([(i, t, "en", h, len(t)) for i, t, h in rows], "doc_id long, text string, lang string, source string, n_chars long")
+          .coalesce(1))
+    got = cleaned(df, ["doc_id", "text", "lang", "source", "n_chars"], min_docs=15).collect()
+    want = plain_cleaned(rows, 0.05, 15)
+    assert sorted(((r.doc_id, r.text, r.source) for r in got), key=str) == sorted(want, key=str)
+    assert all(r.n_chars == len(r.text) for r in got)
+    before = {i: t for i, t, _ in rows}
+    assert sum(r.text != before[r.doc_id] for r in got) > 20
+
+
+def test_quality_stage_takes_frequent_lines_out(frame):
+    own = lambda i: " ".join("ab"[i >> k & 1] + "word" + "cd" * k for k in range(30))  # noqa: E731  digits would be alike
+    texts = ["the site menu: home about contact\n" + own(i) for i in range(60)]
+    rows = {r.doc_id: r for r in quality_stage(None, frame(texts), None).collect()}
+    assert rows[0].text == texts[0] and len(rows) == 60
+    assert all(rows[i].text == own(i) and rows[i].n_chars == len(rows[i].text) for i in range(1, 60))
+
+
 # --- secrets -----------------------------------------------------------------
 
 BASE = {"assign": r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
