@@ -11,10 +11,14 @@ is missing. Probabilities are interpolated with the unigram model:
 where ``s(h)``, the summed counts of ``h``'s stored bigrams, is a third kind of
 entry, so that the mass that is not stored goes to ``P(w)``.
 
-Size bound: the filter has ``filter_bytes`` bytes, whatever the corpus. All
-n-grams are counted; from the whole histogram of counts the smallest cut-off
-is taken with which the bigrams (at least ``min_bigram``) and unigrams leave
-``bits_per_key`` bits for each key; the same rule holds at every size.
+Size: the filter grows with the corpus. The histogram of all counts gives the
+number of keys, and the filter has as many groups of ``group_bytes`` as leave
+``bits_per_key`` bits for each key; every word and every bigram seen
+``min_bigram`` times is stored at any size. A group is one broadcast, and a
+worker holds one group at a time: it gathers ``GATHER_BYTES`` of text and probes
+group after group, each with the keys that live there, so memory is bounded and
+a worker's reads of groups grow with their number. Only with ``filter_bytes``
+set is there one filter of that size, and the cut-off rises until its keys fit.
 
 Exact base columns need exact counts of every word. Those of the ``hot_words``
 most frequent words at most (up to a level of counts; at most ``HOT_CHARS``
@@ -30,7 +34,8 @@ ignored.
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +44,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpulse.llm.common import byte_rows, chunks, cut, small_batches
+from creditpulse.llm.common import CHUNK_BYTES, byte_rows, chunks, cut, small_batches
+from creditpulse.session import scratch_path
 
 END = b"\n"  # no word: white space only
 HOT_CHARS = 64
@@ -47,6 +53,7 @@ KEY_BITS = 48  # of an n-gram's hash; far more than the filter's own false posit
 SLICES = 1 << 12
 COUNT_TOKENS = 4 << 20  # tokens that are counted together before they are sent on
 KNOWN_WORDS = 250_000  # words that a worker remembers besides the frequent ones
+GATHER_BYTES = 8 << 20  # text that is probed together where the filter has several groups
 MASK = np.uint64((1 << KEY_BITS) - 1)
 LEVEL_FLOORS = np.unique(np.concatenate([np.arange(1, 9), np.round(8 * 1.25 ** np.arange(1, 160))])).astype(np.float64)
 #: What a level stands for: the middle of its range, in logs.
@@ -129,16 +136,40 @@ class LogFrequencyFilter:
         return LEVEL_VALUES[level]
 
 
-def filled(spark, entries: DataFrame, filter_bytes: int, hashes: int) -> LogFrequencyFilter:
+@dataclass
+class GroupedFilter:
+    """A filter in groups, each a broadcast ``LogFrequencyFilter``; a key lives in one group."""
+
+    groups: list
+    cache: dict = field(default_factory=dict, repr=False)
+
+    @staticmethod
+    def group_of(keys: np.ndarray, groups: int) -> np.ndarray:
+        """By the low 32 bits; slices go by the high ones."""
+        return (((keys & np.uint64(0xFFFFFFFF)) * np.uint64(groups)) >> np.uint64(32)).astype(np.int64)
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.groups) == 1:
+            return self.groups[0].value.counts(keys)
+        out, home = np.zeros(len(keys)), self.group_of(keys, len(self.groups))
+        for g, group in enumerate(self.groups):
+            at = np.flatnonzero(home == g)
+            if len(at):
+                out[at] = group.value.counts(keys[at])
+                vars(group).pop("_value", None)  # read again from the local disk when needed
+        return out
+
+
+def filled(spark, entries: DataFrame, group_bytes: int, groups: int, hashes: int) -> GroupedFilter:
     """The filter with ``entries (key long, level int)``; every task fills the slices it is dealt."""
-    width = filter_bytes // SLICES
+    width = group_bytes // SLICES
 
     def run(batches):
-        own: dict[int, np.ndarray] = {}
+        own: dict[int, np.ndarray] = {}  # by group and slice
         for batch in batches:
             keys = batch.column(0).to_numpy().view(np.uint64)
             level = batch.column(1).to_numpy().astype(np.int64)
-            which = LogFrequencyFilter.slice_of(keys)
+            which = GroupedFilter.group_of(keys, groups) * SLICES + LogFrequencyFilter.slice_of(keys)
             order = np.argsort(which, kind="stable")
             keys, level, which = keys[order], level[order], which[order]
             repeats = np.repeat(np.arange(len(keys)), level)
@@ -150,17 +181,27 @@ def filled(spark, entries: DataFrame, filter_bytes: int, hashes: int) -> LogFreq
                 bits = own.setdefault(int(home[start]), np.zeros(width, np.uint8))
                 p = at[start:stop].ravel()
                 np.bitwise_or.at(bits, p >> 3, (1 << (p & 7)).astype(np.uint8))
-        if own:
-            yield pa.record_batch([pa.array(list(own), pa.int64()), pa.array([b.tobytes() for b in own.values()], pa.binary())],
-                                  names=["slice", "bits"])
-
-    dealt = entries.repartition(F.shiftright("key", KEY_BITS - 12))
-    slices = np.zeros((SLICES, width), np.uint8)
-    # filter_bytes in all, whatever the corpus: the filter is what gets broadcast.
-    for row in dealt.mapInArrow(run, "slice long, bits binary").toArrow().to_batches():
-        for number, bits in zip(row.column(0).to_pylist(), row.column(1).to_pylist()):
-            slices[number] |= np.frombuffer(bits, np.uint8)
-    return LogFrequencyFilter(slices, hashes)
+        for at in chunks([width] * len(own)):
+            some = list(own)[at.start:at.stop]
+            yield pa.record_batch([pa.array([x // SLICES for x in some], pa.int64()), pa.array([x % SLICES for x in some], pa.int64()),
+                                   pa.array([own[x].tobytes() for x in some], pa.binary())], names=["of", "slice", "bits"])
+
+    group = F.expr(f"((key & {0xFFFFFFFF}L) * {groups}L) >> 32")
+    dealt = entries.repartition(group, F.shiftright("key", KEY_BITS - 12))
+    path = scratch_path(spark, "llm-lm-filter")
+    dealt.mapInArrow(run, "of long, slice long, bits binary").write.partitionBy("of").parquet(path)
+    found = spark.read.schema("slice long, bits binary, of long").parquet(path)
+    shared = []
+    for g in range(groups):  # one group of group_bytes at a time on the driver
+        slices = np.zeros((SLICES, width), np.uint8)
+        for low in range(0, SLICES, SLICES // 4):  # a quarter travels at once
+            some = found.where((F.col("of") == g) & F.col("slice").between(low, low + SLICES // 4 - 1)).select("slice", "bits").toArrow()
+            for row in some.to_batches(max_chunksize=64):
+                for number, bits in zip(row.column(0).to_pylist(), row.column(1).to_pylist()):
+                    slices[number] |= np.frombuffer(bits, np.uint8)
+            del some
+        shared.append(spark.sparkContext.broadcast(LogFrequencyFilter(slices, hashes)))
+    return GroupedFilter(shared)
 
 
 def training(docs: DataFrame, id_col: str) -> DataFrame:
@@ -226,7 +267,7 @@ def level_column(c):
 
 @dataclass
 class Model:
-    filter: LogFrequencyFilter
+    filter: GroupedFilter
     hot: list[bytes]
     hot_counts: np.ndarray
     n: int
@@ -235,8 +276,8 @@ class Model:
     cut_off: int
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bytes: int = 64 << 20, hashes: int = 6,
-          bits_per_key: int = 9, min_bigram: int = 2, hot_words: int = 300_000, mu: float = 20.0):
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bytes: int | None = None, hashes: int = 6,
+          group_bytes: int = 64 << 20, bits_per_key: int = 9, min_bigram: int = 2, hot_words: int = 300_000, mu: float = 20.0):
     """The model, and the table of all words' exact counts ``word, c``."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -262,19 +303,21 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     hot, hot_counts = arrow.column(0).to_pylist(), np.array(arrow.column(1).to_pylist(), np.int64)
 
     # Keys that each cut-off would store; cut-offs are level floors.
-    room = filter_bytes * 8 // bits_per_key
+    room = filter_bytes * 8 // bits_per_key if filter_bytes else math.inf
     stored = lambda h, lv: (h[lv:] * np.arange(lv, len(h))).sum()
     own = int(levels_of(np.array([min_bigram]))[0])
     contexts = lambda lv: 3 * min(histogram[0].sum(), histogram[1, lv:].sum())  # noqa: E731  a context holds few levels
+    keys = lambda lv: stored(histogram[0], max(1, lv - own + 1)) + stored(histogram[1], lv) + contexts(lv)
     lv = own
-    while lv < len(LEVEL_FLOORS) and stored(histogram[0], max(1, lv - own + 1)) + stored(histogram[1], lv) + contexts(lv) > room:
+    while lv < len(LEVEL_FLOORS) and keys(lv) > room:
         lv += 1
+    groups = 1 if filter_bytes else max(1, math.ceil(keys(lv) * bits_per_key / 8 / group_bytes))
     word_floor, gram_floor = float(LEVEL_FLOORS[max(1, lv - own + 1) - 1]), float(LEVEL_FLOORS[lv - 1])
 
     entries = keyed_words(words.where(F.col("c") >= word_floor))
     kept = bigrams.where(F.col("c") >= gram_floor)
     entries = entries.union(kept.select("key", "c")).union(keyed_contexts(kept.groupBy("left").agg(F.sum("c").alias("c"))))
-    found = filled(spark, entries.select("key", level.alias("level")), filter_bytes, hashes)
+    found = filled(spark, entries.select("key", level.alias("level")), filter_bytes or group_bytes, groups, hashes)
     return Model(found, hot, hot_counts, int(n or 0), int(v or 0), mu, int(gram_floor)), words
 
 
@@ -322,9 +365,10 @@ class Scorer:
         first = len(self.number)
         self.number.update(zip(new, range(first, first + len(new))))
         keys = unigram_keys(new)
-        count = np.minimum(self.m.filter.counts(keys), self.m.n)  # a false positive may read more
+        both = self.m.filter.counts(np.r_[keys, context_keys(keys)])  # each group is read once
+        count = np.minimum(both[:len(keys)], self.m.n)  # a false positive may read more
         self.key, self.c = np.r_[self.key, keys], np.r_[self.c, count]
-        self.s = np.r_[self.s, self.m.filter.counts(context_keys(keys))]
+        self.s = np.r_[self.s, both[len(keys):]]
 
     def score(self, texts: list[bytes]):
         """Per text: tokens, known hot tokens, summed base log10 of hot tokens, model's
@@ -367,11 +411,26 @@ class Scorer:
         return length, add(hot.astype(np.int64), first), add(base, first), add(logs, first), (at >> 32, words, times)
 
 
+def gathered(batches, column: int):
+    """The rows of ``batches`` in batches of about ``GATHER_BYTES`` of ``column``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= GATHER_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """id, ``held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     spark = docs.sparkSession
     model, words = learn(docs, id_col, text_col, **options)
-    shared = spark.sparkContext.broadcast(model)
+    # The groups travel as broadcasts of their own, named by the task's closure.
+    groups, n_groups = model.filter.groups, len(model.filter.groups)
+    shared = spark.sparkContext.broadcast(replace(model, filter=None))
     total = model.n + 0.5 * (model.v + 1)
     rows = docs.select(F.col(id_col).alias("id"),
                        F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1, F.lit(False)).alias("held_out"),
@@ -380,12 +439,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         model = shared.value
+        if model.filter is None:
+            model.filter = GroupedFilter(groups)
         scorer = model.filter.cache.setdefault("scorer", None) or Scorer(model)
         model.filter.cache["scorer"] = scorer
         part, at = TaskContext.get().partitionId() << 40, 0
-        for batch in batches:
+        for batch in gathered(batches, 2) if n_groups > 1 else batches:
             texts = [t or b"" for t in byte_rows(batch.column(2))]
-            for r in chunks([len(t) for t in texts]):
+            for r in chunks([len(t) for t in texts], GATHER_BYTES if n_groups > 1 else CHUNK_BYTES):
                 length, known, base, logs, tails = scorer.score([texts[i] for i in r])
                 n, k = len(length), len(tails[1])
                 at_rows = part + at + np.arange(n)

@@ -93,6 +93,33 @@ def test_small_filter_keeps_the_frequent(frame):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in rows)
 
 
+def test_filter_grows_in_groups_and_drops_no_count(frame):
+    """No cut-off rises with the corpus: several groups hold what one filter holds.
+    They are wide, as one frequent key fills a small slice."""
+    texts = corpus()
+    model, words = L.learn(frame(texts), group_bytes=1 << 20, bits_per_key=4000, hot_words=50)
+    assert model.cut_off == 2 and len(model.filter.groups) > 2
+    counts = {r.word: r.c for r in words.collect()}
+    read = model.filter.counts(L.unigram_keys(list(counts)))
+    assert (read >= L.LEVEL_VALUES[L.levels_of(np.array(list(counts.values())))]).all()
+    pairs = Counter()
+    for i, t in enumerate(texts):
+        if remainder(i, 5) != 1:
+            w = L.tokens(t.encode())
+            pairs.update(zip(w, w[1:]))
+    often = [p for p, c in pairs.items() if c >= 2]
+    left, right = (L.unigram_keys([p[k] for p in often]) for k in (0, 1))
+    read = model.filter.counts(L.bigram_keys(left, right))
+    assert (read >= L.LEVEL_VALUES[L.levels_of(np.array([pairs[p] for p in often]))]).all()
+
+    one = {r.doc_id: r for r in L.score_documents(frame(texts), hot_words=50).collect()}
+    many = {r.doc_id: r for r in L.score_documents(frame(texts), group_bytes=1 << 20, bits_per_key=4000, hot_words=50).collect()}
+    assert one.keys() == many.keys()
+    for i, r in one.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (many[i].n_tokens, many[i].n_known, many[i].train_tokens)
+        assert many[i].base_score == pytest.approx(r.base_score, rel=1e-9) and many[i].score == pytest.approx(r.score, rel=0.03, abs=0.5)
+
+
 def test_lm_odd_tables(odd_frame, empty_frame):
     rows = L.score_documents(odd_frame, **SMALL).collect()
     assert len(rows) == odd_frame.count() and sum(r.doc_id == 1 for r in rows) == 2
