@@ -85,4 +85,22 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (gone > 0 AND (remaining < 10 OR 100 * remaining < 20 * n_words)) AS kept FROM judged"""
 
-ORACLES = {"op5_url_filters": url_filters(), "op7_embedding_dedup": EMBEDDINGS, "op9_quality_rules": QUALITY}
+
+
+TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+LEXICAL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, {TERM}) AS terms FROM documents),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY 1, 2),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, s GROUP BY term, docs),
+m AS (SELECT row, doc_id, 25 + (75 * len(terms) * docs) // total AS m FROM d, s WHERE len(terms) > 0),
+i AS (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, {TERM})) AS term FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS times FROM i GROUP BY ALL),
+found AS (SELECT item, item_id, row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (row) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM found WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+ORACLES = {"op5_url_filters": url_filters(), "op7_embedding_dedup": EMBEDDINGS, "op9_quality_rules": QUALITY,
+           "op13_lexical_search": LEXICAL}

@@ -7,8 +7,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from creditpulse.llm import bpe_codec
 from creditpulse.llm.common import table
 from creditpulse.llm.embedding_dedup import near_vectors
+from creditpulse.llm.lexical_search import search
 from creditpulse.llm.lm_scoring import score_documents
 from creditpulse.llm.mixing import Mixture
 from creditpulse.llm.oracle import ORACLES  # noqa: F401  registered with the queries
@@ -22,6 +24,7 @@ from creditpulse.llm.url_filters import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_token_counts(spark, sf_dir):
@@ -69,5 +72,15 @@ def op10_secret_scans(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_bpe_codec(spark, sf_dir):
+    out = bpe_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), decoded_col="decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_lexical_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_toxicity, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
-                                   op10_secret_scans)}
+                                   op10_secret_scans, op11_bpe_codec, op13_lexical_search)}
