@@ -102,5 +102,27 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, d
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
 
+PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+s AS (SELECT lang, words, unnest(generate_series(1, len(words))) AS i FROM w),
+g AS (SELECT lang, words[i:i + k - 1] AS gram FROM s, (VALUES (1), (2), (3), (4)) t(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, array_to_string(gram, ' ') AS phrase, any_value(gram) AS gram, any_value(len(gram)) AS k, count(*) AS n FROM g GROUP BY 1, 2),
+c AS (SELECT * FROM f WHERE k > 1 AND n >= 30),
+cuts AS (SELECT lang, phrase, gram, n, unnest(generate_series(1, k - 1)) AS j, k FROM c),
+halves AS (SELECT lang, phrase, n, j, array_to_string(gram[1:j], ' ') AS head, array_to_string(gram[j + 1:k], ' ') AS tail FROM cuts),
+scored AS (SELECT h.lang, h.phrase, h.n AS a, x.n AS l, y.n AS r, j, (2000000::HUGEINT * h.n) // (x.n + y.n) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.head JOIN f y ON y.lang = h.lang AND y.phrase = h.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+spans AS (SELECT lang, gram, n, k, unnest(generate_series(1, k - 1)) AS i FROM c),
+parts AS (SELECT lang, gram, n, k, i, unnest(generate_series(i + 1, least(k, i + k - 2))) AS e FROM spans),
+dropped AS (SELECT DISTINCT c.lang, c.phrase FROM parts q JOIN c ON c.lang = q.lang AND c.phrase = array_to_string(q.gram[q.i:q.e], ' ')
+  WHERE 100 * q.n >= 80 * c.n),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM best ANTI JOIN dropped USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
 ORACLES = {"op5_url_filters": url_filters(), "op7_embedding_dedup": EMBEDDINGS, "op9_quality_rules": QUALITY,
-           "op13_lexical_search": LEXICAL}
+           "op12_collocations": PHRASES, "op13_lexical_search": LEXICAL}

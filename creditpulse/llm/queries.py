@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from creditpulse.llm import bpe_codec
+from creditpulse.llm.collocations import collocations
 from creditpulse.llm.common import table
 from creditpulse.llm.embedding_dedup import near_vectors
 from creditpulse.llm.lexical_search import search
@@ -78,9 +79,13 @@ def op11_bpe_codec(spark, sf_dir):
     return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_toxicity, op4_lm_scoring, op5_url_filters, op6_mixing, op7_embedding_dedup, op8_simhash, op9_quality_rules,
-                                   op10_secret_scans, op11_bpe_codec, op13_lexical_search)}
+                                   op10_secret_scans, op11_bpe_codec, op12_collocations, op13_lexical_search)}
