@@ -7,6 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+from creditpulse.llm import bpe_codec as W
 from creditpulse.llm import sentencepiece_codec as S
 from creditpulse.llm.token_counts import Counter, count_tokens, merged_lengths, read_bpe
 
@@ -113,3 +114,53 @@ def test_encode_and_decode_rows(spark, odd_frame, empty_frame):
     want = sorted(((r.doc_id, tuple(i := judge.encode(r.text or "")), len(i), True, True, r.text or "") for r in odd_frame.collect()), key=str)
     assert got == want
     assert S.encode(empty_frame, PIECES).count() == 0
+
+
+# --- BPE with word ends --------------------------------------------------------
+
+
+WORDS = P.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def word_library():
+    return Tokenizer.from_file(WORDS)
+
+
+def test_word_ids_and_texts_equal_the_library(word_library):
+    parts = ["a", "ab", " ", "  ", "\n", "\t", "the", "The", "<|endoftext|>", "<|startoftext|>", "<|", "é", "e\u0301", "\u0301", "世", "😀", "\x85",
+             "\x1c", "0", "12", "'s", "'S", "'ll", "\u3000", "\xa0", "\u200b", "\U000323b0", "\u0558", "\u0130", "Σ", "ß", "ſ", "½", "²", "\x00", "_", "..."]
+    texts = fuzz(parts, 4000) + ["", "a" * 5000, " " * 100, "x y" * 1000]
+    want = word_library.encode_batch(texts, add_special_tokens=False)
+    v = W.read_vocabulary(WORDS)
+    encoder = W.Encoder(v)
+    for _ in range(2):  # the second time from memory
+        got = [list(memoryview(b).cast("i")) for b in encoder.encode([t.encode() for t in texts])]
+        assert got == [e.ids for e in want]
+    assert [W.decoded(i, v.strings).decode() for i in got] == [word_library.decode(i, skip_special_tokens=False) for i in got]
+
+
+def test_forgetting_changes_nothing(word_library, monkeypatch):
+    monkeypatch.setattr(W, "GENERATION", 20)
+    encoder = W.Encoder(W.read_vocabulary(WORDS))
+    texts = fuzz(["a", "b", "cat", "dog", " ", ".", "é"], 300)
+    for _ in range(2):
+        got = [list(memoryview(b).cast("i")) for t in texts for b in encoder.encode([t.encode()])]
+        assert got == [e.ids for e in word_library.encode_batch(texts, add_special_tokens=False)]
+    assert len(encoder.chunks.young) < 60
+
+
+def test_word_rows(spark, odd_frame, empty_frame, word_library):
+    out = W.encode(odd_frame, WORDS, keep=["doc_id", "kept"], decoded_col="text")
+    want = sorted(((r.doc_id, "clash", len(i := word_library.encode(r.text or "").ids), i, word_library.decode(i, skip_special_tokens=False))
+                   for r in odd_frame.collect()), key=str)
+    assert out.columns == ["doc_id", "kept", "n_tokens", "ids", "text"]
+    assert sorted(map(tuple, out.collect()), key=str) == want
+    back = W.decode(out.select("doc_id", "ids").union(spark.createDataFrame([(99, None)], "doc_id long, ids array<int>")), WORDS)
+    assert sorted((r.text for r in back.collect()), key=str) == sorted([*(w[4] for w in want), None], key=str)
+    assert W.encode(empty_frame, WORDS).count() == 0
+
+
+def test_not_a_vocabulary_with_word_ends():
+    with pytest.raises(ValueError):
+        W.read_vocabulary(BPE)
