@@ -19,6 +19,10 @@ It runs in two levels so that no order — however hot — is processed by one
 task: rows are windowed per ``(order, time chunk)``; each chunk is reduced
 to a one-row summary; a window over the (small) summaries per order carries
 state from earlier chunks; a join on ``(order, chunk)`` applies the carry.
+
+A chunk is an hour. Hours in which an order has more than ``chunk_rows`` rows
+are counted first and cut into ranges of position (time, then kind and record)
+by row count, so a chunk stays below about twice that whatever the order does.
 """
 
 from __future__ import annotations
@@ -26,8 +30,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditpulse.session import materialised
+
 DEFAULT_TTL_MS = 5 * 86_400_000
 DEFAULT_CHUNK_MS = 3_600_000
+DEFAULT_CHUNK_ROWS = 500_000
+
+
+def chunked(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+            order_col: str = "order_id") -> DataFrame:
+    """``events`` with their ``chunk``, a struct that sorts by time within an order:
+    the hour, and for an hour with too many rows the range within it."""
+    rows = events.withColumn("_hour", F.floor(F.col("ts") / F.lit(chunk_ms)).cast("bigint"))
+    hour = [order_col, "_hour"]
+    counts = rows.groupBy(*hour).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > F.lit(chunk_rows))
+    hot_hours = materialised(counts, "hot-hours")  # at most one for every chunk_rows rows
+    total = hot_hours.agg(F.sum("_rows")).first()[0]
+    chunk = lambda part: F.struct("_hour", part.cast("int").alias("part"))
+    if not total:
+        return rows.withColumn("chunk", chunk(F.lit(0))).drop("_hour")
+    hours = hot_hours.select(*hour)
+    # Every range of the sorted rows is a part: a row's number breaks ties, so that
+    # rows of one place can be cut too. Written, as the number must not change.
+    hot = (rows.join(hours, hour, "left_semi").withColumn("_row", F.monotonically_increasing_id())
+           .repartitionByRange(-(-total // chunk_rows), *hour, "ts", "is_loan", "rec_id", "_row").drop("_row")
+           .withColumn("chunk", chunk(F.spark_partition_id())))
+    hot = materialised(hot, "hot-rows")
+    return rows.join(hours, hour, "left_anti").withColumn("chunk", chunk(F.lit(0))).unionByName(hot).drop("_hour")
 
 
 def asof_type(
@@ -35,6 +64,7 @@ def asof_type(
     ttl_ms: int = DEFAULT_TTL_MS,
     chunk_ms: int = DEFAULT_CHUNK_MS,
     order_col: str = "order_id",
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """Typed loans.
 
@@ -50,7 +80,7 @@ def asof_type(
     pos = F.struct(ts.alias("t"), is_loan.cast("int").alias("r"), F.col("rec_id").alias("id"))
     ttl = F.lit(ttl_ms).cast("bigint")
 
-    rows = events.withColumn("chunk", F.floor(ts / F.lit(chunk_ms)).cast("bigint")).withColumn("pos", pos)
+    rows = chunked(events, chunk_ms, chunk_rows, order_col).withColumn("pos", pos)
     local = Window.partitionBy(order_col, "chunk").orderBy("pos")
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)

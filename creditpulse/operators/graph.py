@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditpulse.functions.text import is_blank
+from creditpulse.session import scratch_path
 
 
 
@@ -86,10 +87,59 @@ def filter_by_keys(df: DataFrame, keys: DataFrame, on: str, key_col: str = "key"
 
 
 def export_filter(df: DataFrame, where: str | None = None) -> DataFrame:
-    """FL-5 static predicate (SQL text); key lists go through :func:`filter_by_keys`."""
+    """FL-5 static predicate (SQL text); key lists go through :func:`filter_by_keys`
+    and :func:`filter_by_any`."""
     return df if not where else df.where(F.expr(where))
 
 
+def _with_key(values: DataFrame, keys: DataFrame) -> DataFrame:
+    """``values (v)`` that are one of ``keys (key)``."""
+    return keys.select(F.col("key").alias("v")).where(~is_blank(F.col("v"))).distinct()
+
+
+def _with_prefix(values: DataFrame, keys: DataFrame) -> DataFrame:
+    """Values that begin with a key: their prefixes of the lengths that keys have,
+    as one equality join."""
+    keys = keys.select("key").where(~is_blank(F.col("key"))).distinct()
+    lengths = [r[0] for r in keys.select(F.length("key")).distinct().collect()]  # no more than the longest key
+    if not lengths:
+        return values.where("false")
+    parts = F.array(*(F.substring("v", 1, n) for n in sorted(lengths)))
+    return values.select("v", F.explode(parts).alias("key")).join(keys, "key").select("v").distinct()
+
+
+def _in_range(values: DataFrame, keys: DataFrame, bin_width: int) -> DataFrame:
+    """Values that, as whole numbers, lie in a ``low, high`` range (half-open): both
+    sides are dealt to bins of ``bin_width``, an equality join on which comes
+    before the comparison."""
+    width = F.lit(bin_width).cast("bigint")
+    bins = F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))
+    ranges = keys.select(F.col("low").cast("bigint"), F.col("high").cast("bigint")).where("low < high").distinct()
+    ranges = ranges.withColumn("bin", F.explode(bins))
+    numbers = values.withColumn("n", F.col("v").try_cast("bigint")).withColumn("bin", F.floor(F.col("n") / width))
+    return numbers.join(ranges, "bin").where((F.col("n") >= F.col("low")) & (F.col("n") < F.col("high"))).select("v").distinct()
+
+
+def filter_by_any(df: DataFrame, conditions, bin_width: int = 1000) -> DataFrame:
+    """FL-5, the predicate repeated with OR: rows for which one of the conditions
+    holds, each row once.
+
+    A condition is ``(column, form, keys)``: the column equals one of ``keys
+    (key)`` (``"equal"``), begins with one (``"prefix"``) or is a whole number in
+    one of ``keys (low, high)`` (``"range"``). Each form is worked out on the
+    column's distinct values and joined back by equality, so there is no nested
+    loop and no pair of row and key more than a match needs.
+    """
+    hit, joined = F.lit(False), df
+    for i, (column, form, keys) in enumerate(conditions):
+        values = df.select(F.col(column).cast("string").alias("v")).distinct()
+        found = {"equal": _with_key, "prefix": _with_prefix}[form](values, keys) if form != "range" else _in_range(values, keys, bin_width)
+        found = found.select(F.col("v").alias(f"_v{i}"))
+        joined = joined.join(found, F.col(column).cast("string") == F.col(f"_v{i}"), "left")
+        hit = hit | F.col(f"_v{i}").isNotNull()
+    return joined.where(hit).select(*df.columns)
+
+
 def field_groups(fields):
     """SC-20 ordering: ``[("a", "id"), ("b.name", "edge"), ...]`` -> output
     groups, an alias's JSON fields grouped at its first position."""
@@ -185,9 +235,36 @@ def match_fields(vertices: DataFrame, edges: DataFrame, pattern: str, fields, ke
     return _split_bad(out, fields)
 
 
-def page(df: DataFrame, order_cols, start: int, size: int) -> DataFrame:
-    """SO-1: one page of a stable order (``skip start limit size``)."""
-    return df.orderBy(*order_cols).offset(start).limit(size)
+class Pages:
+    """SO-1: pages of a stable order (``skip start limit size``).
+
+    The rows are dealt once into ranges of the order, a folder each, and counted;
+    prefix sums of the counts tell which ranges a page lies in. Only these are
+    read and sorted, however deep the page is.
+    """
+
+    def __init__(self, df: DataFrame, order_cols, partitions: int | None = None):
+        spark = df.sparkSession
+        self.order, self.columns = list(order_cols), df.columns
+        n = [] if partitions is None else [partitions]
+        path = scratch_path(spark, "pages")
+        ranged = df.repartitionByRange(*n, *self.order).withColumn("_range", F.spark_partition_id())
+        ranged.write.partitionBy("_range").parquet(path)
+        self.rows = spark.read.schema(ranged.schema).parquet(path)
+        counts = sorted((r["_range"], r["count"]) for r in self.rows.groupBy("_range").count().collect())  # a row a range
+        self.before, total = {}, 0
+        for at, count in counts:
+            self.before[at] = (total, total + count)
+            total += count
+
+    def ranges(self, start: int, size: int) -> list[int]:
+        """The ranges that hold rows ``start`` to ``start + size``."""
+        return [at for at, (a, b) in self.before.items() if a < start + size and b > start]
+
+    def page(self, start: int, size: int) -> DataFrame:
+        at = self.ranges(start, size)
+        skip = start - self.before[at[0]][0] if at else 0
+        return self.rows.where(F.col("_range").isin(at)).orderBy(*self.order).offset(skip).limit(size).select(*self.columns)
 
 
 def row_json(*cols, drop_empty: bool = False) -> Column:

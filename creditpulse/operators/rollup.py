@@ -15,9 +15,9 @@ def sum_deltas(deltas: DataFrame, key=KEY) -> DataFrame:
     return deltas.groupBy(*key).agg(F.sum("value").cast("bigint").alias("value"))
 
 
-def row_counts(df: DataFrame, by: str) -> DataFrame:
+def row_counts(df: DataFrame, *by) -> DataFrame:
     """AG-7: row counts per group."""
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("records"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("records"))
 
 
 def union_all(parts) -> DataFrame:

@@ -20,7 +20,6 @@ from creditpulse.functions.timefn import (
     bucket_end,
     date_prefix,
     drop_fraction,
-    prev_day,
     text_to_ms,
 )
 from creditpulse.operators.rollup import sum_deltas, union_all
@@ -178,27 +177,11 @@ def merge_live(backfilled: DataFrame, live_deltas: DataFrame) -> DataFrame:
     return sum_deltas(backfilled.unionByName(live_deltas.select("metric", "field", "day", "value")))
 
 
-def add_points(points: DataFrame, new: DataFrame) -> DataFrame:
-    """ST-3: set add of cut-over pointers."""
-    return points.unionByName(new).dropDuplicates(["cutover_ms"])
-
-
 def min_cutover(points: DataFrame) -> DataFrame:
     """AG-6: the earliest pointer."""
     return points.agg(F.min("cutover_ms").alias("cutover_ms"))
 
 
-def restate(counters: DataFrame, recomputed: DataFrame, day: str, families) -> DataFrame:
-    """SM-8: drop ``families`` for ``day`` and the day before, then add the
-    recomputed rows of those days and families. ``counters.restate_store``
-    does the same in the counter store."""
-    days = (F.col("day") == F.lit(day)) | (F.col("day") == prev_day(F.lit(day)))
-    fam = F.col("metric").isin(list(families))
-    kept = counters.where(~(days & fam))
-    fresh = recomputed.where(days & fam)
-    return kept.unionByName(fresh.select(*counters.columns))
-
-
 def _shift(day: str, days: int) -> str:
     return (dt.date.fromisoformat(day) + dt.timedelta(days=days)).isoformat()
 

@@ -53,8 +53,7 @@ TWO_HOP_FIELDS = [
 
 
 def export(vertices: DataFrame, edges: DataFrame, pattern: str, fields, keys: DataFrame | None = None,
-           where: str | None = None, path: str | None = None, max_records: int | None = None,
-           file_mb: int = 500, on: str | None = None) -> tuple[DataFrame, DataFrame]:
+           where: str | None = None, path: str | None = None, file_mb: float = 500, on: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Match, keep the paths whose ``on`` (an ``<alias>_id`` or ``alias.prop``;
     default: the first vertex) is in the key list and that pass the predicate
     ``where`` over the output columns; write CSV when ``path`` is given.
@@ -62,5 +61,5 @@ def export(vertices: DataFrame, edges: DataFrame, pattern: str, fields, keys: Da
     rows, rejects = match_fields(vertices, edges, pattern, fields, keys, on)
     rows = export_filter(rows, where)
     if path is not None:
-        write_csv(rows, path, max_records=max_records, file_mb=file_mb)
+        write_csv(rows, path, file_mb)
     return rows, rejects

@@ -7,10 +7,13 @@ CTE texts assembled per query.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from creditpulse.operators import catalogue as cat
 from creditpulse.plans import queries as Q
 
 TTL = Q.TTL_MS
+LATENESS_DAYS = 10_400  # of the stream with a bound
 
 
 def blank(x: str) -> str:
@@ -396,8 +399,8 @@ CAT_VALUES = "cat_t(metric, grp, suffix, kind) AS (VALUES " + ", ".join(
     f"('{m}', '{g}', '{sfx}', '{k}')" for m, g, sfx, k in cat.CATALOGUE) + ")"
 
 
-def _all_totals_cte(name="tot") -> str:
-    union = " UNION ALL ".join(f"SELECT metric, field, day, value, ms FROM {s}" for s in ALL_SOURCES)
+def _all_totals_cte(name="tot", sources=None) -> str:
+    union = " UNION ALL ".join(f"SELECT metric, field, day, value, ms FROM {s}" for s in sources or ALL_SOURCES)
     return f"""{name} AS (SELECT metric, field, day, CAST(sum(value) AS BIGINT) AS value, max(ms) AS last_ms
   FROM ({union}) d WHERE metric IN {_in(cat.METRICS)} GROUP BY metric, field, day)"""
 
@@ -455,8 +458,12 @@ def _more() -> dict:
     o["cutover_min"] = with_ctes(["fx_apply", "fx_loan", "fx_risk", "fx_audit", "ev"], """SELECT min(ms) AS cutover_ms,
   strftime(epoch_ms(min(ms)), '%Y-%m-%d %H:%M:%S') AS cutover_text FROM (SELECT ms FROM fx_apply UNION ALL SELECT ms FROM fx_loan
   UNION ALL SELECT ms FROM fx_risk UNION ALL SELECT ms FROM fx_audit UNION ALL SELECT ms FROM ev WHERE event_type <> 'error') t""")
+    o["cutover_points"] = with_ctes(["fx_apply", "fx_loan", "fx_risk", "fx_audit", "ev"], f"""SELECT source, min(ms) AS cutover_ms FROM (
+  SELECT '{cat.LOG_APPLY}' AS source, ms FROM fx_apply UNION ALL SELECT '{cat.LOG_LOAN}', ms FROM fx_loan
+  UNION ALL SELECT '{cat.LOG_RISK}', ms FROM fx_risk UNION ALL SELECT '{cat.LOG_AUDIT}', ms FROM fx_audit
+  UNION ALL SELECT CASE event_type WHEN 'view' THEN '{cat.LOG_WEALTH}' WHEN 'click' THEN 'Other' WHEN 'error' THEN '{cat.LOG_RISK}'
+    ELSE '{cat.LOG_FUND}' END, ms FROM ev WHERE event_type <> 'error' OR event_id % 4 = 3) t GROUP BY 1""")
     d = Q.RESTATE_DAY
-    import datetime as _dt
     d_prev = (_dt.date.fromisoformat(d) - _dt.timedelta(days=1)).isoformat()
     clean = _in(cat.CLEAN_METRICS)
     o["restate_days"] = with_ctes(BF_DEPS + ALL_SOURCES, f"""SELECT metric, field, day, value FROM tot
@@ -473,6 +480,8 @@ UNION ALL SELECT metric, field, day, CAST(sum(value) AS BIGINT) FROM bf_d
   WHERE grp_last > {_ms_sql(as_of.strftime('%Y-%m-%d %H:%M:%S'))}""", fam)
     o["lookup_hash"] = with_ctes(["risk_d"], "SELECT day, field, CAST(sum(value) AS BIGINT) AS value FROM risk_d "
                                              "WHERE metric = 'risk_level' GROUP BY day, field")
+    o["lookup_day"] = with_ctes(["risk_d"], "SELECT field, CAST(sum(value) AS BIGINT) AS value FROM risk_d "
+                                            f"WHERE metric = 'risk_province_count' AND day = '{Q.RESTATE_DAY}' GROUP BY field")
     o["counter_names"] = with_ctes(ALL_SOURCES, f"""SELECT 'dataPlatform.' || grp || '.' || day || '.' || suffix || '{Q.NAMESPACE_TEST}'
   AS counter_name, kind, field, value FROM tot JOIN cat_t USING (metric)""", fam)
     o["graph_pattern"] = """SELECT 'c:' || c.c_custkey AS a_id, c.c_name AS a_c_name, 'o:' || o.o_orderkey AS b_id,
@@ -480,6 +489,8 @@ UNION ALL SELECT metric, field, day, CAST(sum(value) AS BIGINT) FROM bf_d
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
     o["graph_two_hop"] = _graph_two_hop()
     o["graph_key_filter"] = _graph_two_hop("c.c_acctbal > 0")
+    o["graph_any_key"] = _graph_two_hop("""c.c_acctbal > 0 OR regexp_matches('p:' || p.p_partkey, '^p:1[0-4]')
+  OR l.l_linenumber BETWEEN 6 AND 11""")
     o["key_list_scan"] = "SELECT 'c:' || c_custkey AS key FROM customer WHERE c_acctbal > 0"
     o["entity_projection"] = """SELECT 'o:' || o_orderkey AS b_id, CAST(o_custkey AS VARCHAR) AS b_o_custkey,
   o_orderstatus AS b_o_orderstatus, o_orderpriority AS b_o_orderpriority FROM orders"""
@@ -500,6 +511,19 @@ def _stream_oracles() -> dict:
     o["stream_counters"] = o["stream_replay"] = totals_sql(ALL_SOURCES)
     # Loans after everything else: an order's only touch, if the loan is less than the TTL after it.
     o["stream_late_loans"] = totals_sql(["apply_d", "loan_d", "risk_d", "audit_d", "fund_d", "wealth_d", "late_d"])
+    o["stream_resume"] = o["stream_counters"]
+    # The loans of days that had ended LATENESS_DAYS before the newest other record are lost.
+    union = " UNION ALL ".join(f"SELECT metric, field, day, value, ms FROM {x}" for x in ALL_SOURCES[:-1] if x != "loan_d")
+    closed = f"((ms // 86400000 + 1) * 86400000 <= (SELECT max(ms) FROM others) - {LATENESS_DAYS * 86400000})"
+    o["stream_bounded"] = with_ctes(ALL_SOURCES[:-1], f"""SELECT metric, field, day, CAST(sum(value) AS BIGINT) AS value FROM (
+  SELECT metric, field, day, value FROM others UNION ALL SELECT metric, field, day, value FROM loan_d WHERE NOT {closed}) t
+WHERE metric IN {_in(cat.METRICS)} GROUP BY metric, field, day
+UNION ALL SELECT 'lost', '', '', count(*) FROM loan_d WHERE {closed}""",
+        {"others": f"others AS (SELECT * FROM ({union}) x WHERE metric IN {_in(cat.METRICS)})"})
+    as_of = _dt.datetime.strptime(Q.RETENTION_AS_OF, "%Y-%m-%d %H:%M:%S") - _dt.timedelta(days=32)
+    o["stream_housekeeping"] = with_ctes(ALL_SOURCES[:-1], f"""SELECT grp || '.' || suffix AS family, field, day, value
+  FROM (SELECT *, max(last_ms) OVER (PARTITION BY day, metric) AS grp_last FROM tot) t JOIN cat_t USING (metric)
+  WHERE grp_last > {_ms_sql(as_of.strftime('%Y-%m-%d %H:%M:%S'))}""", {"cat_t": CAT_VALUES, "tot": _all_totals_cte(sources=ALL_SOURCES[:-1])})
     o["stream_two_minute"] = totals_sql(["apply_d", "loan_d"], ["sub_apply_count", "sub_apply_amount", "sub_loan_count", "sub_loan_amount"])
     o["stream_dead_letters"] = ORACLES["dead_letters"]
     o["stream_loan_type"] = ORACLES["loan_type_asof"]

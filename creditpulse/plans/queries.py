@@ -15,18 +15,19 @@ from pyspark.sql import functions as F
 
 from creditpulse.functions.envelope import parse_envelope, payload
 from creditpulse.functions.text import is_blank
+from creditpulse.functions.timefn import ms_to_text
 from creditpulse.operators import catalogue as cat
 from creditpulse.operators.asof import asof_type
-from creditpulse.operators.graph import page, row_json, json_row
-from creditpulse.operators.rollup import sum_deltas, union_all
+from creditpulse.operators.graph import Pages, filter_by_any, json_row, row_json
+from creditpulse.operators.rollup import row_counts, sum_deltas, union_all
 from creditpulse.operators.rules import CUSTOMER_LABELS, split_errors, generate_where
 from creditpulse.plans import backfill as bf
 from creditpulse.plans import export as ex
 from creditpulse.plans import live
 from creditpulse.sinks import counters as store
-from creditpulse.sinks.csvout import write_csv
+from creditpulse.sinks.csvout import read_csv, write_csv
 from creditpulse.sinks.deadletters import write_dead_letters
-from creditpulse.session import scratch_path
+from creditpulse.session import materialised, scratch_path
 from creditpulse.sources import fixtures as fx
 from creditpulse.sources.keys import read_keys
 
@@ -39,6 +40,8 @@ RETENTION_AS_OF = "1998-06-01 00:00:00"
 PAGE_START, PAGE_SIZE = 1000, 500
 NAMESPACE_TEST = "_test"
 TTL_MS = 5 * 86_400_000
+#: The fixtures' history of seven years goes into the store at once.
+PERIOD_DAYS = 32
 
 
 def _ms(text: str) -> int:
@@ -79,13 +82,13 @@ def route_counts(spark, sf_dir):
         F.col("kind").alias("kind"),
         F.when(F.col("err").isNull(), "good").otherwise("bad").alias("status"),
     ])
-    return rows.groupBy("kind", "status").agg(F.count(F.lit(1)).alias("records"))
+    return row_counts(rows, "kind", "status")
 
 
 def good_bad_split(spark, sf_dir):
     """FL-1 / FM-9: bad records per kind and reason."""
     _, bad = split_errors(live.output_rows(fx.logs(spark, sf_dir), TZ))
-    return bad.groupBy("kind", F.col("err").alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+    return row_counts(bad, "kind", F.col("err").alias("reason"))
 
 
 def dead_letters(spark, sf_dir):
@@ -214,16 +217,26 @@ def lambda_merge(spark, sf_dir):
     return bf.merge_live(hist, recent)
 
 
-def cutover_min(spark, sf_dir):
-    """SM-7 + ST-3 + AG-6: each source's first record time is stored as its
-    pointer; the earliest pointer is the cut-over."""
+def _pointers(spark, sf_dir) -> DataFrame:
+    """SM-7 + ST-3: each record type's first time put as its pointer, and then its
+    last time, which changes nothing."""
     root = scratch_path(spark, "pointers")
-    parsed = parse_envelope(fx.logs(spark, sf_dir), tz=TZ)
-    firsts = parsed.where(F.col("collect_ms").isNotNull()).groupBy("log_no").agg(F.min("collect_ms").alias("first_ms"))
-    for row in firsts.collect():  # one row per record type
-        store.put_pointer(spark, root, row.log_no, row.first_ms)
-    m = bf.min_cutover(store.read_pointers(spark, root))
-    from creditpulse.functions.timefn import ms_to_text
+    parsed = parse_envelope(fx.logs(spark, sf_dir), tz=TZ).where(F.col("collect_ms").isNotNull())
+    times = materialised(parsed.groupBy(F.col("log_no").alias("source")).agg(
+        F.min("collect_ms").alias("first"), F.max("collect_ms").alias("last")), "times")
+    for ms in ("first", "last"):
+        store.put_pointers(times.select("source", F.col(ms).alias("cutover_ms")), root)
+    return store.read_pointers(spark, root)
+
+
+def cutover_points(spark, sf_dir):
+    """SM-7 + ST-3: the set of stored pointers."""
+    return _pointers(spark, sf_dir)
+
+
+def cutover_min(spark, sf_dir):
+    """AG-6: the earliest stored pointer is the cut-over."""
+    m = bf.min_cutover(_pointers(spark, sf_dir))
     return m.select("cutover_ms", ms_to_text(F.col("cutover_ms"), TZ).alias("cutover_text"))
 
 
@@ -231,42 +244,54 @@ def restate_days(spark, sf_dir):
     """SM-8 + SC-12: in the counter store, the clean families of a day and the
     day before replaced by their recomputation from detail tables."""
     root = scratch_path(spark, "restated")
-    store.add_deltas(live.all_deltas(fx.logs(spark, sf_dir), TZ), root, 0)
+    store.add_deltas(live.all_deltas(fx.logs(spark, sf_dir), TZ), root, 0, period_days=PERIOD_DAYS)
     start, end = bf.restate_range(RESTATE_DAY)
     hist = bf.backfill(*_details(spark, sf_dir), start=start, end=end, tz=TZ)
-    store.restate_store(hist, root, 1, [start[:10], RESTATE_DAY], cat.CLEAN_METRICS)
+    store.restate_store(hist, root, RESTATE_DAY, cat.CLEAN_METRICS, period_days=PERIOD_DAYS)
     return store.read_counters(spark, root).select("metric", "field", "day", "value")
 
 
 # --- counter store -------------------------------------------------------------
 
 
-def _stored(spark, sf_dir, namespace: str = "") -> DataFrame:
-    """All deltas added to a fresh store in two batches (before / after the
-    cut-over), then read back. ``written_at`` is the event time of the
-    newest record of the key (the store's clock in a replay)."""
+def _store(spark, sf_dir, cuts=(CUTOVER_MS,), period_days: int = PERIOD_DAYS) -> str:
+    """All deltas added to a fresh store, a batch for the records before each of
+    ``cuts`` and one for the rest. ``written_at`` is the event time of the newest
+    record of the key (the store's clock in a replay)."""
     root = scratch_path(spark, "counters")
     deltas = live.all_deltas(fx.logs(spark, sf_dir), TZ)
-    for batch_id, cond in enumerate([F.col("collect_ms") < CUTOVER_MS, F.col("collect_ms") >= CUTOVER_MS]):
-        store.add_deltas(deltas.where(cond), root, batch_id, namespace, clock_ms="collect_ms")
-    return store.read_counters(spark, root)
+    at = F.col("collect_ms")
+    for batch_id, (a, b) in enumerate(zip([None, *cuts], [*cuts, None])):
+        rows = deltas.where((at >= a) if a is not None else F.lit(True)).where((at < b) if b is not None else F.lit(True))
+        store.add_deltas(rows, root, batch_id, clock_ms="collect_ms", period_days=period_days)
+    return root
 
 
 def counters_current(spark, sf_dir):
     """SNK-1/2 + FL-6: current counters with family names."""
-    c = _stored(spark, sf_dir)
-    return c.select("family", "field", "day", "value")
+    return store.read_counters(spark, _store(spark, sf_dir)).select("family", "field", "day", "value")
 
 
 def counters_retained(spark, sf_dir):
-    """SNK-5: counters still alive 32 days after their last write."""
-    c = store.expire(_stored(spark, sf_dir), RETENTION_AS_OF, days=32)
+    """SNK-5, a partition a day: the folders of expired days removed; of the days
+    left, the counters still alive 32 days after their last write."""
+    root = _store(spark, sf_dir, cuts=(), period_days=1)
+    store.remove_expired(spark, root, RETENTION_AS_OF)
+    c = store.expire(store.read_counters(spark, root), RETENTION_AS_OF)
     return c.select("family", "field", "day", "value")
 
 
 def lookup_hash(spark, sf_dir):
     """SNK-6: all fields of the risk-level hash, every day."""
-    return store.lookup(_stored(spark, sf_dir), f"{cat.INFIX_BAM}.RiskLevel")
+    hashes = store.lookup_map(store.read_counters(spark, _store(spark, sf_dir)), f"{cat.INFIX_BAM}.RiskLevel")
+    return hashes.select("day", F.explode("fields").alias("field", "value"))
+
+
+def lookup_day(spark, sf_dir):
+    """SNK-6: one day's high-risk provinces; only that day's folder is read."""
+    found = store.lookup(store.read_counters(spark, _store(spark, sf_dir)), f"{cat.INFIX_BAM}.HighRiskArea.province",
+                         RESTATE_DAY, PERIOD_DAYS)
+    return found.select("field", "value")
 
 
 def counter_names(spark, sf_dir):
@@ -334,19 +359,27 @@ def entity_projection(spark, sf_dir):
     return rows
 
 
+def graph_any_key(spark, sf_dir):
+    """FL-5, repeated predicate: two-hop paths whose customer is in the key list,
+    or whose part's id begins with a key, or whose line number lies in a range."""
+    rows = _two_hop_rows(spark, sf_dir)
+    prefixes = fx.table(spark, sf_dir, "region").select(F.concat(F.lit("p:1"), F.col("r_regionkey").cast("string")).alias("key"))
+    lines = fx.table(spark, sf_dir, "region").select((F.col("r_regionkey") + 6).alias("low"), (F.col("r_regionkey") + 8).alias("high"))
+    return filter_by_any(rows, [("a_id", "equal", read_keys(spark, _key_file(spark, sf_dir))), ("c_id", "prefix", prefixes),
+                                ("e2_l_linenumber", "range", lines)], bin_width=4)
+
+
 def csv_round_trip(spark, sf_dir):
     """SNK-4: two-hop export written as size-rolled CSV and read back."""
     rows = _two_hop_rows(spark, sf_dir)
     path = scratch_path(spark, "export") + "/csv"
-    write_csv(rows, path, file_mb=1, row_bytes=80.0)
-    schema = ", ".join(f"`{c}` STRING" for c in rows.columns)
-    return spark.read.schema(schema).option("nullValue", "").option("escape", '"').csv(path)
+    write_csv(rows, path, file_mb=1)
+    return read_csv(spark, path, rows.columns)
 
 
 def export_page(spark, sf_dir):
     """SO-1: one page of the two-hop export in path order."""
-    rows = _two_hop_rows(spark, sf_dir)
-    return page(rows, ["a_id", "b_id", "c_id", "e2_l_linenumber"], PAGE_START, PAGE_SIZE)
+    return Pages(_two_hop_rows(spark, sf_dir), ["a_id", "b_id", "c_id", "e2_l_linenumber"]).page(PAGE_START, PAGE_SIZE)
 
 
 def row_to_json(spark, sf_dir):
@@ -398,15 +431,18 @@ def _registry():
         "backfill_wealth_daily": backfill_wealth_daily,
         "backfill_total_daily": backfill_total_daily,
         "lambda_merge": lambda_merge,
+        "cutover_points": cutover_points,
         "cutover_min": cutover_min,
         "restate_days": restate_days,
         "counters_current": counters_current,
         "counters_retained": counters_retained,
         "lookup_hash": lookup_hash,
+        "lookup_day": lookup_day,
         "counter_names": counter_names,
         "graph_pattern": graph_pattern,
         "graph_two_hop": graph_two_hop,
         "graph_key_filter": graph_key_filter,
+        "graph_any_key": graph_any_key,
         "key_list_scan": key_list_scan,
         "entity_projection": entity_projection,
         "csv_round_trip": csv_round_trip,

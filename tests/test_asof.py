@@ -4,7 +4,9 @@ including one hot order spread over many time chunks."""
 
 import random
 
-from creditpulse.operators.asof import asof_type
+from pyspark.sql import functions as F
+
+from creditpulse.operators.asof import asof_type, chunked
 
 TTL = 5 * 86_400_000
 SCHEMA = "order_id string, ts bigint, is_loan boolean, type string, rec_id string, amount bigint"
@@ -34,9 +36,9 @@ def replay(rows, ttl=TTL):
     return out
 
 
-def run(spark, rows, chunk_ms):
+def run(spark, rows, chunk_ms, **options):
     df = spark.createDataFrame(rows, SCHEMA)
-    return {r.rec_id: r.type for r in asof_type(df, ttl_ms=TTL, chunk_ms=chunk_ms).collect()}
+    return {r.rec_id: r.type for r in asof_type(df, ttl_ms=TTL, chunk_ms=chunk_ms, **options).collect()}
 
 
 def test_hand_cases(spark):
@@ -91,3 +93,35 @@ def test_hot_order_across_chunks(spark):
     expect = replay(rows)
     assert len(expect) > 100
     assert run(spark, rows, 3_600_000) == expect
+
+
+def test_hot_hours_are_cut_by_rows(spark):
+    """Hours with many rows, also at one time, are cut into ranges: same answer."""
+    rnd = random.Random(11)
+    rows = [(f"o{i % 3}", rnd.choice([0, 500, 500, 500, 1000, TTL, 2 * TTL + 7]), rnd.random() < 0.7, None, f"r{i:05d}", i) for i in range(2000)]
+    rows = [(o, ts, loan, None if loan or rnd.random() < 0.5 else rnd.choice(["new", "old"]), i, a) for o, ts, loan, _, i, a in rows]
+    expect = replay(rows)
+    assert len(expect) > 300
+    for limit in (7, 100, 5000):
+        assert run(spark, rows, 3_600_000, chunk_rows=limit) == expect
+
+
+def test_a_million_rows_of_one_order_in_a_minute(spark):
+    n, limit = 1_000_000, 100_000
+    k = F.col("id")
+    events = spark.range(n, numPartitions=4).select(
+        F.lit("hot").alias("order_id"), (k * 7 % 60_000).alias("ts"), (k % 10 != 0).alias("is_loan"),
+        F.when(k % 20 == 0, F.concat(F.lit("t"), (k % 7).cast("string"))).alias("type"),
+        F.lpad(k.cast("string"), 9, "0").alias("rec_id"), k.alias("amount"))
+    sizes = [r["count"] for r in chunked(events, chunk_rows=limit).groupBy("order_id", "chunk").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 2 * limit
+    got = asof_type(events, chunk_rows=limit).groupBy("type").agg(F.count(F.lit(1)), F.sum("amount"), F.sum(F.xxhash64("rec_id") % 1000)).collect()
+    last, want = None, {}
+    ts = [(i * 7 % 60_000, i % 10 != 0, i) for i in range(n)]
+    for _, loan, i in sorted(ts):
+        if not loan:
+            last = f"t{i % 7}" if i % 20 == 0 else last
+        elif last is not None:
+            c, total = want.get(last, (0, 0))
+            want[last] = (c + 1, total + i)
+    assert {r[0]: (r[1], r[2]) for r in got} == want

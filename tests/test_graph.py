@@ -1,10 +1,15 @@
 """Graph export operators."""
 
+import glob
+import os
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from creditpulse.operators import graph as G
 from creditpulse.session import scratch_path
-from creditpulse.sinks.csvout import write_csv
+from creditpulse.sinks.csvout import file_numbers, read_csv, write_csv
 
 
 def small_graph(spark):
@@ -54,26 +59,64 @@ def test_fields_and_keys_on_any_alias(spark):
     assert found("c_id") == ["c:1", "c:2"] and found("b_id") == []
 
 
-def test_page_and_json(spark):
+def test_deep_pages_read_their_range_only(spark):
+    df = spark.range(10_000).select((F.col("id") * 7919 % 10_000).alias("k"), F.lit("").alias("s"))
+    pages = G.Pages(df, ["k"], partitions=20)
+    assert pages.page(0, 1).columns == ["k", "s"] and len(pages.before) > 10
+    for start, size in [(0, 4), (3, 4), (9_000, 50), (9_990, 50), (20_000, 5), (700, 2_000)]:
+        assert [r.k for r in pages.page(start, size).collect()] == list(range(start, min(start + size, 10_000)))
+    a, b = pages.before[pages.ranges(9_000, 1)[0]]
+    assert len(pages.ranges(9_000, 1)) == 1 and b - a < 2_000
+    plan = pages.page(9_000, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_range" in plan
+    assert G.Pages(df.where("false"), ["k"]).page(0, 5).count() == 0
+
+
+def test_any_of_several_conditions(spark):
+    rows = [("c:1", "p:10", "5"), ("c:2", "p:2", "x"), ("c:3", "p:3", "17"), ("c:4", "q", None), ("c:1", "p:10", "5"), ("c:5", None, "29")]
+    df = spark.createDataFrame(rows, "a string, b string, n string")
+    keys = spark.createDataFrame([("c:2",), ("c:2",), (" ",), (None,)], "key string")
+    prefixes = spark.createDataFrame([("p:1",), ("p:10",), ("",)], "key string")
+    ranges = spark.createDataFrame([(10, 18), (15, 30), (30, 30), (40, 5)], "low int, high int")
+    found = G.filter_by_any(df, [("a", "equal", keys), ("b", "prefix", prefixes), ("n", "range", ranges)], bin_width=4)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([rows[0], rows[1], rows[2], rows[4], rows[5]], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    none = spark.createDataFrame([], "key string")
+    assert G.filter_by_any(df, [("a", "equal", none), ("b", "prefix", none)]).count() == 0
+
+
+def test_json(spark):
     df = spark.range(10).select(F.col("id").alias("k"), F.lit("").alias("s"))
-    assert [r.k for r in G.page(df, ["k"], 3, 4).collect()] == [3, 4, 5, 6]
     js = df.select(G.row_json("k", "s", drop_empty=True).alias("j")).orderBy("k" if False else "j").first().j
     assert js == '{"k":0}'
     back = spark.createDataFrame([('{"k":5}',)], "j string").select(G.json_row("j", "k bigint, s string").alias("r")).first().r
     assert back.k == 5 and back.s is None
 
 
-def test_csv_rolls_and_refuses_existing(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("a"), F.lit("x,y").alias("b")).repartition(1)
-    path = scratch_path(spark, "test-csv")
-    write_csv(df, path, max_records=30)
-    import glob
-    files = [f for f in glob.glob(path.replace("file:", "") + "/*.csv")]
-    assert len(files) == 4
-    back = spark.read.schema("a string, b string").option("escape", '"').csv(path)
-    assert back.where(F.col("b") == "x,y").count() == 100
-    try:
-        write_csv(df, path, max_records=30)
-        raise AssertionError("existing directory accepted")
-    except Exception as exc:  # noqa: BLE001
-        assert "already exists" in str(exc) or "PATH_ALREADY_EXISTS" in str(exc)
+def test_csv_rolls_by_bytes_and_refuses_existing(spark):
+    text = F.when(F.col("id") % 3 == 0, "x,y").when(F.col("id") % 3 == 1, 'say "é"').otherwise(F.repeat(F.lit("w"), (F.col("id") % 50).cast("int")))
+    df = spark.range(3000).select(F.col("id").cast("string").alias("a"), text.alias("b c")).repartition(2)
+    path, limit = scratch_path(spark, "test-csv"), 4000
+    write_csv(df, path, file_mb=limit / 1024 / 1024)
+    sizes = {}
+    for f in glob.glob(path.replace("file:", "") + "/file=*/*.txt"):
+        sizes.setdefault(f.split("file=")[1][:6], []).append(os.path.getsize(f))
+    assert len(sizes) == 2 and all(len(x) > 5 for x in sizes.values())
+    for own in sizes.values():  # all of a task's files but its last are full, and one line above the limit at most
+        assert sum(s < limit for s in own) <= 1 and max(own) < limit + 70
+    back = read_csv(spark, path, df.columns)
+    assert sorted(map(tuple, back.collect())) == sorted((a, b or None) for a, b in df.collect())
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        write_csv(df, path)
+
+
+def test_file_numbers():
+    sizes = np.array([3, 3, 3, 10, 1, 1])
+    whole = file_numbers(sizes, 5, 0, 0)
+    assert whole[0].tolist() == [0, 0, 1, 1, 2, 2] and whole[1:] == (2, 2)
+    number, used, parts = 0, 0, []
+    for i in range(6):
+        files, number, used = file_numbers(sizes[i:i + 1], 5, number, used)
+        parts += files.tolist()
+    assert parts == whole[0].tolist() and file_numbers(sizes[:0], 5, 4, 2)[1:] == (4, 2)

@@ -14,7 +14,7 @@ FAST = [
     "apply_metrics", "loan_metrics", "fund_metrics", "wealth_metrics", "audit_metrics", "risk_metrics",
     "route_counts", "good_bad_split", "blank_fields", "loan_type_asof", "backfill_two_minute", "backfill_area",
     "backfill_total_daily", "lambda_merge", "cutover_min", "counter_names", "graph_key_filter", "entity_projection",
-    "export_page", "row_to_json", "csv_round_trip", "counters_retained",
+    "export_page", "row_to_json", "csv_round_trip", "restate_days", "lookup_day", "cutover_points",
 ]
 
 
@@ -46,17 +46,11 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     assert got == want
 
 
-def test_stream_equals_batch_and_replay(spark, duck, sf_small):
-    from creditpulse.plans import stream_queries as S
-
-    stream = S.stream_counters(spark, sf_small)
-    res = duck.execute(ORACLES["stream_counters"])
-    want = digest(res.fetchall(), [d[0] for d in res.description])
-    assert digest([tuple(r) for r in stream.collect()], stream.columns) == want
-    replay = S.stream_replay(spark, sf_small)
-    assert digest([tuple(r) for r in replay.collect()], replay.columns) == want
-    folded = S.stream_counters(spark, sf_small, compact_every=2)  # store compacted while running
-    assert digest([tuple(r) for r in folded.collect()], folded.columns) == want
+@pytest.mark.parametrize("name", ["stream_replay", "stream_housekeeping", "stream_bounded", "stream_resume"])
+def test_stream_matches_oracle(spark, duck, sf_small, name):
+    df = QUERIES[name](spark, sf_small)
+    res = duck.execute(ORACLES[name])
+    assert digest([tuple(r) for r in df.collect()], df.columns) == digest(res.fetchall(), [d[0] for d in res.description])
 
 
 def test_stream_order_type(spark, duck, sf_small):

@@ -1,6 +1,7 @@
 """Counter store: idempotent batches, current values, retention, lookup."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -43,60 +44,69 @@ def test_lookup_map(spark):
     assert m.day == "d" and dict(m.fields) == {"max.count": 2, "min.count": 1}
 
 
-def test_compaction_keeps_values_and_bounds_the_store(spark):
-    import os
-
-    import pytest
-
-    root = scratch_path(spark, "test-compact")
-    b = [deltas(spark, [("risk_level", "max.count", "2017-06-14", 2)]),
-         deltas(spark, [("risk_level", "max.count", "2017-06-14", 3), ("daily_apply_count", "", "2017-06-15", 1)]),
-         deltas(spark, [("daily_apply_count", "", "2017-06-15", 4)])]
-    cur = lambda: {(r.metric, r.day): r.value for r in store.read_counters(spark, root).collect()}
-    store.add_deltas(b[0], root, 0)
-    store.add_deltas(b[1], root, 1)
-    store.compact(spark, root, 1)
-    store.compact(spark, root, 1)  # a repeated compaction changes nothing
-    assert cur() == {("risk_level", "2017-06-14"): 5, ("daily_apply_count", "2017-06-15"): 1}
-    store.add_deltas(b[2], root, 2)
-    want = {("risk_level", "2017-06-14"): 5, ("daily_apply_count", "2017-06-15"): 5}
-    assert cur() == want
-    with pytest.raises(ValueError):
-        store.add_deltas(b[2], root, 1)
-    store.compact(spark, root, 2)
-    assert cur() == want
-    local = root.removeprefix("file:")
-    # What the last compaction folded stays for open readers until the next one.
-    assert [d for d in os.listdir(local) if d.startswith("batch_id=")] == ["batch_id=2"]
-    assert sorted(os.listdir(os.path.join(local, store.SNAPSHOTS))) == ["through=1", "through=2"]
-    assert {r.family for r in store.read_counters(spark, root).collect()} == {
-        "bamdata.RiskLevel", "generalApply_CreditLoan.totalOneDay"}
-
-
-def test_interrupted_writes_are_not_read(spark):
-    import os
-
-    root = scratch_path(spark, "test-cut-short")
-    store.add_deltas(deltas(spark, [("risk_level", "max.count", "2017-06-14", 2), ("daily_apply_count", "", "2017-06-14", 7)]), root, 0)
-    want = {("risk_level", 2), ("daily_apply_count", 7)}
-    cur = lambda: {(r.metric, r.value) for r in store.read_counters(spark, root).collect()}
-    store.read_counters(spark, root).where("metric = 'risk_level'").write.parquet(f"{root}/{store.SNAPSHOTS}/through=0")
-    os.remove(f"{root.removeprefix('file:')}/{store.SNAPSHOTS}/through=0/_SUCCESS")
-    assert cur() == want  # an unfinished snapshot
-    store.compact(spark, root, 0)
-    assert cur() == want and store.snapshot_ids(spark, root) == [0]
-    store.add_deltas(deltas(spark, [("risk_level", "max.count", "2017-06-14", 5)]), root, 1)
-    os.remove(f"{root.removeprefix('file:')}/batch_id=1/_SUCCESS")
-    assert cur() == want  # an unfinished batch
-
-
-def test_expiry_in_compaction_and_clock(spark):
+def current(spark, root):
+    return {(r.metric, r.day): r.value for r in store.read_counters(spark, root).collect()}
+
+
+def folders(root, writer="counts"):
+    path = os.path.join(root.removeprefix("file:"), f"writer={writer}")
+    return sorted(d.removeprefix("since=") for d in os.listdir(path) if d.startswith("since="))
+
+
+def test_folding_keeps_values_and_bounds_the_store(spark):
+    root = scratch_path(spark, "test-fold")
+    a, b, c = "2017-06-14", "2017-06-15", "2017-06-16"
+    for i in range(4):
+        store.add_deltas(deltas(spark, [("risk_level", "max.count", a, i), ("daily_apply_count", "", b, 1)]), root, i)
+    store.add_deltas(deltas(spark, [("daily_apply_count", "", b, 50)]), root, 0, writer="types")  # another writer's batch 0
+    store.add_deltas(deltas(spark, [("daily_apply_count", "", c, 7)]), root, 3)
+    want = {("risk_level", a): 6, ("daily_apply_count", b): 54, ("daily_apply_count", c): 7}
+    assert current(spark, root) == want
+    for _ in range(2):  # batch 4 is run twice: what came before it is folded, it counts once
+        store.fold(spark, root, 4)
+        store.add_deltas(deltas(spark, [("risk_level", "max.count", a, 10)]), root, 4)
+        assert current(spark, root) == want | {("risk_level", a): 16}
+    rows = store.increments(spark, root).where("writer = 'counts'")
+    assert rows.where(F.col("day") == b).count() == 1 and rows.where((F.col("day") == a) & (F.col("batch") < 4)).count() == 1
+    assert store.read_counters(spark, scratch_path(spark, "nothing-yet")).count() == 0
+
+
+def test_running_totals_replace_each_other(spark):
+    root = scratch_path(spark, "test-running")
+    store.add_deltas(deltas(spark, [("risk_level", "max.count", "d", 2)]), root, 9)
+    for i, v in enumerate((3, 5, 4)):
+        for _ in range(2):  # a batch that is run again finds its first rows, which a fold drops
+            if i == 2:
+                store.fold(spark, root, 2, writer="totals")
+            store.write_totals(deltas(spark, [("sub_apply_count", "120000", "d", v)]), root, i)
+    assert current(spark, root) == {("sub_apply_count", "d"): 4, ("risk_level", "d"): 2}
+
+
+def test_expired_days_are_gone(spark):
     root = scratch_path(spark, "test-expiry")
-    rows = spark.createDataFrame([("daily_apply_count", "", "2017-01-01", 1, 1483228800000), ("daily_apply_count", "", "2017-06-14", 2, 1497398400000)],
+    rows = spark.createDataFrame([("daily_apply_count", "", "2017-01-01", 1, 1483228800000), ("daily_apply_count", "", "2017-06-14", 2, 1497398400000),
+                                  ("city_apply_count", "x", "2017-06-14", 2, 1483228800000)],
                                  "metric string, field string, day string, value bigint, at bigint")
     store.add_deltas(rows, root, 0, clock_ms="at")
-    store.compact(spark, root, 0, as_of="2017-06-20 00:00:00")
-    assert [r.day for r in store.read_counters(spark, root).collect()] == ["2017-06-14"]
+    assert folders(root) == ["2017-01-01", "2017-06-14"]
+    assert store.remove_expired(spark, root, "2017-06-20 00:00:00") == ["2017-01-01"]
+    assert folders(root) == ["2017-06-14"]
+    assert len(current(spark, root)) == 2  # a counter that is past its time on a day that lives is left out when read:
+    assert [r.metric for r in store.expire(store.read_counters(spark, root), "2017-06-20 00:00:00").collect()] == ["daily_apply_count"]
+    wide = scratch_path(spark, "test-expiry-wide")
+    store.add_deltas(rows, wide, 0, clock_ms="at", period_days=32)
+    assert len(folders(wide)) == 2 and len(store.remove_expired(spark, wide, "2017-06-20 00:00:00")) == 1
+
+
+def test_lookup_of_a_day_reads_its_partition(spark):
+    for days in (1, 32):
+        root = scratch_path(spark, "test-day")
+        rows = [("risk_level", "max.count", f"2017-{m:02d}-14", m) for m in range(1, 13)]
+        store.add_deltas(deltas(spark, rows), root, 0, period_days=days)
+        found = store.lookup(store.read_counters(spark, root), "bamdata.RiskLevel", "2017-06-14", days)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(since" in plan
+        assert [tuple(r) for r in found.collect()] == [("2017-06-14", "max.count", 6)]
 
 
 def test_lookup_filter_reaches_the_scan(spark):
@@ -107,20 +117,31 @@ def test_lookup_filter_reaches_the_scan(spark):
     assert [tuple(r) for r in found.collect()] == [("d", "max.count", 2)]
 
 
-def test_restatement_and_pointers(spark):
-    root = scratch_path(spark, "test-restate")
-    rows = [("daily_apply_count", "", d, 5) for d in ("2017-06-13", "2017-06-14", "2017-06-15")] + [("city_apply_count", "x", "2017-06-14", 2)]
-    store.add_deltas(deltas(spark, rows), root, 0)
-    new = deltas(spark, [("daily_apply_count", "", "2017-06-14", 9), ("daily_apply_count", "", "2017-06-15", 1)])
-    for _ in range(2):
-        store.restate_store(new, root, 1, ["2017-06-13", "2017-06-14"], ["daily_apply_count", "city_apply_count"])
-    want = {("daily_apply_count", "2017-06-14"): 9, ("daily_apply_count", "2017-06-15"): 5}
-    cur = lambda: {(r.metric, r.day): r.value for r in store.read_counters(spark, root).collect()}
-    assert cur() == want
-    store.compact(spark, root, 1)
-    assert cur() == want
+def test_restatement(spark):
+    for period_days in (1, 32):
+        root = scratch_path(spark, "test-restate")
+        rows = [("daily_apply_count", "", d, 5) for d in ("2017-06-13", "2017-06-14", "2017-06-15")] + [("city_apply_count", "x", "2017-06-14", 2)]
+        store.add_deltas(deltas(spark, rows), root, 0, period_days=period_days)
+        store.add_deltas(deltas(spark, [("RISK_CUSTOMER_DISTRIBUTION", "new.amount", "2017-06-14", 8)]), root, 0, writer="types", period_days=period_days)
+        new = deltas(spark, [("daily_apply_count", "", "2017-06-14", 9), ("daily_apply_count", "", "2017-06-15", 1)])
+        for _ in range(2):
+            store.restate_store(new, root, "2017-06-14", ["daily_apply_count", "city_apply_count"], period_days=period_days)
+            assert current(spark, root) == {("daily_apply_count", "2017-06-14"): 9, ("daily_apply_count", "2017-06-15"): 5,
+                                            ("RISK_CUSTOMER_DISTRIBUTION", "2017-06-14"): 8}
+    one_day = scratch_path(spark, "test-restate-day")
+    store.add_deltas(deltas(spark, rows[:3]), one_day, 0)
+    store.restate_store(new.where("false"), one_day, "2017-06-14", ["daily_apply_count"])
+    assert folders(one_day) == ["2017-06-15"]  # nothing is left of the two days
+
+
+def test_pointers_are_set_once(spark):
     at = scratch_path(spark, "test-pointers")
-    store.put_pointer(spark, at, "a", 5)
-    store.put_pointer(spark, at, "a", 3)  # kept
-    store.put_pointer(spark, at, "b", 7)
-    assert {(r.source, r.cutover_ms) for r in store.read_pointers(spark, at).collect()} == {("a", 5), ("b", 7)}
+    put = lambda *rows: store.put_pointers(spark.createDataFrame(rows, "source string, cutover_ms bigint"), at)
+    put(("a", 5), ("c", 1))
+    put(("a", 3), ("b", 7), ("b", 6))  # a's is kept
+    put(("a", 9))
+    assert {(r.source, r.cutover_ms) for r in store.read_pointers(spark, at).collect()} == {("a", 5), ("b", 6), ("c", 1)}
+    many = scratch_path(spark, "test-many-pointers")
+    for _ in range(2):
+        store.put_pointers(spark.range(5000).select(F.concat(F.lit("type"), "id").alias("source"), F.col("id").alias("cutover_ms")), many)
+    assert store.read_pointers(spark, many).count() == 5000
