@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names operators use inside.
-CLASH = ["id", "row_id", "__row", "row", "size", "fp", "kept", "n_tokens", "word", "blob", "spans", "score", "host"]
+CLASH = ["id", "row_id", "__row", "row", "size", "fp", "kept", "n_tokens", "word", "blob", "spans", "score", "host",
+         "copies", "y", "__id", "__doc", "phrase", "terms", "ids", "net", "part"]
 
 
 @pytest.fixture(scope="session")

@@ -21,7 +21,7 @@ def plain(rows):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in STAGES] == ["quality", "simhash", "secrets", "mixing", "encoding"] and corpus_pipeline.STAGES is STAGES
 
@@ -81,7 +81,7 @@ def test_stages_on_odd_tables(spark, sf_small, odd_frame, empty_frame, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf_small, name):
     duck = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     df = QUERIES[name](spark, sf_small)
     found = duck.execute(ORACLES[name])

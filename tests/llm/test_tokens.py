@@ -86,9 +86,11 @@ def test_ids_and_texts_equal_the_library(source):
     texts = fuzz(parts, 1500) + ["", " ", "   ", "the the and"]
     judge = sentencepiece.SentencePieceProcessor(model_proto=source)
     codec = S.Codec(S.read_model(source))
-    ids, parity = codec.encode(texts)
+    ids, parity, good = codec.encode(texts)
+    assert codec.encode(texts) == (ids, parity, good)  # from memory
     numbers = [list(memoryview(b).cast("i")) for b in ids]
     assert numbers == judge.encode(texts)
+    assert good == [codec.decode(n) == codec.expected(t) for n, t in zip(numbers, texts)]
     assert [codec.decode(n) for n in numbers] == judge.decode(numbers)
     assert all(p for p, t in zip(parity, texts) if "▁" not in t)
     spoken = [t for t in texts if "▁" not in t]
