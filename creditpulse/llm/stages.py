@@ -40,7 +40,7 @@ def secrets_stage(spark, docs, sf_dir):
 def mixing_stage(spark, docs, sf_dir):
     """Whole documents, each as often as the mix takes its words (rounded at
     random by its id's hash): sources near their targets, repeats as rows."""
-    docs = with_row_id(docs, "row_id")
+    docs = with_row_id(docs, "row_id").select("row_id", *COLUMNS)
     times = copies(Mixture(docs, row_col="row_id").documents).where("copies > 0")
     return (docs.join(times, "row_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
             .select(*COLUMNS))

@@ -97,7 +97,8 @@ def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
              .groupBy(labels[id_col].alias("__id")).agg(F.max(labels[mark_col].cast("int")).alias("y"))
              .orderBy(F.xxhash64("__id"), "__id").limit(max_rows))
     # Bounded by max_rows, hence safe to broadcast.
-    return docs.join(F.broadcast(marks), docs[id_col] == F.col("__id")).select("y", docs[text_col].cast("string").alias("text"))
+    texts = docs.select(docs[id_col].alias("__doc"), docs[text_col].cast("string").alias("text"))
+    return texts.join(F.broadcast(marks), F.col("__doc") == F.col("__id")).select("y", "text")
 
 
 def feature_names(rows: DataFrame, max_features: int, min_docs: int, min_z: float) -> list[str]:
