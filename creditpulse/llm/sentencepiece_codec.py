@@ -12,7 +12,8 @@ segment is encoded and verified once, and a text's ids are its segments' ids.
 Other models are encoded and verified by whole texts. A segment on which the
 libraries differ (the backend ranks two ways of building one piece, where
 sentencepiece takes the leftmost) gets sentencepiece's ids, and ``parity`` is
-false for the texts that hold it.
+false for the texts that hold it. A segment that cannot be verified alone has
+its texts verified whole.
 
 Defined results: null text counts as empty and has no ids; null or repeated ids
 and repeated rows are kept row by row; other columns are ignored.
@@ -20,9 +21,11 @@ and repeated rows are kept row by row; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditpulse.llm.bpe_codec import Generations
 from creditpulse.llm.common import byte_rows, chunks, small_batches
 
 MARK = "▁"
 MAX_MODEL_BYTES = 64 << 20  # bound of what is broadcast
 CACHE_ENTRIES = 400_000  # segments whose ids a worker remembers
+ROW = 64  # words that are encoded as one text
 #: Fixed values of the model format: field numbers, piece types, model types.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -173,9 +178,16 @@ class Codec:
         self.normal = normalizer(m)
         self.judge = sentencepiece.SentencePieceProcessor(model_proto=m.source)
         self.separable = m.separable
-        self.ids: dict[str, bytes] = {}
+        #: A text's decoding is its segments' decodings, but for its first one.
+        self.piecewise = self.separable and not m.squeeze
+        self.known = Generations(CACHE_ENTRIES // 2)  # segment -> ids
         self.odd: set[str] = set()  # segments without parity
+        self.unsure: set[str] = set()  # segments that sentencepiece cannot be given alone
+        self.unlike: set[str] = set()  # segments that decoding does not give back
         self.table = [self.surface(i) for i in range(len(m.pieces))]
+        #: The normaliser only marks spaces, so what it has marked can be given to it again.
+        self.plain_marks = not m.charsmap and not m.squeeze and m.escape and m.dummy_prefix
+        self.begins = np.array([t == NORMAL and p[:1] == MARK for p, t in zip(m.pieces, m.types)])
 
     def surface(self, i: int) -> bytes:
         piece, kind = self.m.pieces[i], self.m.types[i]
@@ -188,7 +200,7 @@ class Codec:
         return (piece.replace(MARK, " ") if self.m.escape else piece).encode()
 
     def segments(self, text: str) -> list[str]:
-        text = self.normal(text)
+        """Segments of a normalised text."""
         if not text:
             return []
         if not self.separable:
@@ -198,37 +210,84 @@ class Codec:
         return [MARK + s for s in text[1:].split(MARK)]
 
     def learn(self, new: list[str]) -> None:
-        """Encode segments in one multithreaded batch and verify them."""
-        own = [e.ids for e in self.library.encode_batch(new, add_special_tokens=False)]
-        plain = [s.replace(MARK, " ") if self.m.escape else s for s in new]
-        if self.m.dummy_prefix:
-            plain = [p[1:] if p[:1] == " " else p for p in plain]
-        # A segment that the model's own normaliser would change is not its input again.
-        same = [self.normal(p) == s for p, s in zip(plain, new)]
-        theirs = self.judge.encode(plain, num_threads=self.threads)
-        for s, a, b, ok in zip(new, own, theirs, same):
-            if ok and a != b:
+        """Encode segments in multithreaded batches and verify them, and that
+        decoding gives them back: a marker and a word in rows of ``ROW``, which no
+        merge crosses, all others, and rows with a difference, one by one."""
+        if self.separable and self.plain_marks:
+            words = [s for s in new if len(s) > 1 and s[0] == MARK and MARK not in s[1:]]
+            rest = set(new).difference(words)
+            rest.update(self.learn_rows(words))
+            new = list(rest)
+        if new:
+            self.learn_alone(new)
+
+    def learn_rows(self, words: list[str]) -> list[str]:
+        """Learn the words of rows on which all agree; returns the others."""
+        cut = [words[i:i + ROW] for i in range(0, len(words), ROW)]
+        rows = list(map("".join, cut))
+        plain = [r.replace(MARK, " ") for r in rows]
+        own = [e.ids for e in self.library.encode_batch_fast(rows, add_special_tokens=False)]
+        theirs = self.judge.encode([p[1:] for p in plain], num_threads=self.threads)
+        piece = self.table.__getitem__
+        good = [a == b and b"".join(map(piece, a)) == p.encode() for a, b, p in zip(own, theirs, plain)]
+        flat = np.fromiter(itertools.chain.from_iterable(itertools.compress(own, good)), "<i4")
+        agreed = list(itertools.chain.from_iterable(itertools.compress(cut, good)))
+        starts = (np.flatnonzero(self.begins[flat]) * 4).tolist()
+        if len(starts) != len(agreed):  # a marker is no piece of this model
+            return words
+        data = flat.tobytes()
+        self.known.young.update(zip(agreed, [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]))
+        return [w for row, g in zip(cut, good) if not g for w in row]
+
+    def learn_alone(self, new: list[str]) -> None:
+        own = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        plain = [s.replace(MARK, " ") for s in new] if self.m.escape else new
+        given = [p[1:] if p[:1] == " " else p for p in plain] if self.m.dummy_prefix else plain
+        theirs = self.judge.encode(given, num_threads=self.threads)
+        piece = self.table.__getitem__
+        for s, p, g, a, b in zip(new, plain, given, own, theirs):
+            if self.normal(g) != s:
+                self.unsure.add(s)
+            elif a != b:
                 self.odd.add(s)
                 a = b
-            self.ids[s] = np.array(a, "<i4").tobytes()
-
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        """Ids of each text as little-endian 32-bit numbers, and whether all its parts have parity."""
-        cut = [self.segments(t) for t in texts]
+            if b"".join(map(piece, a)) != p.encode():
+                self.unlike.add(s)
+            self.known.young[s] = array("i", a).tobytes()
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
+        """Ids of each text as little-endian 32-bit numbers, whether all its parts
+        have parity, and whether decoding gives the normalised text back."""
+        normal = list(map(self.normal, texts))
+        cut = [self.segments(t) for t in normal]
         distinct = set().union(*cut) if cut else set()
-        new = distinct.difference(self.ids)
-        if len(self.ids) + len(new) > CACHE_ENTRIES:
-            self.ids, self.odd, new = {}, set(), distinct
+        new = self.known.settle(distinct)
         if new:
             self.learn(list(new))
-        get = self.ids.__getitem__
-        parity = [not self.odd or self.odd.isdisjoint(s) for s in cut]
+        for marked in (self.odd, self.unsure, self.unlike):
+            if len(marked) > CACHE_ENTRIES:
+                marked.intersection_update(self.known.young, self.known.old)
+        get = self.known.young.__getitem__
         ids = [b"".join(map(get, s)) for s in cut]
+        odd, unsure, unlike = (x & distinct for x in (self.odd, self.unsure, self.unlike))
+        parity = [not odd or odd.isdisjoint(s) for s in cut]
         for i, text in enumerate(texts):
-            if self.m.squeeze and MARK in text:  # its marks look like spaces to be squeezed: verified whole
+            # Marks that look like spaces to be squeezed, and segments not verified alone: the text whole.
+            if self.m.squeeze and MARK in text or unsure and not unsure.isdisjoint(cut[i]):
                 theirs = np.array(self.judge.encode(text), "<i4").tobytes()
-                ids[i], parity[i] = theirs, theirs == ids[i]
-        return ids, parity
+                ids[i], parity[i] = theirs, parity[i] and theirs == ids[i]
+        heads = {s: self.gives_back(get(s), s) for s in {s[0] for s in cut if s}} if self.piecewise else {}
+        good = [self.piecewise and (not s or heads[s[0]] and unlike.isdisjoint(s)) and parity[i] or self.gives_back(ids[i], normal[i])
+                for i, s in enumerate(cut)]
+        return ids, parity, good
+
+    def gives_back(self, ids: bytes, normal: str) -> bool:
+        return self.decode(np.frombuffer(ids, "<i4").tolist()) == self.plain(normal)
+
+    def plain(self, normal: str) -> str:
+        """A normalised text as decoding must give it back."""
+        text = normal.replace(MARK, " ") if self.m.escape else normal
+        return text[1:] if self.m.dummy_prefix and text[:1] == " " else text
 
     def decode(self, ids: list[int]) -> str:
         parts = list(map(self.table.__getitem__, ids))
@@ -245,9 +304,7 @@ class Codec:
 
     def expected(self, text: str) -> str:
         """What decoding must give back: the text, normalised."""
-        text = self.normal(text)
-        text = text.replace(MARK, " ") if self.m.escape else text
-        return text[1:] if self.m.dummy_prefix and text[:1] == " " else text
+        return self.plain(self.normal(text))
 
 
 def shared_codec(shared, threads: int) -> Codec:
@@ -283,11 +340,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
             texts = [t or b"" for t in byte_rows(batch.column(len(keep)))]
             for part in chunks([len(t) for t in texts]):
                 strings = [texts[i].decode("utf-8", "replace") for i in part]
-                ids, parity = codec.encode(strings)
+                ids, parity, good = codec.encode(strings)
                 flat = np.frombuffer(b"".join(ids), "<i4")
                 ends = np.cumsum([0, *(len(b) // 4 for b in ids)])
-                numbers = flat.tolist()
-                good = [codec.decode(numbers[a:b]) == codec.expected(t) for a, b, t in zip(ends[:-1], ends[1:], strings)]
                 rows = batch.slice(part.start, len(part))
                 yield pa.record_batch(
                     [*(rows.column(i) for i in range(len(keep))), pa.array(np.diff(ends), pa.int64()),
