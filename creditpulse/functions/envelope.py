@@ -1,10 +1,10 @@
 """Log envelope parsing (SC-2, SC-3) and the per-record error column.
 
-A record is bad when its text is not a JSON object, when its ``flatMap`` is
-not an object, or when ``collectTime`` is missing, not a number or no time that
-can be expressed (say, nanoseconds). The error is a short reason text; rules
-later add their own reasons (FM-9). Of equal keys in one object the parser
-keeps the first.
+A record is bad when its text is not a JSON object, or when ``collectTime`` is
+missing, not a number or no time that can be expressed (say, nanoseconds). The
+error is a short reason text; rules later add their own reasons (FM-9). Of equal
+keys in one object the last counts. A ``flatMap`` that is no object is no
+payload: an error for the types that have one, none for unknown types.
 """
 
 from __future__ import annotations
@@ -16,9 +16,33 @@ from creditpulse.functions.numbers import opt_long
 from creditpulse.functions.timefn import TWO_MINUTES_MS, bucket_end, day_of, in_range
 
 ENVELOPE_SCHEMA = "logNo STRING, collectTime STRING, flatMap MAP<STRING,STRING>, _corrupt_record STRING"
+_HEAD_SCHEMA = "logNo STRING, collectTime STRING, _corrupt_record STRING"
 _PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
+def _last_of_equal(payload: Column) -> Column:
+    """The parser keeps every entry of an object in order, and a lookup finds the
+    first of equal keys: where there are any, only the last of each is kept."""
+    keys, entries = F.map_keys(payload), F.reverse(F.map_entries(payload))
+    once = F.array_distinct(F.reverse(keys))
+    last = F.map_from_arrays(once, F.transform(once, lambda k: F.filter(entries, lambda e: e["key"] == k)[0]["value"]))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(payload)
+
+
+def _settled(value: Column):
+    """A parsed envelope with settled payload; a text that is no envelope because
+    of its payload alone is parsed again without it."""
+    def settle(env: Column) -> Column:
+        head = F.transform(F.array(F.from_json(value, _HEAD_SCHEMA, _PARSE_OPTIONS)), lambda h: F.struct(
+            h["logNo"].alias("logNo"), h["collectTime"].alias("collectTime"),
+            F.lit(None).cast("map<string,string>").alias("flatMap"), h["_corrupt_record"].alias("_corrupt_record")))[0]
+        good = F.struct(env["logNo"].alias("logNo"), env["collectTime"].alias("collectTime"),
+                        _last_of_equal(env["flatMap"]).alias("flatMap"), env["_corrupt_record"].alias("_corrupt_record"))
+        return F.when(env["_corrupt_record"].isNull(), good).otherwise(head)
+
+    return settle
+
+
 def parse_envelope(
     logs: DataFrame,
     value_col: str = "value",
@@ -33,8 +57,9 @@ def parse_envelope(
     env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, _PARSE_OPTIONS)
     # The parse goes through a generator: Catalyst never copies a later
     # filter (on kind, time or error) below a Generate, so one use of the
-    # result parses each record once.
-    parsed = logs.select(*logs.columns, F.inline_outer(F.array(env)))
+    # result parses each record once. Inside it, a lambda's argument is one
+    # value, however often it is used.
+    parsed = logs.select(*logs.columns, F.inline_outer(F.transform(F.array(env), _settled(F.col(value_col)))))
     given_ms = opt_long(F.col("collectTime"))
     # Only a time in range reaches a time function: none of them may raise.
     collect_ms = F.when(in_range(given_ms), given_ms)

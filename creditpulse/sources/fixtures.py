@@ -181,17 +181,20 @@ def fund_logs(spark, sf_dir) -> DataFrame:
 
 
 def wealth_logs(spark, sf_dir) -> DataFrame:
+    """FX-WEALTH; in every fifth record with an amount, the key is there twice
+    and the first value is wrong."""
     e = events_flat(spark, sf_dir).where(F.col("event_type") == "view")
-    return _logs(e.select("event_id", "ms", "amount"), "wealth", cat.LOG_WEALTH, "event_id")
+    logs = _logs(e.select("event_id", "ms", "amount"), "wealth", cat.LOG_WEALTH, "event_id")
+    twice = F.regexp_replace("value", '"flatMap":\\{"amount":', '"flatMap":{"amount":"1","amount":')
+    return logs.withColumn("value", F.when(F.col("key").endswith("5") | F.col("key").endswith("0"), twice).otherwise(F.col("value")))
 
 
 def unknown_logs(spark, sf_dir) -> DataFrame:
+    """FX-UNKNOWN; in every third record ``flatMap`` is a text instead of an object."""
     e = events_flat(spark, sf_dir).where(F.col("event_type") == "click")
-    return e.select(
-        F.concat(F.lit("other:"), _s(F.col("event_id"))).alias("key"),
-        _envelope(None, "Other", F.col("ms"), None).alias("value"),
-        F.col("ms"),
-    )
+    value = F.when(F.col("event_id") % 3 == 0, _envelope(None, "Other", F.col("ms"), F.lit("no object"))).otherwise(
+        _envelope(None, "Other", F.col("ms"), None))
+    return e.select(F.concat(F.lit("other:"), _s(F.col("event_id"))).alias("key"), value.alias("value"), F.col("ms"))
 
 
 def bad_logs(spark, sf_dir) -> DataFrame:

@@ -79,3 +79,16 @@ def test_prev_day_and_prefix(spark):
     assert col_values(spark, ["2017-03-01", "2016-01-01"], TF.prev_day) == ["2017-02-28", "2015-12-31"]
     assert col_values(spark, ["2017-03-01 10:11:12.0"], TF.drop_fraction) == ["2017-03-01 10:11:12"]
     assert col_values(spark, ["2017-03-01 10:11:12"], TF.date_prefix) == ["2017-03-01"]
+
+
+def test_equal_keys_and_odd_payloads(spark):
+    from creditpulse.functions.envelope import parse_envelope
+
+    texts = ['{"logNo":"a","collectTime":5,"flatMap":{"x":"1","y":"2","x":"3"}}', '{"logNo":"a","logNo":"b","collectTime":5,"collectTime":6,"flatMap":"t"}',
+             '{"logNo":"a","collectTime":5,"flatMap":[1]}', '{"logNo":"a","collectTime":5,"flatMap":{}}', '{"logNo":"a","collectTime":5,"flatMap":"t"',
+             '{"logNo":"a","collectTime":5,"flatMap":{"x":"1","x":null}}', "[1]", '"a"', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = {r.i: (r.log_no, r.collect_ms, r.p, r.env_err) for r in parse_envelope(df).collect()}
+    bad = (None, None, None, "malformed json")
+    assert got == {0: ("a", 5, {"x": "3", "y": "2"}, None), 1: ("b", 6, None, None), 2: ("a", 5, None, None), 3: ("a", 5, {}, None),
+                   4: bad, 5: ("a", 5, {"x": None}, None), 6: bad, 7: bad, 8: (None, None, None, "empty record")}
