@@ -20,27 +20,28 @@ def url_filters() -> str:
     steps = []
     for i in range(ITERATIONS):
         steps.append(f"""
-s{i + 1} AS (SELECT kind, a, sum(score) AS score FROM (
-  SELECT s.kind, coalesce(e.b, s.a) AS a, s.score * coalesce(e.w, 1.0) * {DAMPING} AS score
-  FROM s{i} s LEFT JOIN edges e ON e.kind = s.kind AND e.a = s.a
-  UNION ALL SELECT kind, a, score * (1 - {DAMPING}) FROM s0) GROUP BY 1, 2),""")
+r{i + 1} AS (SELECT s.kind, e.b AS a, sum(s.part * e.w * {DAMPING}) AS part, sum(s.whole * e.w * {DAMPING}) AS whole
+  FROM s{i} s JOIN edges e ON e.kind = s.kind AND e.a = s.a GROUP BY 1, 2),
+s{i + 1} AS (SELECT kind, a, sum(part) AS part, sum(whole) AS whole
+  FROM (SELECT * FROM r{i + 1} UNION ALL SELECT * FROM s0) GROUP BY 1, 2),""")
     return rf"""
 WITH split AS (
   SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parts AS (SELECT page_id, html, {LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
 ruled AS (SELECT *, {_rule(0)} AS rule, {_rule(1)} AS fixed FROM parts),
-hosts AS (SELECT host, count(*) AS n, count(*) FILTER (fixed = 'allow') AS allowed,
-  count(*) FILTER (fixed = 'block') AS blocked FROM ruled GROUP BY 1),
+hosts AS (SELECT host, count(*) FILTER (fixed = 'allow') / count(*) AS allowed,
+  count(*) FILTER (fixed = 'block') / count(*) AS blocked FROM ruled GROUP BY 1),
 found AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)) AS link FROM ruled),
 links AS (SELECT src, {LOWER.format("regexp_extract(link, '^(?i:https?:)?//([^/?#]+)', 1)")} AS dst FROM found WHERE src <> ''),
 counted AS (SELECT src, dst, count(*) AS n FROM links WHERE dst <> '' AND dst <> src GROUP BY 1, 2),
 both_ways AS (SELECT 't' AS kind, src AS a, dst AS b, n FROM counted UNION ALL SELECT 'd', dst, src, n FROM counted),
 edges AS (SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS w FROM both_ways),
-s0 AS (SELECT 't' AS kind, host AS a, allowed::DOUBLE AS score FROM hosts WHERE allowed > 0
-  UNION ALL SELECT 'd', host, blocked::DOUBLE FROM hosts WHERE blocked > 0),{"".join(steps)}
-shares AS (SELECT host, (coalesce(sum(score) FILTER (kind = 'd'), 0) - coalesce(sum(score) FILTER (kind = 't'), 0)) / any_value(n) AS bad
-  FROM hosts LEFT JOIN s{ITERATIONS} ON a = host GROUP BY 1)
+s0 AS (SELECT kind, a, coalesce(CASE kind WHEN 't' THEN any_value(allowed) ELSE any_value(blocked) END, 0) * sum(n)::DOUBLE AS part,
+  sum(n)::DOUBLE AS whole FROM both_ways LEFT JOIN hosts ON host = a GROUP BY 1, 2),{"".join(steps)}
+got AS (SELECT a, max(part / whole) FILTER (kind = 't') AS t, max(part / whole) FILTER (kind = 'd') AS d FROM r{ITERATIONS} GROUP BY 1),
+shares AS (SELECT host, blocked + (1 - allowed - blocked) * coalesce(d, 0) - (allowed + (1 - allowed - blocked) * coalesce(t, 0)) AS bad
+  FROM hosts LEFT JOIN got ON a = host)
 SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN bad > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN shares USING (host)"""
 

@@ -3,14 +3,20 @@
 Method: the pages' links give a graph of hosts. Personalised PageRank spreads
 trust from hosts with allowed pages along links; distrust spreads from hosts
 with blocked pages against the links (who links to bad hosts is suspect). Both
-run as one iteration of joins and sums, and a host whose distrust share exceeds
-its trust share by the threshold is blocked.
+run as one iteration of joins and sums.
 
-Seeds are weighted by the host's number of allowed or blocked pages, and a
-host's share is its score per page, so a host without links scores just the
-blocked less the allowed part of its pages. A host without links to follow
-keeps its score. Edges are summed per pair of hosts before any shuffle of
-them, so a hot host sends no more edges than it has neighbours.
+A host starts with its share of allowed or blocked pages times its links in the
+direction of the walk, so every link carries the same weight wherever it starts.
+Beside it runs the walk that all hosts start whole. What a host receives is the
+part of the second that the first makes up: near the share of its links that
+lead to blocked hosts (or come from trusted ones), whatever the number of pages,
+links or fellow linkers. A host's own pages speak for themselves: ``distrust``
+is its blocked share plus, for the share of its pages without a rule, the
+received part; ``trust`` likewise. A host is blocked if distrust exceeds trust
+by the threshold, so links never clear a host that is blocked in the main.
+
+Edges are summed per pair of hosts before any shuffle of them, so a hot host
+sends no more edges than it has neighbours.
 
 Only DataFrame functions run here. Defined results: a null url, or one without
 ``://``, has empty host and path, no rule and the verdict of the empty host,
@@ -66,35 +72,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(pages: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """``host, pages, trust, distrust``: shares per page, from ``pages (host, verdict, html)``."""
+    """``host, pages, trust, distrust``, the last two from 0 to 1, from ``pages (host, verdict, html)``."""
     counts = cut(pages.groupBy("host").agg(F.count("*").alias("pages"),
-                                           F.count_if(F.col("verdict") == "allow").alias("allowed"),
-                                           F.count_if(F.col("verdict") == "block").alias("blocked")), "url-hosts")
+                                           (F.count_if(F.col("verdict") == "allow") / F.count("*")).alias("allowed"),
+                                           (F.count_if(F.col("verdict") == "block") / F.count("*")).alias("blocked")), "url-hosts")
     links = cut(host_edges(pages), "url-links")
+    if links.isEmpty():  # nothing to spread: a host is what its own pages are
+        return counts.select("host", "pages", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
     # kind, from, to, weight: trust follows links, distrust goes against them.
     both = links.select(F.explode(F.array(F.struct(F.lit("t").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "n"),
                                           F.struct(F.lit("d").alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "n"))).alias("e")).select("e.*")
-    outs = both.groupBy("kind", "a").agg(F.sum("n").alias("out"))
-    edges = cut(both.join(outs, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("out")).alias("w")), "url-edges")
-    seeds = cut(counts.select("host", F.explode(F.array(
-        F.struct(F.lit("t").alias("kind"), F.col("allowed").cast("double").alias("seed")),
-        F.struct(F.lit("d").alias("kind"), F.col("blocked").cast("double").alias("seed")))).alias("x"))
-        .select("x.kind", F.col("host").alias("a"), "x.seed").where("seed > 0"), "url-seeds")
-    if links.isEmpty():
-        iterations = 0  # nothing to spread: every score stays its seed
-    score = seeds.select("kind", "a", F.col("seed").alias("score"))
+    outs = both.groupBy("kind", "a").agg(F.sum("n").cast("double").alias("whole"))
+    edges = cut(both.join(outs, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("whole")).alias("w")), "url-edges")
+    share = F.coalesce(F.when(F.col("kind") == "t", F.col("allowed")).otherwise(F.col("blocked")), F.lit(0.0))
+    seeds = cut(outs.join(counts.withColumnRenamed("host", "a"), "a", "left")
+                .select("kind", "a", (share * F.col("whole")).alias("part"), "whole"), "url-seeds")
+    score = seeds
     for i in range(iterations):
-        spread = score.join(edges, ["kind", "a"], "left").select(
-            "kind", F.coalesce("b", "a").alias("a"), (F.col("score") * F.coalesce("w", F.lit(1.0)) * damping).alias("score"))
-        base = seeds.select("kind", "a", (F.col("seed") * (1 - damping)).alias("score"))
-        score = spread.union(base).groupBy("kind", "a").agg(F.sum("score").alias("score"))
+        received = (score.join(edges, ["kind", "a"]).groupBy("kind", F.col("b").alias("a"))
+                    .agg(*(F.sum(F.col(c) * F.col("w") * damping).alias(c) for c in ("part", "whole"))))
         if i % 5 == 4:
-            score = cut(score, "url-scores")
-    wide = score.groupBy(F.col("a").alias("host")).agg(
-        F.sum(F.when(F.col("kind") == "t", F.col("score"))).alias("t"), F.sum(F.when(F.col("kind") == "d", F.col("score"))).alias("d"))
+            received = cut(received, "url-received")
+        score = received.union(seeds).groupBy("kind", "a").agg(F.sum("part").alias("part"), F.sum("whole").alias("whole"))
+    part = F.col("part") / F.col("whole")
+    wide = received.groupBy(F.col("a").alias("host")).agg(F.max(F.when(F.col("kind") == "t", part)).alias("t"),
+                                                          F.max(F.when(F.col("kind") == "d", part)).alias("d"))
+    unruled = 1 - F.col("allowed") - F.col("blocked")
     return counts.join(wide, "host", "left").select(
-        "host", "pages", (F.coalesce("t", F.lit(0.0)) / F.col("pages")).alias("trust"),
-        (F.coalesce("d", F.lit(0.0)) / F.col("pages")).alias("distrust"))
+        "host", "pages", (F.col("allowed") + unruled * F.coalesce("t", F.lit(0.0))).alias("trust"),
+        (F.col("blocked") + unruled * F.coalesce("d", F.lit(0.0))).alias("distrust"))
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

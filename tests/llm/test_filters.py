@@ -232,27 +232,30 @@ def test_url_rules_equal_brute_force(spark):
 
 
 def plain_scores(pages, iterations, damping):
-    """pages: (host, verdict, [linked hosts]) -> host: distrust share - trust share."""
+    """pages: (host, verdict, [linked hosts]) -> host: distrust - trust."""
     links, count = Counter(), Counter(h for h, _, _ in pages)
     for h, _, out in pages:
         links.update((h, o) for o in out if h and o and o != h)
-    result = {}
+    own = {kind: {h: sum(x == h and v == kind for x, v, _ in pages) / count[h] for h in count} for kind in ("allow", "block")}
+    bad = {h: own["block"][h] - own["allow"][h] for h in count}
     for kind, pairs in (("allow", links), ("block", Counter({(b, a): n for (a, b), n in links.items()}))):
-        seed = Counter(h for h, v, _ in pages if v == kind)
         total = Counter()
         for (a, _), n in pairs.items():
             total[a] += n
-        score = dict(seed)
-        for _ in range(iterations):
-            new = defaultdict(float, {h: (1 - damping) * s for h, s in seed.items()})
-            for h, s in score.items():
-                outs = [(b, n) for (a, b), n in pairs.items() if a == h] or [(h, 1)]
-                for b, n in outs:
-                    new[b] += damping * s * n / (total[h] or 1)
-            score = new
+        received = {}
+        for name, seed in (("part", {a: n * own[kind].get(a, 0) for a, n in total.items()}), ("whole", total)):
+            got = {}
+            for _ in range(iterations):
+                new = defaultdict(float)
+                for (a, b), n in pairs.items():
+                    new[b] += damping * (seed[a] + got.get(a, 0)) * n / total[a]
+                got = new
+            received[name] = got
         for h in count:
-            result[h] = result.get(h, 0) + score.get(h, 0) / count[h] * (1 if kind == "block" else -1)
-    return result
+            if received["whole"].get(h):
+                share = received["part"][h] / received["whole"][h] * (1 - own["allow"][h] - own["block"][h])
+                bad[h] += share if kind == "block" else -share
+    return bad
 
 
 def test_propagation_equals_brute_force(spark):
@@ -282,6 +285,56 @@ def test_who_links_to_blocked_hosts_is_blocked(spark):
     assert [got[i] for i in (0, 20, 21, 22, 23)] == ["block", "block", "allow", "allow", "block"]
 
 
+def judged_hosts(spark, rows):
+    """``rows``: (url, html) -> set of (host, path, verdict)."""
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    return {(r.host, r.path, r.verdict) for r in U.judge_urls(pages).collect()}
+
+
+@pytest.mark.parametrize("linkers", [1, 20, 200])
+def test_farms_of_any_size_are_blocked(spark, linkers):
+    """However many hosts share one blocked target, each links to nothing else."""
+    rows = [("http://bad.net/p", "")] * 20
+    rows += [(f"http://farm{i}.com/{k}", "<a href='http://bad.net/x'>") for i in range(linkers) for k in range(2)]
+    got = judged_hosts(spark, rows)
+    assert all((f"farm{i}.com", f"/{k}", "block") in got for i in range(linkers) for k in range(2))
+
+
+def test_links_do_not_clear_a_blocked_host(spark):
+    rows = [("http://example.com/de/", "")] * 9 + [("http://example.com/", "")]
+    assert ("example.com", "/", "block") in judged_hosts(spark, rows)
+    for linker in ("http://other.com/", "http://good.org/fr/"):
+        assert ("example.com", "/", "block") in judged_hosts(spark, [*rows, (linker, "<a href='//example.com/'>")])
+
+
+def test_one_bad_link_among_many_does_not_block(spark):
+    clean = "".join(f"<a href='http://clean{i}.com/'>" for i in range(9))
+    rows = [("http://bad.net/p", "")] * 5 + [("http://blog.com/", clean + "<a href='http://bad.net/'>"), ("http://clean1.com/", "")]
+    rows += [(f"http://popular{i}.com/", "<a href='http://clean1.com/'>") for i in range(50)]
+    got = judged_hosts(spark, rows)
+    assert ("blog.com", "/", "allow") in got and ("clean1.com", "/", "allow") in got
+
+
+def test_url_sql_gives_the_same_verdicts(spark, tmp_path):
+    """The registered SQL on pages that do link, hosts known only as targets too."""
+    import duckdb
+
+    from creditpulse.llm.oracle import ORACLES
+
+    rng = random.Random(18)
+    hosts = [f"h{i}.com" for i in range(12)] + ["bad.net", "worse.net", "good.org", "example.com"]
+    rows = [(i, f"http://{rng.choice(hosts)}{rng.choice(['/', '/fr/x', '/de/x'])}",
+             "".join(f"<a href='http://{o}/'>" for o in rng.sample([*hosts, "far.com"], rng.randint(0, 3)))) for i in range(120)]
+    rows += [(120 + i, "http://farm.com/", "<a href='http://bad.net/'><a href='//worse.net/'>") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = {r[0]: r[1:] for r in base.execute(ORACLES["op5_url_filters"]).fetchall()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.judge_urls(df).collect()}
+    assert got == want and {v[3] for v in got.values() if v[2] is None} == {"allow", "block"}
+
+
 def test_url_odd_tables(spark):
     schema = "page_id long, url string, html string"
     assert U.judge_urls(spark.createDataFrame([], schema)).count() == 0
