@@ -22,8 +22,8 @@ def url_filters() -> str:
         steps.append(f"""
 r{i + 1} AS (SELECT s.kind, e.b AS a, sum(s.part * e.w * {DAMPING}) AS part, sum(s.whole * e.w * {DAMPING}) AS whole
   FROM s{i} s JOIN edges e ON e.kind = s.kind AND e.a = s.a GROUP BY 1, 2),
-s{i + 1} AS (SELECT kind, a, sum(part) AS part, sum(whole) AS whole
-  FROM (SELECT * FROM r{i + 1} UNION ALL SELECT * FROM s0) GROUP BY 1, 2),""")
+s{i + 1} AS (SELECT kind, a, own * (start + coalesce(whole, 0)) + open * coalesce(part, 0) AS part, start + coalesce(whole, 0) AS whole
+  FROM seeds LEFT JOIN r{i + 1} USING (kind, a)),""")
     return rf"""
 WITH split AS (
   SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -37,8 +37,9 @@ links AS (SELECT src, {LOWER.format("regexp_extract(link, '^(?i:https?:)?//([^/?
 counted AS (SELECT src, dst, count(*) AS n FROM links WHERE dst <> '' AND dst <> src GROUP BY 1, 2),
 both_ways AS (SELECT 't' AS kind, src AS a, dst AS b, n FROM counted UNION ALL SELECT 'd', dst, src, n FROM counted),
 edges AS (SELECT kind, a, b, n / sum(n) OVER (PARTITION BY kind, a) AS w FROM both_ways),
-s0 AS (SELECT kind, a, coalesce(CASE kind WHEN 't' THEN any_value(allowed) ELSE any_value(blocked) END, 0) * sum(n)::DOUBLE AS part,
-  sum(n)::DOUBLE AS whole FROM both_ways LEFT JOIN hosts ON host = a GROUP BY 1, 2),{"".join(steps)}
+seeds AS (SELECT kind, a, sum(n)::DOUBLE AS start, coalesce(CASE kind WHEN 't' THEN any_value(allowed) ELSE any_value(blocked) END, 0) AS own,
+  coalesce(1 - any_value(allowed) - any_value(blocked), 1) AS open FROM both_ways LEFT JOIN hosts ON host = a GROUP BY 1, 2),
+s0 AS (SELECT kind, a, own * start AS part, start AS whole FROM seeds),{"".join(steps)}
 got AS (SELECT a, max(part / whole) FILTER (kind = 't') AS t, max(part / whole) FILTER (kind = 'd') AS d FROM r{ITERATIONS} GROUP BY 1),
 shares AS (SELECT host, blocked + (1 - allowed - blocked) * coalesce(d, 0) - (allowed + (1 - allowed - blocked) * coalesce(t, 0)) AS bad
   FROM hosts LEFT JOIN got ON a = host)

@@ -12,7 +12,8 @@ part of the second that the first makes up: near the share of its links that
 lead to blocked hosts (or come from trusted ones), whatever the number of pages,
 links or fellow linkers. A host's own pages speak for themselves: ``distrust``
 is its blocked share plus, for the share of its pages without a rule, the
-received part; ``trust`` likewise. A host is blocked if distrust exceeds trust
+received part; ``trust`` likewise, and just so much of all that a host holds is
+passed on: a blocked host does not get better by its own links. A host is blocked if distrust exceeds trust
 by the threshold, so links never clear a host that is blocked in the main.
 
 Edges are summed per pair of hosts before any shuffle of them, so a hot host
@@ -84,20 +85,22 @@ def host_scores(pages: DataFrame, iterations: int = ITERATIONS, damping: float =
                                           F.struct(F.lit("d").alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "n"))).alias("e")).select("e.*")
     outs = both.groupBy("kind", "a").agg(F.sum("n").cast("double").alias("whole"))
     edges = cut(both.join(outs, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("whole")).alias("w")), "url-edges")
-    share = F.coalesce(F.when(F.col("kind") == "t", F.col("allowed")).otherwise(F.col("blocked")), F.lit(0.0))
-    seeds = cut(outs.join(counts.withColumnRenamed("host", "a"), "a", "left")
-                .select("kind", "a", (share * F.col("whole")).alias("part"), "whole"), "url-seeds")
-    score = seeds
+    own = F.coalesce(F.when(F.col("kind") == "t", F.col("allowed")).otherwise(F.col("blocked")), F.lit(0.0))
+    unruled = 1 - F.col("allowed") - F.col("blocked")
+    seeds = cut(outs.join(counts.withColumnRenamed("host", "a"), "a", "left").select(
+        "kind", "a", F.col("whole").alias("start"), own.alias("own"), F.coalesce(unruled, F.lit(1.0)).alias("open")), "url-seeds")
+    score = seeds.select("kind", "a", (F.col("own") * F.col("start")).alias("part"), F.col("start").alias("whole"))
     for i in range(iterations):
         received = (score.join(edges, ["kind", "a"]).groupBy("kind", F.col("b").alias("a"))
                     .agg(*(F.sum(F.col(c) * F.col("w") * damping).alias(c) for c in ("part", "whole"))))
         if i % 5 == 4:
             received = cut(received, "url-received")
-        score = received.union(seeds).groupBy("kind", "a").agg(F.sum("part").alias("part"), F.sum("whole").alias("whole"))
+        whole = F.col("start") + F.coalesce("whole", F.lit(0.0))
+        score = seeds.join(received, ["kind", "a"], "left").select(
+            "kind", "a", (F.col("own") * whole + F.col("open") * F.coalesce("part", F.lit(0.0))).alias("part"), whole.alias("whole"))
     part = F.col("part") / F.col("whole")
     wide = received.groupBy(F.col("a").alias("host")).agg(F.max(F.when(F.col("kind") == "t", part)).alias("t"),
                                                           F.max(F.when(F.col("kind") == "d", part)).alias("d"))
-    unruled = 1 - F.col("allowed") - F.col("blocked")
     return counts.join(wide, "host", "left").select(
         "host", "pages", (F.col("allowed") + unruled * F.coalesce("t", F.lit(0.0))).alias("trust"),
         (F.col("blocked") + unruled * F.coalesce("d", F.lit(0.0))).alias("distrust"))

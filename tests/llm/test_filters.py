@@ -242,18 +242,18 @@ def plain_scores(pages, iterations, damping):
         total = Counter()
         for (a, _), n in pairs.items():
             total[a] += n
-        received = {}
-        for name, seed in (("part", {a: n * own[kind].get(a, 0) for a, n in total.items()}), ("whole", total)):
-            got = {}
-            for _ in range(iterations):
-                new = defaultdict(float)
-                for (a, b), n in pairs.items():
-                    new[b] += damping * (seed[a] + got.get(a, 0)) * n / total[a]
-                got = new
-            received[name] = got
+        left = {h: 1 - own["allow"].get(h, 0) - own["block"].get(h, 0) for pair in pairs for h in pair}
+        part, whole = {}, {}
+        for _ in range(iterations):
+            more, most = defaultdict(float), defaultdict(float)
+            for (a, b), n in pairs.items():
+                held = total[a] + whole.get(a, 0)
+                more[b] += damping * n / total[a] * (own[kind].get(a, 0) * held + left[a] * part.get(a, 0))
+                most[b] += damping * n / total[a] * held
+            part, whole = more, most
         for h in count:
-            if received["whole"].get(h):
-                share = received["part"][h] / received["whole"][h] * (1 - own["allow"][h] - own["block"][h])
+            if whole.get(h):
+                share = part[h] / whole[h] * left[h]
                 bad[h] += share if kind == "block" else -share
     return bad
 
@@ -307,6 +307,12 @@ def test_links_do_not_clear_a_blocked_host(spark):
         assert ("example.com", "/", "block") in judged_hosts(spark, [*rows, (linker, "<a href='//example.com/'>")])
 
 
+def test_a_blocked_host_gets_no_better_by_its_links(spark):
+    clean = "".join(f"<a href='http://clean{i}.com/'>" for i in range(30))
+    rows = [("http://bad.net/p", clean)] * 5 + [("http://farm.com/", "<a href='http://bad.net/'>")]
+    assert ("farm.com", "/", "block") in judged_hosts(spark, rows)
+
+
 def test_one_bad_link_among_many_does_not_block(spark):
     clean = "".join(f"<a href='http://clean{i}.com/'>" for i in range(9))
     rows = [("http://bad.net/p", "")] * 5 + [("http://blog.com/", clean + "<a href='http://bad.net/'>"), ("http://clean1.com/", "")]
