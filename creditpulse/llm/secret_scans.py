@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from creditpulse.llm.common import byte_rows, small_batches
 from creditpulse.session import scratch_path
 
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 BASE = ["assign", "access", "hex"]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.ASCII | re.IGNORECASE)
@@ -42,7 +42,7 @@ RULES = {
     "google": (re.compile(r"AIza[A-Za-z0-9_-]{35}"), "AIza"),
     "stripe": (re.compile(r"[rs]k_live_[A-Za-z0-9]{16,}"), "k_live_"),
     "jwt": (re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), "eyJ"),
-    "pem": (re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"), "PRIVATE KEY-----"),
+    "pem": (re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:[^-]|-(?!----))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"), "PRIVATE KEY"),
 }
 KINDS = ["assign", *RULES]
 MIN_VALUE = 8
