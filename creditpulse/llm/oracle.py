@@ -74,9 +74,7 @@ repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows,
 normal AS (SELECT doc_id, source, text, len(lw) AS n,
   regexp_replace({LOWER.format("array_to_string(lw, ' ')")}, '[0-9]+', '0', 'g') AS line FROM full_lines),
 holders AS (SELECT source, line, count(DISTINCT text) AS docs, min(doc_id) AS first FROM normal GROUP BY 1, 2),
-sizes AS (SELECT source, count(DISTINCT text) AS docs FROM docs GROUP BY 1),
-frequent AS (SELECT h.* FROM holders h JOIN sizes s ON h.source IS NOT DISTINCT FROM s.source
-  WHERE h.docs > 20 AND h.docs > 0.05 * s.docs),
+frequent AS (SELECT * FROM holders WHERE docs > 100),
 removed AS (SELECT n.doc_id, sum(n.n) AS gone FROM normal n JOIN frequent f
   ON n.line = f.line AND n.source IS NOT DISTINCT FROM f.source WHERE n.doc_id <> f.first GROUP BY 1),
 base AS (SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,

@@ -2,7 +2,7 @@
 
 Method: the lines of every document are normalised and hashed; for every host
 (here the ``source``) the distinct documents holding a line are counted, a line
-in more documents than the host's limit is removed everywhere but in the first
+in more than ``max_docs`` documents of a host is removed everywhere but in the first
 document that holds it, and a document that keeps too little of its words is
 rejected. Texts that are equal count as one document, so copies alone never
 make a line frequent.
@@ -13,8 +13,8 @@ lines taken out of their texts.
 One pass over the texts measures the base columns and the line hashes; all
 counting then runs on the hashes alone, and the frequent lines of each document
 are joined back to its text by row. A hot line is counted by partial
-aggregation. The limit is ``max(min_docs, share * documents of the host)``, so
-a host has at most ``lines per document / share`` frequent lines.
+aggregation. The limit is a number of documents and does not follow the host's
+size: boilerplate of a small part of a large host is found as well.
 
 Defined results: a null or empty text has no words and fails the base rules;
 a null source is a host of its own; null or repeated ids and repeated rows are
@@ -112,25 +112,21 @@ def without_lines(text: bytes, gone: set[int]) -> bytes:
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-            min_words: int = 10, max_repeat_pct: int = 20, share: float = 0.05, min_docs: int = 20,
+            min_words: int = 10, max_repeat_pct: int = 20, max_docs: int = 100,
             min_left_words: int = 10, min_left_pct: int = 20, row_col: str | None = None) -> DataFrame:
     """``quality`` with ``removed_lines``, the hashes of each row's frequent lines (null if it has none).
 
-    A line is frequent on a host if more than ``max(min_docs, share * documents)``
-    of the host's documents hold it. A document is depleted if fewer than
+    A line is frequent on a host if more than ``max_docs`` of the host's
+    documents hold it. A document is depleted if fewer than
     ``min_left_words`` or ``min_left_pct`` per cent of its words are left.
     """
     rows = cut(measured(docs, id_col, host_col, text_col, row_col), "quality-rows")
     # Equal texts of a host are one document; its first row by id stands for it.
-    first = rows.groupBy("host", "text_hash").agg(F.min(F.struct("id", "row_id")).alias("first"))
-    sizes = first.groupBy("host").agg((F.count("*") * F.lit(share)).alias("limit"))
     lines = rows.select("host", "id", "row_id", "text_hash", F.explode("line_hash").alias("line"))
-    counted = (lines.groupBy("host", "line", "text_hash").agg(F.min(F.struct("id", "row_id")).alias("first"))
-               .groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("first").alias("first"))
-               .where(F.col("docs") > min_docs))
     frequent = cut(
-        counted.alias("c").join(sizes.alias("s"), F.col("c.host").eqNullSafe(F.col("s.host")))
-        .where(F.col("docs") > F.col("limit")).select("c.host", "line", "first"), "quality-lines")
+        lines.groupBy("host", "line", "text_hash").agg(F.min(F.struct("id", "row_id")).alias("first"))
+        .groupBy("host", "line").agg(F.count("*").alias("docs"), F.min("first").alias("first"))
+        .where(F.col("docs") > max_docs).select("host", "line", "first"), "quality-lines")
     each = rows.select("host", "row_id", F.inline(F.arrays_zip(F.col("line_hash").alias("line"),
                                                                F.col("line_words").alias("words"))))
     removed = (each.alias("e").join(frequent.alias("f"), (F.col("e.line") == F.col("f.line"))

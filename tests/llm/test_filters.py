@@ -27,14 +27,13 @@ def plain_measures(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeat)
 
 
-def plain_quality(rows, share, min_docs):
+def plain_quality(rows, max_docs):
     """``rows``: (id, text, host) in table order -> kept."""
     def normal(line):
         return re.sub("[0-9]+", "0", " ".join(WORD.findall(line.translate({c: c + 32 for c in range(65, 91)}))))
 
-    holders, sizes = defaultdict(dict), defaultdict(set)
+    holders = defaultdict(dict)
     for at, (i, text, host) in enumerate(rows):
-        sizes[host].add(text)
         for line in text.split("\n"):
             if WORD.search(line):
                 first = holders[host, normal(line)].get(text, (i, at))
@@ -46,7 +45,7 @@ def plain_quality(rows, share, min_docs):
         for line in text.split("\n"):
             if WORD.search(line):
                 h = holders[host, normal(line)]
-                if len(h) > max(min_docs, share * len(sizes[host])) and min(h.values()) != (i, at):
+                if len(h) > max_docs and min(h.values()) != (i, at):
                     gone += len(WORD.findall(line))
         left = n - gone
         failed = n < 10 or 100 * repeat > 20 * n
@@ -69,8 +68,8 @@ def test_quality_equals_brute_force(spark):
     rows += [(i + 1000, *rows[i][1:]) for i in range(0, 60)]
     rows += [(2000, line(6) + " " + " ".join(["a b c d e"] * 5), "h1"), (2001, "#*$%&|<> é 世 x", "h2")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
-    got = quality(df, min_docs=15, share=0.05).collect()
-    assert sorted((r.doc_id, r.base_failed, r.n_removed_words, r.kept) for r in got) == sorted(plain_quality(rows, 0.05, 15))
+    got = quality(df, max_docs=15).collect()
+    assert sorted((r.doc_id, r.base_failed, r.n_removed_words, r.kept) for r in got) == sorted(plain_quality(rows, 15))
     texts = {i: t for i, t, _ in rows}
     assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_measures(texts[r.doc_id]) for r in got)
     assert sum(r.kept for r in got) > 50 and any(not r.kept and not r.base_failed for r in got)
@@ -87,27 +86,39 @@ def test_quality_odd_rows(odd_frame, empty_frame):
 
 def test_copies_do_not_make_lines_frequent(frame):
     text = "a line of quite ordinary words that many pages hold as a copy"
-    rows = quality(frame([text] * 60 + [f"{text} {i}" for i in range(3)])).collect()
+    rows = quality(frame([text] * 300 + [f"{text} {i}" for i in range(3)])).collect()
     assert all(r.kept for r in rows)
 
 
-def plain_cleaned(rows, share, min_docs):
+@pytest.mark.parametrize("others", [10, 6000])
+def test_line_limit_does_not_follow_the_size_of_the_host(spark, others):
+    """A passage in 120 documents is frequent in a host of 130 and in one of 6,120
+    (2 per cent); one in 100 documents is not."""
+    letters = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:05}")  # noqa: E731  digits would be alike
+    own = lambda i: " ".join(letters(i) + letters(k) for k in range(14))
+    passage, rare = "this passage stands in some pages of the host", "and this one in just too few of them"
+    texts = [own(i) + ("\n" + passage if i < 120 else "") + ("\n" + rare if i < 100 else "") for i in range(120 + others)]
+    df = spark.createDataFrame([(i, t, "big") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    gone = {r.doc_id: r.n_removed_words for r in quality(df).collect()}
+    assert gone == {i: len(passage.split()) if 0 < i < 120 else 0 for i in range(len(texts))}
+
+
+def plain_cleaned(rows, max_docs):
     """``rows``: (id, text, host) in table order -> the kept ones without frequent lines."""
     def normal(line):
         return re.sub("[0-9]+", "0", " ".join(WORD.findall(line.translate({c: c + 32 for c in range(65, 91)}))))
 
-    holders, sizes = defaultdict(dict), defaultdict(set)
+    holders = defaultdict(dict)
     for at, (i, text, host) in enumerate(rows):
-        sizes[host].add(text)
         for line in filter(WORD.search, text.split("\n")):
             first = holders[host, normal(line)].get(text, (i, at))
             holders[host, normal(line)][text] = min(first, (i, at))
 
     def stays(at, i, line, host):
         h = holders[host, normal(line)]
-        return not WORD.search(line) or len(h) <= max(min_docs, share * len(sizes[host])) or min(h.values()) == (i, at)
+        return not WORD.search(line) or len(h) <= max_docs or min(h.values()) == (i, at)
 
-    kept = [r[3] for r in plain_quality(rows, share, min_docs)]
+    kept = [r[3] for r in plain_quality(rows, max_docs)]
     return [(i, "\n".join(x for x in text.split("\n") if stays(at, i, x, host)), host)
             for at, (i, text, host) in enumerate(rows) if kept[at]]
 
@@ -125,8 +136,8 @@ def test_cleaned_texts_equal_brute_force(spark):
     rows += [(i + 1000, *rows[i][1:]) for i in range(40)]
     df = (spark.createDataFrame([(i, t, "en", h, len(t)) for i, t, h in rows], "doc_id long, text string, lang string, source string, n_chars long")
           .coalesce(1))
-    got = cleaned(df, ["doc_id", "text", "lang", "source", "n_chars"], min_docs=15).collect()
-    want = plain_cleaned(rows, 0.05, 15)
+    got = cleaned(df, ["doc_id", "text", "lang", "source", "n_chars"], max_docs=15).collect()
+    want = plain_cleaned(rows, 15)
     assert sorted(((r.doc_id, r.text, r.source) for r in got), key=str) == sorted(want, key=str)
     assert all(r.n_chars == len(r.text) for r in got)
     before = {i: t for i, t, _ in rows}
@@ -135,10 +146,10 @@ def test_cleaned_texts_equal_brute_force(spark):
 
 def test_quality_stage_takes_frequent_lines_out(frame):
     own = lambda i: " ".join("ab"[i >> k & 1] + "word" + "cd" * k for k in range(30))  # noqa: E731  digits would be alike
-    texts = ["the site menu: home about contact\n" + own(i) for i in range(60)]
+    texts = ["the site menu: home about contact\n" + own(i) for i in range(120)]
     rows = {r.doc_id: r for r in quality_stage(None, frame(texts), None).collect()}
-    assert rows[0].text == texts[0] and len(rows) == 60
-    assert all(rows[i].text == own(i) and rows[i].n_chars == len(rows[i].text) for i in range(1, 60))
+    assert rows[0].text == texts[0] and len(rows) == 120
+    assert all(rows[i].text == own(i) and rows[i].n_chars == len(rows[i].text) for i in range(1, 120))
 
 
 # --- secrets -----------------------------------------------------------------
@@ -178,6 +189,16 @@ def test_secret_columns_equal_brute_force(frame):
         assert places == sorted(places)
 
 
+def test_private_keys_with_headers():
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00-11--22\n\n"
+    for kind in ("RSA PRIVATE KEY", "PRIVATE KEY", "EC PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        key = f"-----BEGIN {kind}-----\n{head}MIIB+/=\nabc\n-----END {kind}-----"
+        text = f"é {key} x -----BEGIN {kind}----- cut off {key}"
+        pem = [s for s in X.spans(text) if s[0] == "pem"]
+        assert text[pem[0][1]:pem[0][2]] == key and text[pem[-1][1]:pem[-1][2]] == key and len(pem) == 2
+    assert not [s for s in X.spans("-----BEGIN PRIVATE KEY-----" + "-" * 50_000 + "a-" * 50_000) if s[0] == "pem"]
+
+
 def test_ledger_scans_each_blob_and_rule_version_once(spark, frame, tmp_path, monkeypatch):
     ledger = f"{tmp_path}/ledger"
     first = frame(["token = abcdefgh12", "nothing", "token = abcdefgh12", None])
