@@ -29,7 +29,7 @@ def test_names():
 def test_stages_equal_brute_force(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     now = docs.collect()
-    kept = {i for i, _, _, k in plain_quality([(r.doc_id, r.text or "", r.source) for r in now], 0.05, 20) if k}
+    kept = {i for i, _, _, k in plain_quality([(r.doc_id, r.text or "", r.source) for r in now], 100) if k}
     docs = STAGE["quality"](spark, docs, sf_small)
     now = [r for r in now if r.doc_id in kept]
     assert docs.columns == COLUMNS and plain(docs.collect()) == plain(now)
