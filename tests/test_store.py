@@ -145,3 +145,11 @@ def test_pointers_are_set_once(spark):
     for _ in range(2):
         store.put_pointers(spark.range(5000).select(F.concat(F.lit("type"), "id").alias("source"), F.col("id").alias("cutover_ms")), many)
     assert store.read_pointers(spark, many).count() == 5000
+
+
+def test_counters_are_read_without_sorting_them(spark):
+    root = scratch_path(spark, "test-hash")
+    store.add_deltas(deltas(spark, [("risk_level", "max.count", "2017-06-14", 2), ("other", "", "2017-06-14", 1)]), root, 0)
+    counters = store.read_counters(spark, root)
+    assert "SortAggregate" not in counters._jdf.queryExecution().executedPlan().toString()
+    assert {(r.metric, r.family) for r in counters.collect()} == {("risk_level", "bamdata.RiskLevel"), ("other", None)}
