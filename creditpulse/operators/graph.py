@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditpulse.functions.text import is_blank
-from creditpulse.session import scratch_path
+from creditpulse.session import materialised, scratch_path
 
 
 
@@ -120,6 +120,10 @@ def _in_range(values: DataFrame, keys: DataFrame, bin_width: int) -> DataFrame:
     return numbers.join(ranges, "bin").where((F.col("n") >= F.col("low")) & (F.col("n") < F.col("high"))).select("v").distinct()
 
 
+#: Values of a condition that are broadcast; with more, an even join is left to Spark.
+FEW_VALUES = 10_000
+
+
 def filter_by_any(df: DataFrame, conditions, bin_width: int = 1000) -> DataFrame:
     """FL-5, the predicate repeated with OR: rows for which one of the conditions
     holds, each row once.
@@ -128,13 +132,18 @@ def filter_by_any(df: DataFrame, conditions, bin_width: int = 1000) -> DataFrame
     (key)`` (``"equal"``), begins with one (``"prefix"``) or is a whole number in
     one of ``keys (low, high)`` (``"range"``). Each form is worked out on the
     column's distinct values and joined back by equality, so there is no nested
-    loop and no pair of row and key more than a match needs.
+    loop and no pair of row and key more than a match needs. The rows are written
+    once, as each condition reads its column. A few matching values are broadcast:
+    dealt out by a column of a few values, the rows would all be in a few tasks.
     """
+    df = materialised(df, "any-of")
     hit, joined = F.lit(False), df
     for i, (column, form, keys) in enumerate(conditions):
         values = df.select(F.col(column).cast("string").alias("v")).distinct()
         found = {"equal": _with_key, "prefix": _with_prefix}[form](values, keys) if form != "range" else _in_range(values, keys, bin_width)
-        found = found.select(F.col("v").alias(f"_v{i}"))
+        found = materialised(found.select(F.col("v").alias(f"_v{i}")), "any-values")
+        if found.count() <= FEW_VALUES:
+            found = F.broadcast(found)
         joined = joined.join(found, F.col(column).cast("string") == F.col(f"_v{i}"), "left")
         hit = hit | F.col(f"_v{i}").isNotNull()
     return joined.where(hit).select(*df.columns)

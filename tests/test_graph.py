@@ -86,6 +86,17 @@ def test_any_of_several_conditions(spark):
     assert G.filter_by_any(df, [("a", "equal", none), ("b", "prefix", none)]).count() == 0
 
 
+def test_a_column_of_few_values_does_not_deal_out_the_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("n"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        found = G.filter_by_any(df, [("n", "range", spark.createDataFrame([(1, 3)], "low int, high int"))])
+        assert found.count() == 666 and "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+
+
 def test_json(spark):
     df = spark.range(10).select(F.col("id").alias("k"), F.lit("").alias("s"))
     js = df.select(G.row_json("k", "s", drop_empty=True).alias("j")).orderBy("k" if False else "j").first().j
