@@ -92,3 +92,26 @@ def test_equal_keys_and_odd_payloads(spark):
     bad = (None, None, None, "malformed json")
     assert got == {0: ("a", 5, {"x": "3", "y": "2"}, None), 1: ("b", 6, None, None), 2: ("a", 5, None, None), 3: ("a", 5, {}, None),
                    4: bad, 5: ("a", 5, {"x": None}, None), 6: bad, 7: bad, 8: (None, None, None, "empty record")}
+
+
+def test_only_the_fields_asked_for(spark):
+    from creditpulse.functions.envelope import parse_envelope
+
+    texts = ['{"logNo":"a","collectTime":5,"flatMap":{"x":"1","y":2,"x":"3","z":{"q":[1]}}}', '{"logNo":"a","collectTime":5,"flatMap":{"x":"1","x":null}}',
+             '{"logNo":"a","collectTime":5,"flatMap":"t"}', '{"logNo":"a","collectTime":5,"flatMap":{}}', '{"logNo":"CreditLoan_WorkFlow_LoanAmount","collectTime":5,"flatMap":[1]}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = {r.i: (r.log_no, r.p and tuple(r.p), r.env_err) for r in parse_envelope(df, fields=["x", "z"]).collect()}
+    assert got == {0: ("a", ("3", '{"q":[1]}'), None), 1: ("a", (None, None), None), 2: ("a", None, None), 3: ("a", (None, None), None),
+                   4: ("CreditLoan_WorkFlow_LoanAmount", None, "malformed json")}
+
+
+def test_blanks_and_numbers_of_odd_texts(spark):
+    from creditpulse.functions import numbers as N
+    from creditpulse.functions import text as T
+
+    texts = ["", " ", "\n\t", "a", " a", "a ", "\u0001a", "\u0085", "é ", " 市", None]
+    trimmed = ["", "", "", "a", "a", "a", "a", "\u0085", "é", "市", None]
+    assert col_values(spark, texts, T.java_trim) == trimmed
+    assert col_values(spark, texts, T.is_blank) == [not t for t in trimmed]
+    numbers = ["12", " 12 ", "12\n", "-7", "+7", "12.7", "1e3", "999999999999999999", "9223372036854775807", "9223372036854775808", "x", "١", None]
+    assert col_values(spark, numbers, N.opt_long) == [12, 12, 12, -7, 7, 12, 1000, 999999999999999999, 2**63 - 1, None, None, 1, None]
