@@ -20,7 +20,7 @@ from creditpulse.operators import catalogue as cat
 from creditpulse.operators.asof import asof_type
 from creditpulse.operators.graph import Pages, filter_by_any, json_row, row_json
 from creditpulse.operators.rollup import row_counts, sum_deltas, union_all
-from creditpulse.operators.rules import CUSTOMER_LABELS, split_errors, generate_where
+from creditpulse.operators.rules import CUSTOMER_LABELS, explode_deltas, generate_where, outputs, split_errors
 from creditpulse.plans import backfill as bf
 from creditpulse.plans import export as ex
 from creditpulse.plans import live
@@ -70,9 +70,12 @@ def all_metrics(spark, sf_dir):
 
 def loan_metrics(spark, sf_dir):
     logs = fx.logs(spark, sf_dir, ["loan", "risk"])
-    good, _ = split_errors(live.output_rows(logs, TZ, kinds=["loan"]))
-    loans = good.where(F.col("kind") == "loan").select("metric", "field", "day", "value")
-    return sum_deltas(loans.unionByName(live.loan_type_deltas(logs, TZ)))
+    recs = live.slim(live.classified(logs, TZ, kinds=["loan", "risk"]))
+    is_loan = F.col("kind") == "loan"
+    recs = materialised(recs.withColumn("out", F.when(is_loan, F.col("out"))), "records")  # of a risk record its touch only
+    good, _ = split_errors(outputs(recs.where(is_loan)))
+    typed = live.typed_deltas(asof_type(live.type_rows(recs)))
+    return sum_deltas(explode_deltas(good).unionByName(typed.drop("collect_ms")))
 
 
 def route_counts(spark, sf_dir):

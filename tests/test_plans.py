@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from creditpulse.operators import catalogue as cat
 from creditpulse.operators.rules import split_errors
 from creditpulse.plans import backfill as bf
-from creditpulse.plans import live
+from creditpulse.plans import live, queries
 from creditpulse.session import scratch_path
 from creditpulse.sources import fixtures as fx
 from creditpulse.sources.detail import read_parquet
@@ -72,3 +72,7 @@ def test_backfill_reads_each_table_once(spark, sf_small):
         make(spark, sf_small).write.parquet(f"{path}/{name}")
     total = bf.backfill(*(spark.read.parquet(f"{path}/{n}") for n in details), start="1995-01-01 00:00:00", end="1996-01-01 00:00:00")
     assert executed(total).count("FileScan parquet") == 4
+
+
+def test_loan_metrics_parses_once(spark, sf_small):
+    assert "from_json(" not in optimized(queries.loan_metrics(spark, sf_small))  # the records are read back
