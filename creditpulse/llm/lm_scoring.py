@@ -33,7 +33,6 @@ ignored.
 
 from __future__ import annotations
 
-import itertools
 import math
 from dataclasses import dataclass, field, replace
 
@@ -55,6 +54,7 @@ COUNT_TOKENS = 4 << 20  # tokens that are counted together before they are sent
 KNOWN_WORDS = 250_000  # words that a worker remembers besides the frequent ones
 GATHER_BYTES = 8 << 20  # text that is probed together where the filter has several groups
 MASK = np.uint64((1 << KEY_BITS) - 1)
+WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LEVEL_FLOORS = np.unique(np.concatenate([np.arange(1, 9), np.round(8 * 1.25 ** np.arange(1, 160))])).astype(np.float64)
 #: What a level stands for: the middle of its range, in logs.
 LEVEL_VALUES = np.r_[0.0, np.sqrt(LEVEL_FLOORS * np.maximum(LEVEL_FLOORS, np.r_[LEVEL_FLOORS[1:] - 1, LEVEL_FLOORS[-1]]))]
@@ -64,6 +64,21 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def coded(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``tokens`` of all texts at once: the distinct ones (``END`` is the last), each
+    token's place among them, and the texts' numbers of tokens."""
+    data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)  # a space ends each text
+    inside = ~WHITE[data]
+    start, stop = np.flatnonzero(np.diff(inside, prepend=False)).reshape(-1, 2).T
+    offsets = np.r_[0, np.cumsum(stop - start)].astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    words = words.dictionary_encode()
+    distinct = [*words.dictionary.to_pylist(), END]
+    until = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))  # words up to each text's end
+    place = np.insert(words.indices.to_numpy().astype(np.int64), until, len(distinct) - 1)
+    return distinct, place, np.diff(until, prepend=0) + 1
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -209,20 +224,27 @@ def training(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.where(F.coalesce(F.crc32(docs[id_col].cast("string").cast("binary")) % 5 != 1, F.lit(True)))
 
 
+def text_chunks(batches):
+    """The texts (null: empty) of ``batches (text)``, about ``CHUNK_BYTES`` at once."""
+    for batch in batches:
+        texts = [t or b"" for t in byte_rows(batch.column(0))]
+        for r in chunks([len(t) for t in texts]):
+            yield [texts[i] for i in r]
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over ``texts (text)``; batches are summed before they are sent on."""
     from collections import Counter
 
     def run(batches):
         total, n = Counter(), 0
-        for batch in batches:
-            for text in byte_rows(batch.column(0)):
-                words = tokens(text or b"")
-                total.update(words)
-                n += len(words)
-                if n > COUNT_TOKENS:
-                    yield rows(total)
-                    total, n = Counter(), 0
+        for texts in text_chunks(batches):
+            words, place, _ = coded(texts)
+            total.update(dict(zip(words, np.bincount(place).tolist())))
+            n += len(place)
+            if n > COUNT_TOKENS:
+                yield rows(total)
+                total, n = Counter(), 0
         yield rows(total)
 
     def rows(total):
@@ -236,22 +258,19 @@ def bigram_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         held, n = [], 0
-        known: dict[bytes, int] = {}
-        for batch in batches:
-            for text in byte_rows(batch.column(0)):
-                words = tokens(text or b"")
-                for w in set(words).difference(known):
-                    known[w] = xxhash.xxh64_intdigest(w) & int(MASK)
-                held.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-                n += len(words)
-                if n > COUNT_TOKENS:
-                    yield rows(held)
-                    held, n, known = [], 0, {}
+        for texts in text_chunks(batches):
+            words, place, _ = coded(texts)
+            keys, inner = unigram_keys(words)[place], place[:-1] != len(words) - 1  # a text's end has no successor
+            held.append((keys[:-1][inner], keys[1:][inner]))
+            n += len(place)
+            if n > COUNT_TOKENS:
+                yield rows(held)
+                held, n = [], 0
         if held:
             yield rows(held)
 
     def rows(held):
-        left, right = np.concatenate([h[:-1] for h in held]), np.concatenate([h[1:] for h in held])
+        left, right = map(np.concatenate, zip(*held))
         key, first, count = np.unique(bigram_keys(left, right), return_index=True, return_counts=True)
         return pa.record_batch([pa.array(key.view(np.int64)), pa.array(left[first].view(np.int64)), pa.array(count.astype(np.int64))],
                                names=["key", "left", "c"])
@@ -356,7 +375,7 @@ class Scorer:
             self.c = self.s = np.empty(0)
             self.learn(self.m.hot)
             self.frequent = len(self.m.hot)
-            self.hot = self.m.hot_counts.astype(np.float64)
+            self.base = np.log10((self.m.hot_counts + 0.5) / (self.m.n + self.floor))
         n = self.frequent
         self.number = dict(zip(self.m.hot, range(n)))
         self.key, self.c, self.s = self.key[:n], self.c[:n], self.s[:n]
@@ -373,22 +392,20 @@ class Scorer:
     def score(self, texts: list[bytes]):
         """Per text: tokens, known hot tokens, summed base log10 of hot tokens, model's
         log10 probability. And the other words: text's place, word, times."""
-        seqs = [tokens(t) for t in texts]
-        distinct = set().union(*seqs)
-        new = distinct.difference(self.number)
+        distinct, place, length = coded(texts)
+        new = [w for w in distinct if w not in self.number]
         if len(self.number) + len(new) > self.frequent + KNOWN_WORDS:
             self.forget()
-            new = distinct.difference(self.number)
+            new = [w for w in distinct if w not in self.number]
         if new:
-            self.learn(list(new))
-        get = self.number.__getitem__
-        length = np.fromiter(map(len, seqs), np.int64, len(seqs))
-        flat = np.fromiter(map(get, itertools.chain.from_iterable(seqs)), np.int64, int(length.sum()))
+            self.learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        flat = numbers[place]
         first = np.cumsum(length) - length
         total = self.m.n + self.floor
         hot = flat < self.frequent
         base = np.zeros(len(flat))
-        base[hot] = np.log10((self.hot + 0.5) / total)[flat[hot]]
+        base[hot] = self.base[flat[hot]]
         pair, where = np.unique((np.r_[0, flat[:-1]] << 32) | flat, return_inverse=True)
         left, right = pair >> 32, pair & 0xFFFFFFFF
         c, key = self.c, self.key
@@ -402,11 +419,7 @@ class Scorer:
         rare = np.flatnonzero(~hot)
         row = np.repeat(np.arange(len(texts)), length)[rare]
         at, times = np.unique((row << 32) | flat[rare], return_counts=True)
-        # Spell the rare words out: each from the first place where it stands.
-        numbers, place = np.unique(flat[rare], return_index=True)
-        place = rare[place]
-        text = np.searchsorted(np.cumsum(length), place, side="right")
-        spelled = {n: seqs[t][i] for n, t, i in zip(numbers.tolist(), text.tolist(), (place - first[text]).tolist())}
+        spelled = dict(zip(numbers.tolist(), distinct))
         words = list(map(spelled.__getitem__, (at & 0xFFFFFFFF).tolist()))
         return length, add(hot.astype(np.int64), first), add(base, first), add(logs, first), (at >> 32, words, times)
 

@@ -37,6 +37,16 @@ def exact(texts):
             for i, t in enumerate(tokens)]
 
 
+def test_coded_tokens_are_the_split_ones():
+    texts = [b"", b"A a\tB", b" \n ", "É x\x1cy\u2028z Ä\x0b".encode(), b"\n\x85a\r\n", b"END a"]
+    words, place, length = L.coded(texts)
+    seqs = [L.tokens(t) for t in texts]
+    assert length.tolist() == list(map(len, seqs))
+    assert [words[i] for i in place] == [w for s in seqs for w in s]
+    assert len(set(words)) == len(words) and words[-1] == L.END
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in L.coded([b""])] == [[L.END], [0], [1]]
+
+
 def test_base_columns_are_exact_and_scores_gain_from_repeats(frame):
     texts = corpus() + ["", None, "unseen-word " * 3, "\t\n"]
     got = sorted(L.score_documents(frame(texts), **SMALL).collect())
