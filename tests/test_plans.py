@@ -29,6 +29,20 @@ def test_single_parse_even_with_time_and_error_filters(spark, sf_small):
         assert optimized(df).count("from_json(") == 2
 
 
+def test_events_of_one_row_group_are_dealt_out(spark, tmp_path):
+    rows = spark.createDataFrame([(i % 7 or None, i, "purchase", 1.5) for i in range(60)] * 2, "event_id bigint, i int, event_type string, value double")
+    rows = rows.withColumn("ts", F.expr("timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(i)")).drop("i")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # so few rows would be one partition
+    spark.conf.set(key, "false")
+    try:
+        logs = fx.fund_logs(spark, str(tmp_path))
+        assert logs.where(F.col("key").isNotNull()).select(F.spark_partition_id()).distinct().count() > 1
+        assert logs.count() == 120
+    finally:
+        spark.conf.unset(key)
+
+
 def test_detail_range_and_columns_reach_the_scan(spark, sf_small):
     path = scratch_path(spark, "detail") + "/apply"
     fx.detail_apply(spark, sf_small).write.parquet(path)
