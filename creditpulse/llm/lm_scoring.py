@@ -51,6 +51,7 @@ HOT_CHARS = 64
 KEY_BITS = 48  # of an n-gram's hash; far more than the filter's own false positives need
 SLICES = 1 << 12
 COUNT_TOKENS = 4 << 20  # tokens that are counted together before they are sent on
+SENT_ROWS = 1 << 16  # rows of counts in a batch
 KNOWN_WORDS = 250_000  # words that a worker remembers besides the frequent ones
 GATHER_BYTES = 8 << 20  # text that is probed together where the filter has several groups
 MASK = np.uint64((1 << KEY_BITS) - 1)
@@ -232,6 +233,12 @@ def text_chunks(batches):
             yield [texts[i] for i in r]
 
 
+def small(batch: pa.RecordBatch):
+    """``batch`` in slices: the JVM holds a batch that it is sent whole, outside its heap."""
+    for at in range(0, batch.num_rows, SENT_ROWS):
+        yield batch.slice(at, SENT_ROWS)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over ``texts (text)``; batches are summed before they are sent on."""
     from collections import Counter
@@ -243,9 +250,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
             total.update(dict(zip(words, np.bincount(place).tolist())))
             n += len(place)
             if n > COUNT_TOKENS:
-                yield rows(total)
+                yield from small(rows(total))
                 total, n = Counter(), 0
-        yield rows(total)
+        yield from small(rows(total))
 
     def rows(total):
         return pa.record_batch([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "c"])
@@ -253,6 +260,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def counted_pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of ``held (keys, lefts)``, the first left of each and its
+    number of times. Empties ``held`` and keeps no array longer than it is needed:
+    what a worker holds at most is all this."""
+    key = np.concatenate([k for k, _ in held])
+    left = np.concatenate([x for _, x in held])
+    held.clear()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first, n = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)]), len(key)
+    order = order[first]
+    left = left[order]
+    del order
+    key = key[first]
+    return key, left, np.diff(first, append=n)
+
+
 def bigram_counts(texts: DataFrame) -> DataFrame:
     """``key, left, c`` of the bigrams in ``texts (text)``; ``left`` is the context's key."""
 
@@ -261,19 +285,18 @@ def bigram_counts(texts: DataFrame) -> DataFrame:
         for texts in text_chunks(batches):
             words, place, _ = coded(texts)
             keys, inner = unigram_keys(words)[place], place[:-1] != len(words) - 1  # a text's end has no successor
-            held.append((keys[:-1][inner], keys[1:][inner]))
+            left = keys[:-1][inner]
+            held.append((bigram_keys(left, keys[1:][inner]), left))
             n += len(place)
             if n > COUNT_TOKENS:
-                yield rows(held)
-                held, n = [], 0
+                yield from small(rows(held))
+                n = 0
         if held:
-            yield rows(held)
+            yield from small(rows(held))
 
     def rows(held):
-        left, right = map(np.concatenate, zip(*held))
-        key, first, count = np.unique(bigram_keys(left, right), return_index=True, return_counts=True)
-        return pa.record_batch([pa.array(key.view(np.int64)), pa.array(left[first].view(np.int64)), pa.array(count.astype(np.int64))],
-                               names=["key", "left", "c"])
+        key, left, count = counted_pairs(held)
+        return pa.record_batch([pa.array(key.view(np.int64)), pa.array(left.view(np.int64)), pa.array(count)], names=["key", "left", "c"])
 
     return texts.mapInArrow(run, "key long, left long, c long").groupBy("key").agg(F.min("left").alias("left"), F.sum("c").alias("c"))
 

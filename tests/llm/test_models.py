@@ -2,10 +2,12 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from creditpulse.llm import lm_scoring as L
@@ -47,6 +49,26 @@ def test_coded_tokens_are_the_split_ones():
     assert [x.tolist() if hasattr(x, "tolist") else x for x in L.coded([b""])] == [[L.END], [0], [1]]
 
 
+def test_pairs_are_counted_in_little_memory():
+    rng = np.random.default_rng(3)
+    key, left = rng.integers(0, 1 << 20, (2, 1 << 20)).astype(np.uint64)
+    held = [(key[i:i + (1 << 16)].copy(), left[i:i + (1 << 16)].copy()) for i in range(0, 1 << 20, 1 << 16)]
+    tracemalloc.start()
+    got = L.counted_pairs(held)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    first, times = np.unique(key, return_index=True, return_counts=True)[1:]
+    assert [x.tolist() for x in got] == [key[first].tolist(), left[first].tolist(), times.tolist()]
+    assert not held and peak < 2.75 * (key.nbytes + left.nbytes)
+    assert [len(x) for x in L.counted_pairs([(key[:0], left[:0])])] == [0, 0, 0]
+
+
+def test_counts_are_sent_in_small_batches():
+    batch = pa.record_batch([pa.array(range(2 * L.SENT_ROWS + 3))], names=["c"])
+    parts = list(L.small(batch))
+    assert [p.num_rows for p in parts] == [L.SENT_ROWS, L.SENT_ROWS, 3] and pa.Table.from_batches(parts)["c"].to_pylist() == list(range(batch.num_rows))
+
+
 def test_base_columns_are_exact_and_scores_gain_from_repeats(frame):
     texts = corpus() + ["", None, "unseen-word " * 3, "\t\n"]
     got = sorted(L.score_documents(frame(texts), **SMALL).collect())
