@@ -65,6 +65,17 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def byte_values(column: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls, cut out of its bytes (a scalar
+    made of each takes ten times as long)."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2]
+    data = data.slice(int(at[0]), int(at[-1] - at[0])).to_pybytes() if data is not None else b""
+    at = (at - at[0]).tolist()
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
 def coded(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """``tokens`` of all texts at once: the distinct ones (``END`` is the last), each
     token's place among them, and the texts' numbers of tokens."""
@@ -74,7 +85,7 @@ def coded(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     offsets = np.r_[0, np.cumsum(stop - start)].astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
     words = words.dictionary_encode()
-    distinct = [*words.dictionary.to_pylist(), END]
+    distinct = [*byte_values(words.dictionary), END]
     until = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))  # words up to each text's end
     place = np.insert(words.indices.to_numpy().astype(np.int64), until, len(distinct) - 1)
     return distinct, place, np.diff(until, prepend=0) + 1
@@ -131,10 +142,11 @@ class LogFrequencyFilter:
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         width = self.slices.shape[1]
-        flat, place = self.slices.reshape(-1), self.walk(keys, level)
+        flat, place, bits = self.slices.reshape(-1), self.walk(keys, level), width * 8
+        low = np.uint64(bits - 1) if bits & (bits - 1) == 0 else None  # of a power of two the remainder is its low bits
         found, (start, step), base = np.arange(len(keys)), place, self.slice_of(keys) * width
         for _ in range(self.hashes):  # most keys that are missing fail at the first places
-            at = (start % np.uint64(width * 8)).astype(np.int64)
+            at = (start % np.uint64(bits) if low is None else start & low).astype(np.int64)
             hit = np.flatnonzero((flat[base + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1)
             found, start, step, base = found[hit], start[hit] + step[hit], step[hit], base[hit]
         yes = np.zeros(len(keys), bool)
@@ -142,14 +154,19 @@ class LogFrequencyFilter:
         return yes
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts read back: membership of level 1, 2, ... until one is missing."""
-        level, asked = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        """Counts read back: membership of level 1, 2, ... until one is missing.
+        Keys are asked slice by slice: all places of a key are in its slice, which
+        stays in the processor's cache."""
+        order = np.argsort(self.slice_of(keys).astype(np.uint16), kind="stable")
+        level, asked, keys = np.zeros(len(keys), np.int64), np.arange(len(keys)), keys[order]
         for j in range(1, len(LEVEL_FLOORS) + 1):
             asked = asked[self.has(keys[asked], j)]
             if not len(asked):
                 break
             level[asked] = j
-        return LEVEL_VALUES[level]
+        out = np.empty(len(keys))
+        out[order] = LEVEL_VALUES[level]
+        return out
 
 
 @dataclass
@@ -366,7 +383,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
 def keyed_words(words: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            yield pa.record_batch([pa.array(unigram_keys(b.column(0).to_pylist()).view(np.int64)), b.column(1)], names=["key", "c"])
+            yield pa.record_batch([pa.array(unigram_keys(byte_values(b.column(0))).view(np.int64)), b.column(1)], names=["key", "c"])
 
     return words.mapInArrow(run, "key long, c long")
 

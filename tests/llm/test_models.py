@@ -2,6 +2,7 @@
 
 import math
 import random
+import timeit
 import tracemalloc
 import zlib
 from collections import Counter
@@ -63,6 +64,24 @@ def test_pairs_are_counted_in_little_memory():
     assert [len(x) for x in L.counted_pairs([(key[:0], left[:0])])] == [0, 0, 0]
 
 
+def test_byte_values_are_those_of_the_column():
+    a = pa.array([b"", b"ab", b"\x00\xff", b"", "é".encode()] * 50_000, pa.binary())
+    for column in (a, a.cast(pa.large_binary()), a[3:-2], a[:0], a[3:4], pa.array([], pa.large_binary())):
+        assert L.byte_values(column) == column.to_pylist()
+    timed = lambda f: min(timeit.repeat(f, number=1, repeat=3))
+    assert timed(lambda: L.byte_values(a)) < timed(a.to_pylist) / 2
+
+
+def test_filter_of_any_width_finds_its_keys():
+    keys = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) & L.MASK
+    for width in (64, 65):  # a power of two and none
+        table = np.zeros((L.SLICES, width), np.uint8)
+        at = L.LogFrequencyFilter.places(keys[::2], 1, width * 8, 3).astype(np.int64)
+        np.bitwise_or.at(table, (L.LogFrequencyFilter.slice_of(keys[::2])[:, None], at >> 3), (1 << (at & 7)).astype(np.uint8))
+        found = L.LogFrequencyFilter(table, 3).has(keys, 1)
+        assert found[::2].all() and found[1::2].mean() < 0.05
+
+
 def test_counts_are_sent_in_small_batches():
     batch = pa.record_batch([pa.array(range(2 * L.SENT_ROWS + 3))], names=["c"])
     parts = list(L.small(batch))
